@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch job over a finished posting file; it has no
+stream, watermark, window or state. Nothing is built here so as not to add
+operators the reference does not have. The batch operators work unchanged on
+any DataFrame, including a ``foreachBatch`` micro-batch.
+"""
