@@ -17,6 +17,12 @@ from pyspark.sql import functions as F
 POSTING_LINE_PATTERN = (
     r"^[+-]?[0-9]+,[+-]?[0-9]+,([+-]?[0-9]+)?,([+-]?[0-9]+)?,[+-]?[0-9]+(,.*)?$"
 )
+# The same layout with integer fields of at most 9 digits, which always fit
+# an int: a line matching it is valid without looking at the field values.
+SHORT_INT_LINE_PATTERN = (
+    r"^[+-]?[0-9]{1,9},[+-]?[0-9]{1,9},([+-]?[0-9]{1,9})?,([+-]?[0-9]{1,9})?,"
+    r"[+-]?[0-9]{1,9}(,.*)?$"
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -62,8 +68,10 @@ def nearest_center(centers: Sequence[tuple[int, int]], x: str = "x", y: str = "y
 
     Ties go to the lowest index because the minimum is taken over
     ``struct(distance, index)``. With no centers the answer is 0. The centers
-    are folded into the plan as a constant array, so the argmin is a
-    per-row expression inside whole-stage codegen: no join, no shuffle.
+    are one constant array in the plan, so the argmin is a per-row expression
+    (k distance evaluations per point): no join, no shuffle. The array is
+    passed to the generated code as a value, so the code is the same in every
+    k-means iteration and is compiled once.
     """
     if not centers:
         return F.lit(0)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import POSTING_LINE_PATTERN
+from ..functions.expressions import POSTING_LINE_PATTERN, SHORT_INT_LINE_PATTERN
 from ..schema import POSTING_COLUMNS
 
 _INT_FIELDS = (0, 1, 2, 3, 4)  # fields that must hold a 32-bit int when present
@@ -22,19 +22,27 @@ def _fields(value: Column) -> Column:
 
 
 def _with_checks(lines: DataFrame) -> DataFrame:
-    """Add ``_a`` (the fields), ``_shape`` and ``_fits``, computed once per
-    line; the projections above read these columns instead of repeating the
-    split and the pattern match for every output column."""
+    """Add ``_a`` (the fields) and ``_ok`` (the line is valid).
+
+    Almost every line is settled by one pattern match (integer fields of at
+    most 9 digits always fit an int); only longer fields take the exact path
+    (layout pattern plus a range check of the five integer fields). The
+    expression stays small, which matters because Catalyst inlines it into
+    filters pushed below the parser.
+    """
     v = F.col("value")
     a = _fields(v)
-    staged = lines.select(v.alias("value"), a.alias("_a"),
-                          v.rlike(POSTING_LINE_PATTERN).alias("_shape"))
-    fits = F.lit(True)
-    for k in _INT_FIELDS:
-        field = F.get(F.col("_a"), k)
-        fits = fits & ((F.coalesce(field, F.lit("")) == F.lit(""))
-                       | field.try_cast("int").isNotNull())
-    return staged.withColumn("_fits", fits)
+    return lines.select(v.alias("value"), a.alias("_a"),
+                        (v.rlike(SHORT_INT_LINE_PATTERN) | _exact_check(v, a)).alias("_ok"))
+
+
+def _exact_check(v: Column, a: Column) -> Column:
+    return v.rlike(POSTING_LINE_PATTERN) & _fits(a)
+
+
+def _fits(a: Column) -> Column:
+    return F.forall(F.slice(a, 1, len(_INT_FIELDS)),
+                    lambda f: (f == F.lit("")) | f.try_cast("int").isNotNull())
 
 
 def malformed_lines(lines: DataFrame) -> DataFrame:
@@ -44,9 +52,12 @@ def malformed_lines(lines: DataFrame) -> DataFrame:
     'int_range' when it has the layout but an integer field overflows an int.
     Output: ``value string, reason string``.
     """
-    return (_with_checks(lines)
-            .select("value", F.when(~F.col("_shape"), F.lit("shape"))
-                    .when(~F.col("_fits"), F.lit("int_range")).alias("reason"))
+    v = F.col("value")
+    a = _fields(v)
+    reason = (F.when(v.rlike(SHORT_INT_LINE_PATTERN), F.lit(None).cast("string"))
+              .when(~v.rlike(POSTING_LINE_PATTERN), F.lit("shape"))
+              .when(~_fits(a), F.lit("int_range")))
+    return (lines.select("value", reason.alias("reason"))
             .where(F.col("reason").isNotNull()))
 
 
@@ -58,8 +69,7 @@ def parse_postings(lines: DataFrame, strict: bool = True) -> DataFrame:
     away by Catalyst whichever columns a caller keeps.
     ``strict=False`` drops malformed lines instead.
     """
-    staged = _with_checks(lines).select(
-        "value", "_a", (F.col("_shape") & F.col("_fits")).alias("_ok"))
+    staged = _with_checks(lines)
     a, ok, v = F.col("_a"), F.col("_ok"), F.col("value")
 
     def guarded(c: Column) -> Column:
