@@ -77,9 +77,11 @@ def nearest_center(centers: Sequence[tuple[int, int]], x: str = "x", y: str = "y
         return F.lit(0)
     dist = (f"cast(`{x}` - c.cx as double) * cast(`{x}` - c.cx as double) + "
             f"cast(`{y}` - c.cy as double) * cast(`{y}` - c.cy as double)")
+    # coalesce: never null for a non-empty array; saying so keeps Catalyst
+    # from inferring an isnotnull filter that would evaluate the argmin twice.
     return F.expr(
-        f"array_min(transform({centers_literal(centers)}, "
-        f"c -> named_struct('d', {dist}, 'i', c.i))).i")
+        f"coalesce(array_min(transform({centers_literal(centers)}, "
+        f"c -> named_struct('d', {dist}, 'i', c.i))).i, 0)")
 
 
 def trunc_div(a: Column | str, b: Column | str) -> Column:

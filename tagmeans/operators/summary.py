@@ -24,13 +24,16 @@ def cluster_stats(points: DataFrame, centers: Centers, config: ClusterConfig) ->
     a = assign_closest(points, centers).select(
         "i", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"),
         _weight(points).alias("n"))
-    by_lang = a.groupBy("i", "x").agg(F.sum("n").alias("c"))
+    # One aggregate per (cluster, point); both branches below start from it, so
+    # Spark runs it (and the assignment) once and reuses its shuffle output.
+    base = a.groupBy("i", "x", "y").agg(F.sum("n").alias("c"))
+    by_lang = base.groupBy("i", "x").agg(F.sum("c").alias("c"))
     # A5: most frequent language; ties -> lowest language index.
     dominant = by_lang.groupBy("i").agg(
         F.max(F.struct(F.col("c"), (-F.col("x")).alias("neg_x"))).alias("top"))
     # A7, A8: size and exact median over all languages of the cluster.
-    sizes = a.groupBy("i").agg(F.sum("n").alias("cluster_size"),
-                               median_int("y", "n").alias("median_score"))
+    sizes = base.groupBy("i").agg(F.sum("c").alias("cluster_size"),
+                                  median_int("y", "c").alias("median_score"))
     lang_idx = (-F.col("top.neg_x") / F.lit(config.lang_spread)).cast("int")
     return (sizes.join(dominant, "i")
             .select("i",
