@@ -42,14 +42,15 @@ def spread(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster has cores.
 
     A parquet file with a single row group is read by one task, and so would
-    be everything up to the next shuffle. Such a narrow scan is redistributed
-    round-robin over ``defaultParallelism`` partitions. A large input already
-    has far more partitions than cores and passes through unchanged, so no
-    extra shuffle happens at scale.
+    be everything up to the next shuffle. Such a narrow scan is hash
+    redistributed on its own columns over ``defaultParallelism`` partitions
+    (deterministic, and unlike round-robin it needs no local sort). A large
+    input already has far more partitions than cores and passes through
+    unchanged, so no extra shuffle happens at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, *df.columns)
     return df
 
 
