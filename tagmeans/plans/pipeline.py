@@ -75,6 +75,10 @@ class ClusterRun:
     def report(self) -> DataFrame:
         return report_lines(self.stats())
 
+    def release(self) -> None:
+        """Drop the cached weighted points (their checkpoint files stay)."""
+        self.weighted.unpersist()
+
 
 def cluster_vectors(vectors: DataFrame, config: ClusterConfig,
                     seeds: Centers | None = None) -> ClusterRun:
