@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..config import ClusterConfig
@@ -49,9 +50,26 @@ def vectors_from_postings(postings: DataFrame, config: ClusterConfig, strict: bo
     return vector_postings(scored, config)
 
 
+# Points per partition of the k-means input: every update evaluates k
+# distances per point, so this bounds the work of one task.
+POINTS_PER_TASK = 1024
+
+
 def prepare_points(vectors: DataFrame) -> DataFrame:
-    """Weighted points, written to the checkpoint folder and cached."""
-    return cut_lineage(weighted_points(vectors), keep_in_memory=True)
+    """Weighted points, written to the checkpoint folder and cached.
+
+    The weighted set is small, so Spark packs it into few partitions; every
+    k-means update would then run in a single task. It is re-split by
+    ``(x, y)`` into about ``POINTS_PER_TASK`` points per partition (at most
+    one partition per core) before it is written and cached.
+    """
+    spark = vectors.sparkSession
+    weighted = cut_lineage(weighted_points(vectors))
+    n = weighted.count()
+    target = min(spark.sparkContext.defaultParallelism, max(1, -(-n // POINTS_PER_TASK)))
+    if weighted.rdd.getNumPartitions() == target:
+        return weighted.persist(StorageLevel.MEMORY_AND_DISK)
+    return cut_lineage(weighted.repartition(target, "x", "y"), keep_in_memory=True)
 
 
 @dataclass
