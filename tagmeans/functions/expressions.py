@@ -63,6 +63,18 @@ def centers_literal(centers: Sequence[tuple[int, int]]) -> str:
     return f"array({items})"
 
 
+def nearest_center_sql(centers: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> str:
+    """SQL text of ``nearest_center`` (for plans built from SQL strings)."""
+    if not centers:
+        return "0"
+    dist = (f"cast(`{x}` - c.cx as double) * cast(`{x}` - c.cx as double) + "
+            f"cast(`{y}` - c.cy as double) * cast(`{y}` - c.cy as double)")
+    # coalesce: never null for a non-empty array; saying so keeps Catalyst
+    # from inferring an isnotnull filter that would evaluate the argmin twice.
+    return (f"coalesce(array_min(transform({centers_literal(centers)}, "
+            f"c -> named_struct('d', {dist}, 'i', c.i))).i, 0)")
+
+
 def nearest_center(centers: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> Column:
     """Index of the center with the lowest squared distance to ``(x, y)``.
 
@@ -73,15 +85,7 @@ def nearest_center(centers: Sequence[tuple[int, int]], x: str = "x", y: str = "y
     passed to the generated code as a value, so the code is the same in every
     k-means iteration and is compiled once.
     """
-    if not centers:
-        return F.lit(0)
-    dist = (f"cast(`{x}` - c.cx as double) * cast(`{x}` - c.cx as double) + "
-            f"cast(`{y}` - c.cy as double) * cast(`{y}` - c.cy as double)")
-    # coalesce: never null for a non-empty array; saying so keeps Catalyst
-    # from inferring an isnotnull filter that would evaluate the argmin twice.
-    return F.expr(
-        f"coalesce(array_min(transform({centers_literal(centers)}, "
-        f"c -> named_struct('d', {dist}, 'i', c.i))).i, 0)")
+    return F.expr(nearest_center_sql(centers, x, y))
 
 
 def trunc_div(a: Column | str, b: Column | str) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ClusterConfig
-from ..functions.expressions import nearest_center, squared_distance
+from ..functions.expressions import nearest_center, nearest_center_sql, squared_distance
 from ..schema import CENTERS, TRACE
 
 Centers = list[tuple[int, int]]
@@ -35,13 +35,18 @@ def assign_closest(points: DataFrame, centers: Centers, x: str = "x", y: str = "
 
 
 def cluster_sums(points: DataFrame, centers: Centers) -> DataFrame:
-    """Per non-empty cluster: ``i, sx, sy, n`` (sums weighted by multiplicity)."""
-    w = _weight(points)
-    return (assign_closest(points, centers)
+    """Per non-empty cluster: ``i, sx, sy, n`` (sums weighted by multiplicity).
+
+    Written as SQL text: the loop builds this plan once per update, and a
+    handful of calls into the JVM keep that cheap next to the job itself.
+    """
+    w = "cast(n as bigint)" if "n" in points.columns else "1L"
+    return (points.selectExpr(f"cast({nearest_center_sql(centers)} as int) AS i",
+                              f"cast(x as bigint) * {w} AS wx",
+                              f"cast(y as bigint) * {w} AS wy", f"{w} AS w")
             .groupBy("i")
-            .agg(F.sum(F.col("x").cast("long") * w).alias("sx"),
-                 F.sum(F.col("y").cast("long") * w).alias("sy"),
-                 F.sum(w).alias("n")))
+            .agg(F.expr("sum(wx)").alias("sx"), F.expr("sum(wy)").alias("sy"),
+                 F.expr("sum(w)").alias("n")))
 
 
 def centers_frame(spark, centers: Centers) -> DataFrame:
