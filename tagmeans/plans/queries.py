@@ -10,6 +10,7 @@ point with every center), with the same column names and types.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,8 @@ from ..operators.vectors import vector_postings, weighted_points, with_lang_inde
 from ..schema import POSTING_COLUMNS
 from ..sources.sinks import report_lines
 from ..sources.star import STAR_TAGS, star_config, star_lines, star_postings, table, to_lines
-from .checkpoint import cut_lineage
+from ..sources.text import read_lines
+from .checkpoint import cut_lineage, ensure_checkpoint_dir
 from .pipeline import cluster_vectors, prepare_points, score
 
 # Settings of the registered queries.
@@ -61,6 +63,14 @@ def q_parse_postings(spark, sf_dir):
     return _postings(spark, sf_dir)
 
 
+def q_text_scan(spark, sf_dir):
+    """S1 through the real text reader: the adapter's lines are written as a
+    text table into the shared checkpoint folder, then scanned and parsed."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tagmeans-lines-{uuid.uuid4().hex}"
+    star_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    return parse_postings(read_lines(spark, path))
+
+
 def _salted_lines(spark, sf_dir) -> DataFrame:
     """All adapter lines plus one corrupted copy of every order line and of
     every line item line whose return flag is A or N."""
@@ -218,6 +228,7 @@ def q_cluster_report(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_postings": q_parse_postings,
+    "text_scan": q_text_scan,
     "malformed_lines": q_malformed_lines,
     "questions": q_questions,
     "answers": q_answers,
@@ -394,6 +405,7 @@ def _oracles() -> dict[str, str]:
     cols = ", ".join(POSTING_COLUMNS)
     o: dict[str, str] = {}
     o["parse_postings"] = f"{post} SELECT {cols} FROM p"
+    o["text_scan"] = o["parse_postings"]
     o["malformed_lines"] = _malformed_sql()
     o["questions"] = f"{post} SELECT {cols} FROM q"
     o["answers"] = f"{post} SELECT {cols} FROM a"
