@@ -71,7 +71,7 @@ def main() -> None:
     vectors = timed("score_vectors", lambda: cut_lineage(
         scored_vectors(parse_postings(lines), CFG)))
     weighted = timed("weighted_points", lambda: prepare_points(vectors))
-    seeds = timed("seeds", lambda: draw_centers(vectors, CFG))
+    seeds = timed("seeds", lambda: draw_centers(vectors, CFG, weighted))
     result = timed("kmeans", lambda: kmeans(weighted, seeds, CFG))
     from tagmeans.operators.summary import cluster_results
     timed("cluster_results", lambda: cluster_results(weighted, result.centers, CFG).collect())

@@ -104,7 +104,7 @@ def cluster_vectors(vectors: DataFrame, config: ClusterConfig,
     vectors = cut_lineage(vectors)
     weighted = prepare_points(vectors)
     if seeds is None:
-        seeds = draw_centers(vectors, config)
+        seeds = draw_centers(vectors, config, weighted)
     result = kmeans(weighted, seeds, config)
     return ClusterRun(config, vectors, weighted, seeds, result)
 

@@ -55,8 +55,8 @@ def _vectors(spark, sf_dir, cfg: ClusterConfig) -> DataFrame:
     return scored_vectors(_postings(spark, sf_dir), cfg)
 
 
-def _seeds(vectors: DataFrame, cfg: ClusterConfig):
-    return draw_centers(vectors, cfg)
+def _seeds(vectors: DataFrame, cfg: ClusterConfig, weighted: DataFrame | None = None):
+    return draw_centers(vectors, cfg, weighted)
 
 
 def q_parse_postings(spark, sf_dir):
@@ -176,17 +176,17 @@ def _prepared(spark, sf_dir, cfg):
 
 def q_assign_closest(spark, sf_dir):
     vectors, wp = _prepared(spark, sf_dir, CFG)
-    return assign_closest(wp, _seeds(vectors, CFG)).select("x", "y", "n", "i")
+    return assign_closest(wp, _seeds(vectors, CFG, wp)).select("x", "y", "n", "i")
 
 
 def q_kmeans_step(spark, sf_dir):
     vectors, wp = _prepared(spark, sf_dir, CFG)
-    return kmeans_step(wp, _seeds(vectors, CFG))
+    return kmeans_step(wp, _seeds(vectors, CFG, wp))
 
 
 def _means_frame(spark, sf_dir, cfg, start_iter=1):
     vectors, wp = _prepared(spark, sf_dir, cfg)
-    return kmeans(wp, _seeds(vectors, cfg), cfg, start_iter=start_iter).centers_frame(spark)
+    return kmeans(wp, _seeds(vectors, cfg, wp), cfg, start_iter=start_iter).centers_frame(spark)
 
 
 def q_kmeans_means(spark, sf_dir):
@@ -203,7 +203,7 @@ def q_kmeans_resume(spark, sf_dir):
 
 def q_kmeans_trace(spark, sf_dir):
     vectors, wp = _prepared(spark, sf_dir, CFG)
-    return kmeans(wp, _seeds(vectors, CFG), CFG).trace_frame(spark)
+    return kmeans(wp, _seeds(vectors, CFG, wp), CFG).trace_frame(spark)
 
 
 def q_cluster_results(spark, sf_dir):

@@ -54,3 +54,16 @@ def test_poisson_row_sample(spark):
     n = s.count()
     assert 800 < n < 1200
     assert s.count() == n  # seeded
+
+
+def test_prefiltered_draw_equals_plain_draw(spark):
+    from tagmeans.operators.vectors import weighted_points
+    cfg = ClusterConfig(langs=LANGS, kernels=9)
+    v = vectors(spark, [4000, 7, 300])
+    w = weighted_points(v)
+    plain = draw_centers(v, cfg)
+    assert draw_centers(v, cfg, w) == plain
+    # a tiny oversampling leaves languages short and forces the exact redraw
+    assert draw_centers(v, cfg, w, oversample=0.001) == plain
+    with pytest.raises(ValueError, match="fewer than 3"):
+        draw_centers(vectors(spark, [400, 2, 30]), cfg, weighted_points(vectors(spark, [400, 2, 30])))
