@@ -88,17 +88,6 @@ def nearest_center(centers: Sequence[tuple[int, int]], x: str = "x", y: str = "y
     return F.expr(nearest_center_sql(centers, x, y))
 
 
-def trunc_div(a: Column | str, b: Column | str) -> Column:
-    """Integer division truncating toward zero, like the JVM's ``/`` on longs."""
-    return F.expr(f"({_sql(a)}) div ({_sql(b)})")
-
-
-def _sql(c: Column | str) -> str:
-    if isinstance(c, str):
-        return f"`{c}`"
-    raise TypeError("trunc_div takes column names")
-
-
 def median_int(y: Column | str, n: Column | str | None = None) -> Column:
     """Exact median as an int: middle value, or the truncated mean of the
     two middle values for an even count. ``n`` is an optional frequency."""

@@ -23,11 +23,9 @@ from ..operators.parse import answers, malformed_lines, parse_postings, question
 from ..operators.sampling import (draw_centers, sample_global, sample_rows,
                                   sample_stratified)
 from ..operators.scoring import grouped_postings, qa_pairs, scored_postings, scored_vectors
-from ..operators.summary import cluster_results, cluster_stats
 from ..operators.vectors import vector_postings, weighted_points, with_lang_index
 from ..schema import POSTING_COLUMNS
-from ..sources.sinks import report_lines
-from ..sources.star import STAR_TAGS, star_config, star_lines, star_postings, table, to_lines
+from ..sources.star import STAR_TAGS, star_config, star_lines, star_postings, table
 from ..sources.text import read_lines
 from .checkpoint import cut_lineage, ensure_checkpoint_dir
 from .pipeline import cluster_vectors, prepare_points, score
