@@ -38,7 +38,8 @@ def main(argv: list[str] | None = None) -> None:
 
     builder = SparkSession.builder.appName("tagmeans")
     if args.master:
-        builder = builder.master(args.master)
+        # A quick run outside spark-submit: no web UI server.
+        builder = builder.master(args.master).config("spark.ui.enabled", "false")
     spark = builder.getOrCreate()
     kw = {}
     if args.langs:
