@@ -59,17 +59,20 @@ def prepare_points(vectors: DataFrame) -> DataFrame:
     """Weighted points, written to the checkpoint folder and cached.
 
     The weighted set is small, so Spark packs it into few partitions; every
-    k-means update would then run in a single task. It is re-split by
-    ``(x, y)`` into about ``POINTS_PER_TASK`` points per partition (at most
-    one partition per core) before it is written and cached.
+    k-means update would then run in a single task. The written copy is
+    re-split by ``(x, y)`` into about ``POINTS_PER_TASK`` points per
+    partition (at most one partition per core) and cached; a lost cached
+    block is rebuilt from the written copy through that one small shuffle.
     """
     spark = vectors.sparkSession
     weighted = cut_lineage(weighted_points(vectors))
     n = weighted.count()
     target = min(spark.sparkContext.defaultParallelism, max(1, -(-n // POINTS_PER_TASK)))
-    if weighted.rdd.getNumPartitions() == target:
-        return weighted.persist(StorageLevel.MEMORY_AND_DISK)
-    return cut_lineage(weighted.repartition(target, "x", "y"), keep_in_memory=True)
+    if weighted.rdd.getNumPartitions() != target:
+        weighted = weighted.repartition(target, "x", "y")
+    weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
+    weighted.count()  # fill the cache before the first update
+    return weighted
 
 
 @dataclass
