@@ -3,9 +3,10 @@ seeds -> k-means -> cluster results.
 
 Spark work per run: one lazy plan from the scan to the per-question points,
 written once to the checkpoint folder (it feeds both the seed draw and the
-weighted points); the weighted points ``(x, y, n)`` are written and cached
-(every k-means update re-reads them); then one job for the seeds, one per
-update and one for the summary. Only seeds and centers (k rows) and the
+weighted points); the weighted points ``(x, y, n)`` are written, re-split
+and cached (every k-means update re-reads them); then one small job for the
+points per language, one for the seeds, one per update and one for the
+summary. Only the per-language counts, seeds and centers (k rows) and the
 summary (at most k rows) reach the driver.
 """
 
