@@ -60,3 +60,11 @@ def test_config_validation():
     assert ClusterConfig().per_lang == 3 and ClusterConfig().stratified
     assert not ClusterConfig(lang_spread=499).stratified
     assert DEFAULT_LANGS.index("MATLAB") == 12
+
+
+def test_report_rounds_half_up(points_df):
+    # 351 of 400 points in one language: exactly 87.75 %, printed as 87.8
+    pts = points_df([(50000, 3, 351), (0, 3, 49)], weighted=True)
+    stats = cluster_stats(pts, [(40000, 3)], ClusterConfig())
+    lines = [r.line for r in report_lines(stats).orderBy("pos").collect()]
+    assert lines[3] == "      3  Java              (87.8 %)          400"
