@@ -13,7 +13,7 @@ Public surface (all DataFrame in, DataFrame out unless noted):
 * k-means: ``assign_closest``, ``kmeans_step``, ``update_centers``,
   ``movement``, ``converged``, ``kmeans``
 * summary: ``cluster_stats``, ``cluster_results``, ``stage_counts``
-* plans: ``run_lines``, ``run_postings``, ``cluster_vectors``
+* plans: ``run_lines``, ``run_postings``, ``cluster_vectors``, ``prepare_points``
 """
 
 from .config import ClusterConfig, DEFAULT_LANGS
@@ -26,9 +26,20 @@ from .operators.sampling import (draw_centers, sample_global, sample_rows, sampl
 from .operators.scoring import grouped_postings, qa_pairs, scored_postings, scored_vectors
 from .operators.summary import cluster_results, cluster_stats
 from .operators.vectors import vector_postings, weighted_points, with_lang_index
-from .plans.pipeline import ClusterRun, cluster_vectors, run_lines, run_postings
+from .plans.pipeline import ClusterRun, cluster_vectors, prepare_points, run_lines, run_postings
 from .sources.sinks import print_report, report_lines
 from .sources.star import star_config, star_lines, star_postings
 from .sources.text import as_lines, read_lines
 
-__all__ = [n for n in dir() if not n.startswith("_")]
+__all__ = [
+    "ClusterConfig", "DEFAULT_LANGS", "KMeansResult", "ClusterRun",
+    "read_lines", "as_lines", "star_lines", "star_postings", "star_config",
+    "report_lines", "print_report",
+    "parse_postings", "malformed_lines", "questions", "answers",
+    "qa_pairs", "grouped_postings", "scored_postings", "scored_vectors",
+    "with_lang_index", "vector_postings", "weighted_points",
+    "sample_stratified", "sample_global", "sample_vectors", "draw_centers", "sample_rows",
+    "assign_closest", "kmeans_step", "update_centers", "movement", "converged", "kmeans",
+    "cluster_stats", "cluster_results", "stage_counts",
+    "run_lines", "run_postings", "cluster_vectors", "prepare_points",
+]
