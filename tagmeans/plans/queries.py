@@ -44,7 +44,7 @@ K3_FRACTION = 0.5
 # ---------------------------------------------------------------- Spark side
 
 def _postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed postings, going through the text-line form (S1 + P1)."""
+    """Parsed postings (P1) of the adapter's posting lines."""
     return parse_postings(star_lines(spark, sf_dir))
 
 
