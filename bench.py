@@ -87,6 +87,7 @@ def main() -> None:
     total = round(time.perf_counter() - t_all, 3)
     times["pipeline"] = total
     times["kmeans_updates"] = result.updates
+    times["kmeans_sec_per_update"] = round(times["kmeans"] / max(1, result.updates), 3)
 
     # The same pipeline fed straight from the star tables.
     t0 = time.perf_counter()
