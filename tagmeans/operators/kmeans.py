@@ -80,7 +80,9 @@ def _trunc_div(a: int, b: int) -> int:
 
 def update_centers(points: DataFrame, centers: Centers) -> tuple[Centers, list[int]]:
     """Run one update; return the new centers and the cluster sizes."""
-    rows = cluster_sums(points, centers).collect()  # at most k rows
+    # At most k rows: one reduce task reads them all, however many shuffle
+    # partitions the session uses.
+    rows = cluster_sums(points, centers).coalesce(1).collect()
     sums = {r["i"]: (r["sx"], r["sy"], r["n"]) for r in rows}
     new: Centers = []
     sizes: list[int] = []
