@@ -50,3 +50,15 @@ def test_pipeline_strict_fails_on_malformed_line(lines_df):
         run_lines(lines_df(lines_for(bad="1,oops,,,0,A")), cfg)
     run = run_lines(lines_df(lines_for(bad="1,oops,,,0,A")), cfg, strict=False)
     assert sum(r.cluster_size for r in run.results().collect()) == 120
+
+
+def test_stage_counts_lenient_counts_all_lines(lines_df):
+    from tagmeans import stage_counts
+    lines = lines_for(5) + ["1,oops,,,0,A", "", "3,77,,,1,A"]
+    counts = {r.stage: r.n for r in stage_counts(lines_df(lines), ClusterConfig(
+        langs=LANGS, kernels=6), strict=False).collect()}
+    good = lines_for(5)
+    assert counts["lines"] == len(good) + 3
+    assert counts["postings"] == len(good) + 1          # the type-3 line parses
+    assert counts["questions"] == 15 and counts["scored"] == 15 and counts["vectors"] == 15
+    assert counts["answers"] == counts["qa_pairs"] == len(good) - 15
