@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 from .config import DEFAULT_ETA, DEFAULT_KERNELS, DEFAULT_LANG_SPREAD, DEFAULT_MAX_ITERATIONS
 from .config import ClusterConfig
-from .plans.pipeline import run_lines
+from .plans.clustering import run_lines
 from .sources.sinks import print_report
 from .sources.text import read_lines
 

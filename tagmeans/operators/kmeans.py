@@ -140,7 +140,7 @@ def kmeans(points: DataFrame, centers: Centers, config: ClusterConfig,
     number ``max_iterations`` (counting from ``start_iter``) has run; at
     least one update always runs. Returns the centers of the last update.
 
-    ``points`` should be persisted (see ``plans.pipeline.prepare_points``):
+    ``points`` should be persisted (see ``plans.clustering.prepare_points``):
     every update re-reads it.
     """
     it = start_iter

@@ -28,7 +28,7 @@ from ..schema import POSTING_COLUMNS
 from ..sources.star import STAR_TAGS, star_config, star_lines, star_postings, table
 from ..sources.text import read_lines
 from .checkpoint import cut_lineage, ensure_checkpoint_dir
-from .pipeline import cluster_vectors, prepare_points, score
+from .clustering import cluster_vectors, prepare_points, score
 
 # Settings of the registered queries.
 CFG = star_config()                                   # spread 50000, k 45, eta 20, seed 42
