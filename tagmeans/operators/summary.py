@@ -1,11 +1,12 @@
 """Per-cluster summary (W1 with A5-A8) and its ordering (K4).
 
 Works on the weighted point set ``(x, y, n)`` (or on plain points, weight
-1). Two aggregates over the assigned points, both partial before their
-shuffle: one per ``(cluster, language)`` for the dominant language, one per
-cluster for size and exact median. The median is Spark's exact
-``percentile`` with the multiplicity as frequency, whose buffer holds one
-entry per distinct score of the cluster, never the cluster's points.
+1). The assigned points are first reduced to one row per (cluster, point),
+partially before the shuffle; from that, one small aggregate per (cluster,
+language) gives the dominant language and one per cluster gives size and
+exact median. The median is Spark's exact ``percentile`` with the
+multiplicity as frequency, whose buffer holds one entry per distinct score
+of the cluster, never the cluster's points.
 """
 
 from __future__ import annotations
