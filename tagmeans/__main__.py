@@ -24,12 +24,16 @@ from .sources.text import read_lines
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="python -m tagmeans", description=__doc__.splitlines()[0])
     ap.add_argument("path", nargs="+", help="posting text files (any Spark-readable path)")
-    ap.add_argument("--spread", type=int, default=DEFAULT_LANG_SPREAD)
-    ap.add_argument("--kernels", type=int, default=DEFAULT_KERNELS)
-    ap.add_argument("--eta", type=float, default=DEFAULT_ETA)
-    ap.add_argument("--max-iterations", type=int, default=DEFAULT_MAX_ITERATIONS)
+    ap.add_argument("--spread", type=int, default=DEFAULT_LANG_SPREAD,
+                    help="x distance between languages (>= 500: seeds per language)")
+    ap.add_argument("--kernels", type=int, default=DEFAULT_KERNELS,
+                    help="number of clusters, a multiple of the language count")
+    ap.add_argument("--eta", type=float, default=DEFAULT_ETA,
+                    help="stop when the summed squared center movement is below this")
+    ap.add_argument("--max-iterations", type=int, default=DEFAULT_MAX_ITERATIONS,
+                    help="at most this many k-means updates")
     ap.add_argument("--langs", help="comma-separated language list (order = index)")
-    ap.add_argument("--seed", type=int, default=42)
+    ap.add_argument("--seed", type=int, default=42, help="seed of the seed-point draw")
     ap.add_argument("--sample", type=float, help="Poisson down-sample of scored questions")
     ap.add_argument("--lenient", action="store_true", help="drop malformed lines")
     ap.add_argument("--drop-unknown", action="store_true", help="drop unknown tags")
