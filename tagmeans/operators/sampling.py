@@ -104,21 +104,24 @@ def sample_vectors(vectors: DataFrame, config: ClusterConfig) -> DataFrame:
 
 def draw_centers(vectors: DataFrame, config: ClusterConfig,
                  weighted: DataFrame | None = None,
-                 oversample: float = OVERSAMPLE) -> list[tuple[int, int]]:
+                 oversample: float = OVERSAMPLE,
+                 lang_counts: dict[int, int] | None = None) -> list[tuple[int, int]]:
     """Run the seed draw and return the centers ordered by ``i`` (W2 checks).
 
-    With the weighted points of the same vectors, the stratified draw first
-    reads the number of points per language from them (one row per
-    language) and prefilters by key prefix (see ``sample_stratified``); a
+    With the weighted points of the same vectors (or their number of points
+    per language, ``lang_counts``), the stratified draw first reads the
+    number of points per language from them (one row per language) and
+    prefilters by key prefix (see ``sample_stratified``); a
     language whose candidates fall short of ``per_lang`` is drawn again from
     all its points. The result is the same as without ``weighted``.
 
     Fails when a language has fewer points than ``per_lang``, when a language
     is absent, or when fewer than ``kernels`` points exist.
     """
-    if config.stratified and weighted is not None:
-        counts = {int(r["x"]): int(r["c"]) for r in
-                  weighted.groupBy("x").agg(F.sum("n").alias("c")).collect()}  # one row per language
+    if config.stratified and (weighted is not None or lang_counts is not None):
+        counts = lang_counts if lang_counts is not None else {
+            int(r["x"]): int(r["c"]) for r in
+            weighted.groupBy("x").agg(F.sum("n").alias("c")).collect()}  # one row per language
         rows = sample_stratified(
             vectors, config, prefix_thresholds(counts, config.per_lang, oversample)).collect()
         got: dict[int, int] = {}

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import ClusterConfig
 from ..operators.kmeans import Centers, KMeansResult, kmeans
@@ -56,8 +57,10 @@ def vectors_from_postings(postings: DataFrame, config: ClusterConfig, strict: bo
 POINTS_PER_TASK = 1024
 
 
-def prepare_points(vectors: DataFrame) -> DataFrame:
-    """Weighted points, written to the checkpoint folder and cached.
+def prepare_points_and_counts(vectors: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """Weighted points, written to the checkpoint folder and cached, plus
+    the number of points per language (one row per language, read in the
+    same job that sizes the partitions).
 
     The weighted set is small, so Spark packs it into few partitions; every
     k-means update would then run in a single task. The written copy is
@@ -67,13 +70,23 @@ def prepare_points(vectors: DataFrame) -> DataFrame:
     """
     spark = vectors.sparkSession
     weighted = cut_lineage(weighted_points(vectors))
-    n = weighted.count()
+    per_lang = (weighted.groupBy("x")
+                .agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("points"))
+                .collect())  # one row per language
+    n = sum(int(r["rows"]) for r in per_lang)
+    counts = {int(r["x"]): int(r["points"]) for r in per_lang}
     target = min(spark.sparkContext.defaultParallelism, max(1, -(-n // POINTS_PER_TASK)))
     if weighted.rdd.getNumPartitions() != target:
         weighted = weighted.repartition(target, "x", "y")
     weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
     weighted.count()  # fill the cache before the first update
-    return weighted
+    return weighted, counts
+
+
+def prepare_points(vectors: DataFrame) -> DataFrame:
+    """Weighted points, written to the checkpoint folder, re-split and cached
+    (see ``prepare_points_and_counts``)."""
+    return prepare_points_and_counts(vectors)[0]
 
 
 @dataclass
@@ -106,9 +119,9 @@ def cluster_vectors(vectors: DataFrame, config: ClusterConfig,
                     seeds: Centers | None = None) -> ClusterRun:
     """Seeds (unless given), k-means and the handles for the summary."""
     vectors = cut_lineage(vectors)
-    weighted = prepare_points(vectors)
+    weighted, lang_counts = prepare_points_and_counts(vectors)
     if seeds is None:
-        seeds = draw_centers(vectors, config, weighted)
+        seeds = draw_centers(vectors, config, lang_counts=lang_counts)
     result = kmeans(weighted, seeds, config)
     return ClusterRun(config, vectors, weighted, seeds, result)
 
