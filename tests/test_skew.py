@@ -94,3 +94,10 @@ def test_seed_draw_with_dominant_language(spark):
     assert sorted(x for x, _ in seeds) == [0] * 3 + [50000] * 3 + [100000] * 3
     # whole data still counted: the weighted points cover every row
     assert weighted_points(v).agg(F.sum("n")).first()[0] == len(rows)
+
+
+def test_grouping_also_reduces_before_shuffle(spark):
+    p = spark.createDataFrame(skewed_rows(), POSTING)
+    plan = plan_text(grouped_postings(p))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("partial_max") > plan.index("Exchange hashpartitioning")
