@@ -68,3 +68,10 @@ def test_report_rounds_half_up(points_df):
     stats = cluster_stats(pts, [(40000, 3)], ClusterConfig())
     lines = [r.line for r in report_lines(stats).orderBy("pos").collect()]
     assert lines[3] == "      3  Java              (87.8 %)          400"
+
+
+def test_report_from_plain_results(points_df):
+    pts = points_df([(0, 50), (50000, 5), (100000, 20)])
+    res = cluster_results(pts, [(0, 50), (50000, 5), (100000, 20)], ClusterConfig())
+    lines = [r.line for r in report_lines(res).orderBy("pos").collect()]
+    assert [ln.split()[0] for ln in lines[3:]] == ["5", "20", "50"]
