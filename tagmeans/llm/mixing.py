@@ -33,6 +33,8 @@ from .common import add_from_text, keep, table
 #: Bounds of the classifier's sample: rows, and characters of a text.
 SAMPLE, SAMPLE_CHARS = 6000, 20_000
 FEATURES, SEEN_IN, EPOCHS, STEPS, TOLERANCE = 1 << 18, 8, 20, 40, 1e-3
+#: No domain but the leading one is to have more than so many times its own tokens in the mix.
+MOST = 1.0
 #: Words whose features a task remembers.
 MEMO = 300_000
 #: Target shares of the domains quality-toxic: nearly all of the mix is good and not toxic.
@@ -186,18 +188,21 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS,
     return gradients, far
 
 
-def plan(members: DataFrame, domains: list[str], targets: dict[str, float] | None = None):
+def plan(members: DataFrame, domains: list[str], targets: dict[str, float] | None = None,
+         most: float = MOST):
     """(``rate`` column, distances) for documents with ``n`` and ``posterior``.
 
     ``targets`` gives the share of each domain in the mix; domains without one get
     none. The mix has so many tokens that the domain with the largest share keeps
-    those it has, so its documents keep rates near 1."""
+    those it has, so its documents keep rates near 1; no other domain is asked for
+    more than ``most`` times the tokens that it has."""
     slim = keep(members.groupBy("posterior").agg(F.sum("n").alias("n")))
     shares = np.array([(targets if targets is not None else TARGETS).get(d, 0.0) for d in domains])
     shares = shares / shares.sum() if shares.sum() else np.full(len(shares), 1 / len(shares))
     lead = int(shares.argmax())
-    own = slim.agg(F.sum(F.col("n") * F.element_at("posterior", lead + 1))).first()[0] or 0.0
-    gradients, far = fit_rates(slim, (shares * own / shares[lead]).tolist())
+    own = slim.agg(*[F.sum(F.col("n") * F.element_at("posterior", i + 1)) for i in range(len(shares))]).first()
+    own = np.array([x or 0.0 for x in own])
+    gradients, far = fit_rates(slim, np.minimum(shares * own[lead] / shares[lead], most * own).tolist())
     return F.when(F.col("n") > 0, rate_column(gradients)).otherwise(1.0), far
 
 
