@@ -26,7 +26,8 @@ import re
 import struct
 import uuid
 import zlib
-from itertools import filterfalse
+from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ MAGIC = b"RA1\0"
 SCALE, LANES, STEPS, BLOCK = 20, 256, 512, 1 << 20
 LOW = np.uint64(1 << 31)
 #: Distinct pieces of text whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
@@ -60,63 +61,87 @@ class Pieces:
 
         self.encoder = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         # ids of tokens that begin with a space (written so in a byte-level vocabulary)
         vocabulary = self.encoder.get_vocab(with_added_tokens=True)
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         got = self.encoder.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in got]
+        return [np.array(e.ids, np.uint32).tobytes() for e in got]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: set[str]) -> None:
         """Remember new pieces. Those without a space within are encoded in one text; there
         each token that begins with a space begins a piece."""
-        plain = [p for p in pieces if " " not in p and p]
+        known, before = self.known, self.before
+        known.update([(p, before[p]) for p in pieces if p in before])
+        plain = [p for p in pieces if p not in before and " " not in p and p]
         for a in range(0, len(plain), 10_000):
             part = plain[a:a + 10_000]
-            ids = self._ids([" " + " ".join(part)])[0]
-            first = np.flatnonzero(self.spaced[ids])
+            data = self._ids([" " + " ".join(part)])[0]
+            first = np.flatnonzero(self.spaced[np.frombuffer(data, np.uint32)])
             if len(first) != len(part):
                 raise ValueError("the vocabulary isn't a byte-level one")
-            data, cuts = ids.tobytes(), (4 * np.append(first, len(ids))).tolist()
-            self.known.update(zip(part, map(data.__getitem__, map(slice, cuts, cuts[1:]))))
+            cuts = (4 * first).tolist() + [len(data)]
+            known.update(zip(part, map(data.__getitem__, map(slice, cuts, cuts[1:]))))
         rest = [p for p in pieces if " " in p or not p]
-        for p, ids in zip(rest, self._ids([" " + p for p in rest])):
-            self.known[p] = ids.tobytes()
+        known.update(zip(rest, self._ids([" " + p for p in rest])))
+
+    def _look_up(self, cut: list[list[str]], checked: bool) -> list[bytes] | None:
+        """The ids of each text's pieces but the first; None if a cut turns out wrong."""
+        words = list(chain.from_iterable(islice(ps, 1, None) for ps in cut))
+        got = list(map(self.known.get, words))
+        missing = [i for i, x in enumerate(got) if x is None]
+        if missing:
+            new = {words[i] for i in missing}
+            # a piece that begins with white space: the cut before it is within a run of it
+            if not checked and any(not p or p[0].isspace() for p in new):
+                return None
+            self._learn(new)
+            for i in missing:
+                got[i] = self.known[words[i]]
+        out, at = [], 0
+        for ps in cut:
+            out.append(b"".join(got[at:at + len(ps) - 1]))
+            at += len(ps) - 1
+        if len(self.known) > REMEMBERED:  # what was met lately stays for as long again
+            self.before, self.known = self.known, {}
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """For each text its ids."""
         cut = [t.split(" ") for t in texts]
-        known, new = self.known, set()
-        for ps in cut:
-            new.update(filterfalse(known.__contains__, ps))
-        # A piece with white space at an end shows that a cut before it or after it was wrong.
-        odd = {p for p in new if p.strip() != p or not p}
-        if odd:
-            cut = [ps if odd.isdisjoint(ps) else _BETWEEN.split(t) for t, ps in zip(texts, cut)]
-            new = {p for ps in cut for p in filterfalse(known.__contains__, ps[1:])}
-        self._learn(sorted(new))
-        look = known.__getitem__
-        out = [np.r_[h, np.frombuffer(b"".join(map(look, ps[1:])), np.uint32)]
-               for h, ps in zip(self._ids([ps[0] for ps in cut]), cut)]
-        for p in odd:
-            known.pop(p, None)  # so that the next texts with such pieces show them again
-        if len(known) > REMEMBERED:  # the most frequent ones come back soon
-            known.clear()
-        return out
+        out = self._look_up(cut, False)
+        if out is None:
+            cut = [_BETWEEN.split(t) if any(not p or p[0].isspace() for p in ps[1:]) else ps
+                   for t, ps in zip(texts, cut)]
+            out = self._look_up(cut, True)
+        new = [h for h in {ps[0] for ps in cut} if h not in self.heads]
+        self.heads.update(zip(new, self._ids(new)))
+        ids = [np.frombuffer(self.heads[ps[0]] + x, np.uint32) for ps, x in zip(cut, out)]
+        if len(self.heads) > REMEMBERED // 8:
+            self.heads.clear()
+        return ids
+
+
+@lru_cache(maxsize=1)
+def pieces_of(path: str) -> Pieces:
+    """One encoder and memory for all tasks that a Python worker runs."""
+    return Pieces(path)
 
 
 def tokenize(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
              end: int = END) -> DataFrame:
     """(``doc_id``, ``ids``: packed(), the end id included) of each document."""
     def run(batches):
-        pieces = Pieces(path)
+        pieces = pieces_of(path)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for a, b in slices(texts):
                 ids = pieces.encode([t or "" for t in texts.slice(a, b - a).to_pylist()])
-                data = [packed(np.append(x, np.uint32(end))) for x in ids]
+                data = [packed(x, end) for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [keys.slice(a, b - a), pa.array(data, pa.binary())], names=["doc_id", "ids"])
 
@@ -128,8 +153,9 @@ def counts(tokens: DataFrame) -> np.ndarray:
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for x in batch.column(0):
-                c = np.bincount(unpacked(x.as_buffer()))
+            rows = batch.column(0)
+            for a in range(0, len(rows), 256):
+                c = np.bincount(np.concatenate([unpacked(x.as_buffer()) for x in rows[a:a + 256]]))
                 if len(c) > len(total):
                     c[:len(total)] += total
                     total = c
@@ -289,16 +315,19 @@ def _block(part, number, docs, data, n):
         names=["part", "block", "docs", "n", "data"])
 
 
-def packed(ids: np.ndarray) -> bytes:
-    """The ids' low halves, then their high halves (mostly zero, so they cost little on disk)."""
-    x = ids.astype("<u4")
-    return (x & 0xFFFF).astype("<u2").tobytes() + (x >> 16).astype("<u2").tobytes()
+def packed(ids: np.ndarray, end: int) -> bytes:
+    """The low halves of the ids and ``end``, then their high halves (mostly zero, so they
+    cost little on disk)."""
+    out = np.empty((2, len(ids) + 1), "<u2")
+    out[:, :-1] = ids.astype("<u4").view("<u2").reshape(-1, 2).T
+    out[:, -1] = end & 0xFFFF, end >> 16
+    return out.tobytes()
 
 
 def unpacked(data) -> np.ndarray:
     x = np.frombuffer(data, "<u2").astype(np.uint32)
     half = len(x) // 2
-    return x[:half] | x[half:] << 16
+    return x[:half] | x[half:] << np.uint32(16)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
