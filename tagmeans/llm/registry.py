@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontamination, mixing, quality, simhash, token_output
+from . import decontamination, html_text, licenses, mixing, quality, simhash, token_output
 
 QUERIES = {
+    "op1_licenses": licenses.query,
     "op2_simhash": simhash.query,
+    "op3_html_text": html_text.query,
     "op5_mixing": mixing.query,
     "op6_quality": quality.query,
     "op7_decontamination": decontamination.query,
     "op8_token_output": token_output.query,
 }
-ORACLES = {"op7_decontamination": decontamination.ORACLE}
+ORACLES = {"op1_licenses": licenses.oracle(), "op7_decontamination": decontamination.ORACLE}
