@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, licenses, mixing, quality, simhash, token_output
+from . import decontamination, html_text, licenses, mixing, pii, quality, simhash, token_output
 
 QUERIES = {
     "op1_licenses": licenses.query,
@@ -12,5 +12,6 @@ QUERIES = {
     "op6_quality": quality.query,
     "op7_decontamination": decontamination.query,
     "op8_token_output": token_output.query,
+    "op9_pii": pii.query,
 }
 ORACLES = {"op1_licenses": licenses.oracle(), "op7_decontamination": decontamination.ORACLE}
