@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, licenses, mixing, pii, quality, simhash, token_output
+from . import decontamination, html_text, licenses, mixing, pii, quality, simhash, spans, token_output
 
 QUERIES = {
     "op1_licenses": licenses.query,
@@ -13,5 +13,6 @@ QUERIES = {
     "op7_decontamination": decontamination.query,
     "op8_token_output": token_output.query,
     "op9_pii": pii.query,
+    "op10_repeated_spans": spans.query,
 }
 ORACLES = {"op1_licenses": licenses.oracle(), "op7_decontamination": decontamination.ORACLE}
