@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, licenses, mixing, pii, quality, simhash, spans, token_output
+from . import decontamination, html_text, licenses, mixing, neighbours, pii, quality, simhash, spans, token_output
 
 QUERIES = {
     "op1_licenses": licenses.query,
     "op2_simhash": simhash.query,
     "op3_html_text": html_text.query,
+    "op4_neighbours": neighbours.query,
     "op5_mixing": mixing.query,
     "op6_quality": quality.query,
     "op7_decontamination": decontamination.query,
