@@ -196,9 +196,12 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     levels = keep(asking.join(sums, "id", "left").withColumn("level", F.coalesce(long_, F.lit(-1)).cast("int"))
                   .drop("n"))
     near = sent(strings(levels.where("level >= 0"), "id", "vector", "level"))
-    far = (levels.where("level < 0").select("id", "vector", "level").withColumn("tree", F.lit(0))
-           .join(F.broadcast(parts.where("tree = 0").select("tree", "seg", "parts")), "tree")
-           .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("code", F.lit(0)))
+    # the first tree's parts by first bits: 2 ** first at most
+    whole = F.array(*[F.struct(F.lit(r.seg).alias("seg"), F.lit(r.parts).alias("parts"))
+                      for r in parts.where("tree = 0").collect()])
+    far = (levels.where("level < 0").select("id", "vector", "level", F.lit(0).alias("tree"), F.lit(0).alias("code"),
+                                            F.inline(whole))
+           .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"id": [], "point": [], "score": []})]
