@@ -41,7 +41,7 @@ def phrases(data: bytes, length: int, reach: int):
     if windows <= 0:
         z = np.zeros(0, np.int64)
         return z, z, z
-    out, block = [], 1 << 20
+    out, block = [], 1 << 17
     for a in range(0, windows, block):
         b = min(a + block, windows)
         out.append(triggers(text[a:b + reach + ROLL - 2], reach)[:b - a] + a)

@@ -127,8 +127,8 @@ def _windows(texts: DataFrame, length: int, reach: int) -> DataFrame:
         h = xxhash.xxh3_64_intdigest
         for batch in batches:
             out = [[], [], [], [], [], []]
-            for k, size, t, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                data = t.encode("utf-8", "replace")
+            for k, size, t, wanted in zip(*(batch.column(i) for i in range(4))):
+                k, size, wanted, data = k.as_py(), size.as_py(), wanted.as_py(), t.as_py().encode("utf-8", "replace")
                 view = memoryview(data)
                 at, n, anchor, _, _, _ = parsed(data, length, reach)
                 place = dict(zip(at.tolist(), range(len(at))))
