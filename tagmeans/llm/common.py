@@ -93,6 +93,22 @@ def add_from_text(df: DataFrame, text: str, schema: str,
     return box.mapInArrow(run, out)
 
 
+def labelled_sample(docs: DataFrame, marks: DataFrame, doc_id: str, text: str, sample: int, chars: int) -> list:
+    """At most ``sample`` rows (key, y, t) of documents with a mark (``key``, ``y``) and a text
+    of at most ``chars`` characters, picked by hash of the id; of several texts of an
+    id the least one.
+
+    Only ids are shuffled to pick the sample; its texts meet it in the scan."""
+    short = F.length(F.coalesce(F.col(text), F.lit(""))) <= chars
+    keys = docs.where(short & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("key"))
+    picked = (keys.join(marks, "key").groupBy("key").agg(F.min("y").alias("y"))
+              .orderBy(F.xxhash64("key"), "key").limit(sample))
+    return (docs.where(short).select(F.col(doc_id).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+            .join(F.broadcast(picked), "key")  # ``sample`` rows at most
+            .groupBy("key").agg(F.min("y").alias("y"), F.min("t").alias("t"))
+            .orderBy(F.xxhash64("key"), "key").collect())
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate folder that this library wrote, on whatever store it is."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

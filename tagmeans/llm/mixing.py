@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_from_text, keep, table
+from .common import add_from_text, keep, labelled_sample, table
 
 #: Bounds of the classifier's sample: rows, and characters of a text.
 SAMPLE, SAMPLE_CHARS = 6000, 20_000
@@ -129,10 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                  F.col(c).cast("string") for c in label_columns]).alias("y"),
                  sum((F.col(c).isNull().cast("int") for c in label_columns), F.lit(0)).alias("bad"))
              .where("bad = 0").groupBy("key").agg(F.min("y").alias("y")))
-    rows = (docs.select(F.col(doc_id).alias("key"), F.col(text).alias("t"))
-            .where(F.length(F.coalesce("t", F.lit(""))) <= chars).join(marks, "key")
-            .orderBy(F.xxhash64("key"), F.xxhash64("t")).limit(sample).collect())
-    return Softmax.fit([r.t or "" for r in rows], [r.y for r in rows])
+    rows = labelled_sample(docs, marks, doc_id, text, sample, chars)
+    return Softmax.fit([r.t for r in rows], [r.y for r in rows])
 
 
 def with_posterior(docs: DataFrame, model: Softmax, text: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_from_text, table
+from .common import add_from_text, labelled_sample, table
 
 EMBED, WIDTH, STRIDE, FILTERS, HIDDEN = 6, 16, 8, 24, 12
 LAG, GRAM = 32, 4
@@ -176,17 +176,14 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
           label: str = "quality", sample: int = SAMPLE, chars: int = SAMPLE_CHARS):
     """The network fitted to a bounded sample of the labelled rows that aren't held out.
 
-    Of several labels of one id, the least counts. Ids and labels are joined
-    first, then only the sample's texts are read."""
+    Of several labels of one id, the least counts."""
     marks = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id))
              .groupBy(F.col(doc_id).alias("key")).agg(F.min(label).alias("y")))
-    rows = (docs.select(F.col(doc_id).alias("key"), F.col(text).alias("t"))
-            .where(F.length(F.coalesce("t", F.lit(""))) <= chars).join(marks, "key")
-            .orderBy(F.xxhash64("key"), F.xxhash64("t")).limit(sample).collect())
+    rows = labelled_sample(docs, marks, doc_id, text, sample, chars)
     y = [int(r.y) for r in rows]
     if len(set(y)) < 2:
         return Constant(sum(y) / len(y) if y else 0.5)
-    return Network().fit([r.t or "" for r in rows], y)
+    return Network().fit([r.t for r in rows], y)
 
 
 def with_quality(docs: DataFrame, model, text: str = "text") -> DataFrame:
