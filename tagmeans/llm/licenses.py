@@ -101,34 +101,30 @@ def _order(blocks: DataFrame, sets) -> dict[str, int]:
 
 
 def _join(blocks: DataFrame, sets, order: dict[str, int], threshold: float) -> DataFrame:
-    """(uid, label, overlap, size): pairs of blocks and templates that meet the threshold."""
+    """(uid, found, share): labels and largest containment of the templates that a row's blocks meet."""
     ranked = [(label, sorted(order[w] for w in ws), _needed(ws, threshold)) for label, ws in sets]
     rows = [F.struct(F.lit(words[i]).alias("token"), F.lit(i).alias("t_at"), F.lit(t).alias("template"),
                      F.lit(label).alias("label"), F.lit(c).alias("need"), _array(words).alias("t_words"))
             for t, (label, words, c) in enumerate(ranked) for i in range(len(words) - c + 1)]
     if not rows:
-        return blocks.limit(0).select("uid", F.lit("").alias("label"), F.lit(0).alias("overlap"),
-                                      F.lit(1).alias("size"))
+        return blocks.limit(0).select("uid", F.array(F.lit("")).alias("found"), F.lit(0.0).alias("share"))
     prefixes = blocks.sparkSession.range(1).select(F.inline(F.array(*rows)))
     ranks = F.create_map(*[x for w, i in order.items() for x in (F.lit(w), F.lit(i))])
     least = min(c for _, _, c in ranked)
     size = F.size("b_words")
-    # equal blocks are joined once
-    uniform = (blocks.select("uid", F.explode("blocks").alias("b"))
+    ordered = (blocks.select("uid", F.explode("blocks").alias("b"))
                .select("uid", F.array_sort(F.transform("b", lambda w: ranks[w])).alias("b_words")))
-    distinct = uniform.select("b_words").distinct()
-    probes = distinct.select("b_words", F.posexplode(F.slice("b_words", 1, size - least + 1)).alias("b_at", "token"))
-    # the prefixes' number of rows is that of the templates' words at most
+    probes = ordered.select("uid", "b_words", F.posexplode(F.slice("b_words", 1, size - least + 1)).alias("b_at", "token"))
+    # the prefixes' number of rows is that of the templates' words at most, so every task
+    # has them all and blocks aren't shuffled, however common one is
     passed = (probes.join(F.broadcast(prefixes), "token")
               .where((size >= F.col("need")) & (F.col("b_at") <= size - F.col("need"))
                      & (1 + F.least(F.size("t_words") - F.col("t_at") - 1, size - F.col("b_at") - 1)
-                        >= F.col("need")))
-              .select("b_words", "template", "label", "need", "t_words").distinct())
-    met = (passed.withColumn("overlap", F.size(F.array_intersect("b_words", "t_words")))
-           .where("overlap >= need")
-           .groupBy("b_words").agg(F.collect_set("label").alias("found"),
-                                   F.max(F.col("overlap") / F.size("t_words")).alias("share")))
-    return uniform.join(met, "b_words").select("uid", "found", "share")
+                        >= F.col("need"))))
+    return (passed.withColumn("overlap", F.size(F.array_intersect("b_words", "t_words")))
+            .where("overlap >= need")
+            .groupBy("uid").agg(F.collect_set("label").alias("found"),
+                                F.max(F.col("overlap") / F.size("t_words")).alias("share")))
 
 
 def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phrases: dict[str, str] = PHRASES,
@@ -141,8 +137,7 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phrases: dict
                 .withColumn("row", F.col("row").dropFields(text))
                 .withColumn("uid", F.monotonically_increasing_id()))
     blocks = slim.where(F.size("blocks") > 0).select("uid", "blocks")
-    met = (_join(blocks, sets, _order(blocks, sets), threshold).groupBy("uid")
-           .agg(F.array_distinct(F.flatten(F.collect_set("found"))).alias("found"), F.max("share").alias("share")))
+    met = _join(blocks, sets, _order(blocks, sets), threshold)
     own = F.transform("starts", lambda s: s["label"])
     return slim.join(met, "uid", "left").select(
         "row", "n_words", "starts",
