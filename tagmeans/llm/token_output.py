@@ -23,14 +23,15 @@ stand in the table; an empty table gives an empty folder.
 from __future__ import annotations
 
 import re
+import string
 import struct
 import uuid
 import zlib
 from functools import lru_cache
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,9 +45,12 @@ MAGIC = b"RA1\0"
 SCALE, LANES, STEPS, BLOCK = 20, 256, 512, 1 << 20
 LOW = np.uint64(1 << 31)
 #: Distinct pieces of text whose ids a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
+#: Characters whose words are looked up together.
+AT_ONCE = 24 << 20
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+_PUNCTUATION = string.punctuation
 
 
 class Pieces:
@@ -62,6 +66,9 @@ class Pieces:
         self.encoder = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        self.special = re.compile("|".join(
+            re.escape(t.content) for t in self.encoder.get_added_tokens_decoder().values()) or r"(?!)")
         self.before: dict[str, bytes] = {}
         # ids of tokens that begin with a space (written so in a byte-level vocabulary)
         vocabulary = self.encoder.get_vocab(with_added_tokens=True)
@@ -72,12 +79,25 @@ class Pieces:
         got = self.encoder.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32).tobytes() for e in got]
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Remember new pieces. Those without a space within are encoded in one text; there
-        each token that begins with a space begins a piece."""
-        known, before = self.known, self.before
-        known.update([(p, before[p]) for p in pieces if p in before])
-        plain = [p for p in pieces if p not in before and " " not in p and p]
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of " " and a word, for new words. A word and the punctuation after
+        it are encoded apart, as the library splits there in any case. Words without a
+        space within are encoded in one text; there each token that begins with a
+        space begins a word."""
+        known, before, split = self.known, self.before, []
+        todo = set()
+        for p in words:
+            w = p.rstrip(_PUNCTUATION)
+            if len(w) < len(p) and w and w[-1] < "\u0250" and w[-1].isalpha() and not self.special.search(p):
+                split.append((p, w))
+                if w not in known:
+                    todo.add(w)
+            else:
+                todo.add(p)
+        for w in [w for w in todo if w in before]:
+            known[w] = before[w]
+            todo.discard(w)
+        plain = [w for w in todo if " " not in w and w]
         for a in range(0, len(plain), 10_000):
             part = plain[a:a + 10_000]
             data = self._ids([" " + " ".join(part)])[0]
@@ -86,45 +106,68 @@ class Pieces:
                 raise ValueError("the vocabulary isn't a byte-level one")
             cuts = (4 * first).tolist() + [len(data)]
             known.update(zip(part, map(data.__getitem__, map(slice, cuts, cuts[1:]))))
-        rest = [p for p in pieces if " " in p or not p]
-        known.update(zip(rest, self._ids([" " + p for p in rest])))
-
-    def _look_up(self, cut: list[list[str]], checked: bool) -> list[bytes] | None:
-        """The ids of each text's pieces but the first; None if a cut turns out wrong."""
-        words = list(chain.from_iterable(islice(ps, 1, None) for ps in cut))
+        rest = [w for w in todo if " " in w or not w]
+        known.update(zip(rest, self._ids([" " + w for w in rest])))
+        tails = [t for t in {p[len(w):] for p, w in split} if t not in self.tails]
+        self.tails.update(zip(tails, self._ids(tails)))
+        known.update([(p, known[w] + self.tails[p[len(w):]]) for p, w in split])
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of " " and each word."""
         got = list(map(self.known.get, words))
         missing = [i for i, x in enumerate(got) if x is None]
         if missing:
-            new = {words[i] for i in missing}
-            # a piece that begins with white space: the cut before it is within a run of it
-            if not checked and any(not p or p[0].isspace() for p in new):
-                return None
-            self._learn(new)
+            known, before = self.known, self.before
+            self._learn([words[i] for i in missing if words[i] not in before])
             for i in missing:
-                got[i] = self.known[words[i]]
-        out, at = [], 0
-        for ps in cut:
-            out.append(b"".join(got[at:at + len(ps) - 1]))
-            at += len(ps) - 1
+                w = words[i]
+                got[i] = known[w] if w in known else known.setdefault(w, before[w])
+        return got
+
+    def _heads(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as a text's first one."""
+        new = list({w for w in words if w not in self.heads})
+        self.heads.update(zip(new, self._ids(new)))
+        return [self.heads[w] for w in words]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """For each text (null: empty) its ids."""
+        texts = texts.cast(pa.string()).fill_null("")
+        cut = pc.split_pattern(texts, " ")
+        at = cut.offsets.to_numpy()
+        at, flat = at - at[0], cut.flatten()
+        coded = flat.dictionary_encode()
+        word, distinct = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
+        # a word that is empty or begins with white space: the cut before it is within a run of that
+        odd = pc.match_substring_regex(coded.dictionary, r"^(\s|\pZ|\x{85}|[\x1c-\x1f]|$)").to_numpy(zero_copy_only=False)
+        heads = self._heads([distinct[w] for w in word[at[:-1]]])
+        inner = np.ones(len(word), bool)
+        inner[at[:-1]] = False
+        wrong = np.flatnonzero(np.add.reduceat(odd[word] & inner, at[:-1])) if len(texts) else []
+        for i in np.flatnonzero(odd):
+            distinct[i] = "x"  # texts with such words are encoded on their own
+        ids = self._words(distinct)
+        ids += heads
+        word[at[:-1]] = len(distinct) + np.arange(len(texts))
+        size = np.array([len(x) for x in ids], np.int64) // 4
+        begin, table = np.r_[0, np.cumsum(size)[:-1]], np.frombuffer(b"".join(ids), np.uint32)
+        out = []
+        for a in range(0, len(texts), 256):
+            part = word[at[a]:at[min(a + 256, len(texts))]]
+            n = size[part]
+            end = np.cumsum(n)
+            all_ids = table[np.repeat(begin[part] - (end - n), n) + np.arange(end[-1])]
+            out += np.split(all_ids, end[at[a + 1:min(a + 256, len(texts))] - at[a] - 1])
+        for i in wrong:
+            first, *more = _BETWEEN.split(texts[int(i)].as_py())
+            out[i] = np.frombuffer(b"".join(self._heads([first]) + self._words(more)), np.uint32)
+        for memory in (self.heads, self.tails):
+            if len(memory) > REMEMBERED // 8:
+                memory.clear()
         if len(self.known) > REMEMBERED:  # what was met lately stays for as long again
             self.before, self.known = self.known, {}
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """For each text its ids."""
-        cut = [t.split(" ") for t in texts]
-        out = self._look_up(cut, False)
-        if out is None:
-            cut = [_BETWEEN.split(t) if any(not p or p[0].isspace() for p in ps[1:]) else ps
-                   for t, ps in zip(texts, cut)]
-            out = self._look_up(cut, True)
-        new = [h for h in {ps[0] for ps in cut} if h not in self.heads]
-        self.heads.update(zip(new, self._ids(new)))
-        ids = [np.frombuffer(self.heads[ps[0]] + x, np.uint32) for ps, x in zip(cut, out)]
-        if len(self.heads) > REMEMBERED // 8:
-            self.heads.clear()
-        return ids
-
 
 @lru_cache(maxsize=1)
 def pieces_of(path: str) -> Pieces:
@@ -139,8 +182,8 @@ def tokenize(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "te
         pieces = pieces_of(path)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
-            for a, b in slices(texts):
-                ids = pieces.encode([t or "" for t in texts.slice(a, b - a).to_pylist()])
+            for a, b in slices(texts, AT_ONCE):
+                ids = pieces.encode(texts.slice(a, b - a))
                 data = [packed(x, end) for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [keys.slice(a, b - a), pa.array(data, pa.binary())], names=["doc_id", "ids"])
