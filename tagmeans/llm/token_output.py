@@ -45,9 +45,9 @@ MAGIC = b"RA1\0"
 SCALE, LANES, STEPS, BLOCK = 20, 256, 512, 1 << 20
 LOW = np.uint64(1 << 31)
 #: Distinct pieces of text whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Characters whose words are looked up together.
-AT_ONCE = 24 << 20
+AT_ONCE = 10 << 20
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _PUNCTUATION = string.punctuation
