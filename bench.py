@@ -51,8 +51,8 @@ def main() -> None:
     from tagmeans.operators.kmeans import kmeans
     from tagmeans.operators.parse import malformed_lines, parse_postings
     from tagmeans.operators.sampling import draw_centers
-    from tagmeans.plans.checkpoint import cut_lineage
-    from tagmeans.plans.clustering import prepare_points_and_counts, run_lines
+    from tagmeans.plans.checkpoint import write_copy
+    from tagmeans.plans.clustering import prepare_points, run_lines
     from tagmeans.plans.queries import CFG, CFG_MIXED
     from tagmeans.operators.scoring import grouped_postings, scored_vectors
     from tagmeans.sources.star import star_lines
@@ -72,15 +72,15 @@ def main() -> None:
         return out
 
     text_dir = os.path.join(tempfile.mkdtemp(prefix="tagmeans-bench-"), "lines")
-    star_lines(spark, sf_dir).write.text(text_dir)
+    star_lines(spark, sf_dir).repartition(cpus).write.text(text_dir)
     lines = read_lines(spark, text_dir)
 
     # The whole pipeline, with its phases.
     t_all = time.perf_counter()
-    vectors = timed("score_vectors", lambda: cut_lineage(
+    vectors, _ = timed("score_vectors", lambda: write_copy(
         scored_vectors(parse_postings(lines), CFG)))
-    weighted, lang_counts = timed("weighted_points", lambda: prepare_points_and_counts(vectors))
-    seeds = timed("seeds", lambda: draw_centers(vectors, CFG, lang_counts=lang_counts))
+    weighted = timed("weighted_points", lambda: prepare_points(vectors))
+    seeds = timed("seeds", lambda: draw_centers(vectors, CFG))
     result = timed("kmeans", lambda: kmeans(weighted, seeds, CFG))
     from tagmeans.operators.summary import cluster_results
     timed("cluster_results", lambda: cluster_results(weighted, result.centers, CFG).collect())

@@ -26,8 +26,8 @@ from .operators.sampling import (draw_centers, sample_global, sample_rows, sampl
 from .operators.scoring import grouped_postings, qa_pairs, scored_postings, scored_vectors
 from .operators.summary import cluster_results, cluster_stats
 from .operators.vectors import vector_postings, weighted_points, with_lang_index
-from .plans.clustering import (ClusterRun, cluster_vectors, prepare_points,
-                                prepare_points_and_counts, run_lines, run_postings)
+from .plans.clustering import (ClusterRun, cluster_vectors, prepare_points, run_lines,
+                               run_postings)
 from .sources.sinks import print_report, report_lines
 from .sources.star import star_config, star_lines, star_postings
 from .sources.text import as_lines, read_lines
@@ -42,5 +42,5 @@ __all__ = [
     "sample_stratified", "sample_global", "sample_vectors", "draw_centers", "sample_rows",
     "assign_closest", "kmeans_step", "update_centers", "movement", "converged", "kmeans",
     "cluster_stats", "cluster_results", "stage_counts",
-    "run_lines", "run_postings", "cluster_vectors", "prepare_points", "prepare_points_and_counts",
+    "run_lines", "run_postings", "cluster_vectors", "prepare_points",
 ]

@@ -46,14 +46,14 @@ class ClusterConfig:
             raise ValueError("langs must not contain duplicates")
         if self.lang_spread <= 0:
             raise ValueError(
-                "lang_spread must be positive, else the language cannot be "
-                "recovered from a point")
+                f"lang_spread is {self.lang_spread}; it has to be above 0 so that x / lang_spread "
+                "is the language")
         if self.kernels <= 0:
             raise ValueError("kernels must be positive")
         if self.kernels % len(self.langs) != 0:
             raise ValueError(
-                f"kernels ({self.kernels}) must be a multiple of the number of "
-                f"languages ({len(self.langs)})")
+                f"{self.kernels} kernels can't be shared out evenly among "
+                f"{len(self.langs)} languages")
         if self.max_iterations < 1:
             raise ValueError("max_iterations must be at least 1")
         if self.on_unknown not in ("error", "drop"):

@@ -12,16 +12,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A posting line is valid when it has this shape and every integer field fits
-# a 32-bit int. Fields: type, id, accepted answer (optional), parent
+# its type. A tag may hold any character, line separators too. Fields: type, id, accepted answer (optional), parent
 # (optional), score, then an optional tag and anything after it.
 POSTING_LINE_PATTERN = (
-    r"^[+-]?[0-9]+,[+-]?[0-9]+,([+-]?[0-9]+)?,([+-]?[0-9]+)?,[+-]?[0-9]+(,.*)?$"
+    r"(?s)\A[+-]?[0-9]+,[+-]?[0-9]+,([+-]?[0-9]+)?,([+-]?[0-9]+)?,[+-]?[0-9]+(,.*)?\z"
 )
 # The same layout with integer fields of at most 9 digits, which always fit
 # an int: a line matching it is valid without looking at the field values.
 SHORT_INT_LINE_PATTERN = (
-    r"^[+-]?[0-9]{1,9},[+-]?[0-9]{1,9},([+-]?[0-9]{1,9})?,([+-]?[0-9]{1,9})?,"
-    r"[+-]?[0-9]{1,9}(,.*)?$"
+    r"(?s)\A[+-]?[0-9]{1,9},[+-]?[0-9]{1,9},([+-]?[0-9]{1,9})?,([+-]?[0-9]{1,9})?,"
+    r"[+-]?[0-9]{1,9}(,.*)?\z"
 )
 
 

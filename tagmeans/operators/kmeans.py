@@ -15,12 +15,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ClusterConfig
 from ..functions.expressions import nearest_center, nearest_center_sql, squared_distance
 from ..schema import CENTERS, TRACE
+from .vectors import weighted_points
 
 Centers = list[tuple[int, int]]
 
@@ -140,9 +142,16 @@ def kmeans(points: DataFrame, centers: Centers, config: ClusterConfig,
     number ``max_iterations`` (counting from ``start_iter``) has run; at
     least one update always runs. Returns the centers of the last update.
 
-    ``points`` should be persisted (see ``plans.clustering.prepare_points``):
-    every update re-reads it.
+    Every update re-reads ``points``, so it should be persisted (see
+    ``plans.clustering.prepare_points``). Points without a multiplicity ``n``
+    are reduced to distinct weighted points once, and kept until the loop ends.
     """
+    if "n" not in points.columns:
+        weighted = weighted_points(points, "y").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return kmeans(weighted, centers, config, start_iter)
+        finally:
+            weighted.unpersist()
     it = start_iter
     current = list(centers)
     trace: list[tuple] = []

@@ -14,85 +14,78 @@ from pyspark.sql import functions as F
 from ..functions.expressions import POSTING_LINE_PATTERN, SHORT_INT_LINE_PATTERN
 from ..schema import POSTING_COLUMNS
 
-_INT_FIELDS = (0, 1, 2, 3, 4)  # fields that must hold a 32-bit int when present
+_ID_FIELDS = (1, 2, 3)  # id, accepted answer, parent: int, or bigint on request
+_ID_TYPES = ("int", "bigint")
 
 
 def _fields(value: Column) -> Column:
     return F.split(F.rtrim(value, F.lit(",")), ",")
 
 
-def _with_checks(lines: DataFrame) -> DataFrame:
-    """Add ``_a`` (the fields) and ``_ok`` (the line is valid).
+def _type_of(k: int, id_type: str) -> str:
+    return id_type if k in _ID_FIELDS else "int"
 
-    Almost every line is settled by one pattern match (integer fields of at
-    most 9 digits always fit an int); only longer fields take the exact path
-    (layout pattern plus a range check of the five integer fields). The
-    expression stays small, which matters because Catalyst inlines it into
-    filters pushed below the parser.
-    """
-    v = F.col("value")
-    a = _fields(v)
-    return lines.select(v.alias("value"), a.alias("_a"),
-                        (v.rlike(SHORT_INT_LINE_PATTERN) | _exact_check(v, a)).alias("_ok"))
 
-
-def _exact_check(v: Column, a: Column) -> Column:
-    return v.rlike(POSTING_LINE_PATTERN) & _fits(a)
+def _is_valid(v: Column, id_type: str) -> Column:
+    """Almost every line is settled by one pattern match (integer fields of at
+    most 9 digits always fit an int); only longer fields take the exact path
+    (layout pattern plus a range check of the five integer fields)."""
+    return v.isNotNull() & (v.rlike(SHORT_INT_LINE_PATTERN)
+                            | (v.rlike(POSTING_LINE_PATTERN) & _fits(_fields(v), id_type)))
 
 
-def _fits(a: Column) -> Column:
-    return F.forall(F.slice(a, 1, len(_INT_FIELDS)),
-                    lambda f: (f == F.lit("")) | f.try_cast("int").isNotNull())
+def _fits(a: Column, id_type: str) -> Column:
+    ok = F.lit(True)
+    for k in range(5):
+        f = F.coalesce(F.get(a, k), F.lit(""))
+        ok = ok & ((f == "") | f.try_cast(_type_of(k, id_type)).isNotNull())
+    return ok
 
 
-def malformed_lines(lines: DataFrame) -> DataFrame:
+def malformed_lines(lines: DataFrame, id_type: str = "int") -> DataFrame:
     """Lines the strict parser would reject, with the reason.
 
-    ``reason`` is 'shape' when the line does not have the posting layout, or
-    'int_range' when it has the layout but an integer field overflows an int.
-    Output: ``value string, reason string``.
+    ``reason`` is 'shape' when the line is null or does not have the posting
+    layout, or 'int_range' when it has the layout but an integer field
+    overflows its type. Output: ``value string, reason string``.
     """
     v = F.col("value")
-    a = _fields(v)
-    reason = (F.when(v.rlike(SHORT_INT_LINE_PATTERN), F.lit(None).cast("string"))
+    reason = (F.when(v.isNull(), F.lit("shape"))
+              .when(v.rlike(SHORT_INT_LINE_PATTERN), F.lit(None).cast("string"))
               .when(~v.rlike(POSTING_LINE_PATTERN), F.lit("shape"))
-              .when(~_fits(a), F.lit("int_range")))
+              .when(~_fits(_fields(v), id_type), F.lit("int_range")))
     return (lines.select("value", reason.alias("reason"))
             .where(F.col("reason").isNotNull()))
 
 
-def parse_postings(lines: DataFrame, strict: bool = True) -> DataFrame:
+def parse_postings(lines: DataFrame, strict: bool = True, id_type: str = "int") -> DataFrame:
     """Parse a ``value`` text column into the posting schema.
 
     ``strict=True`` fails the job on the first malformed line, as the
-    reference does. The check guards every column, so it cannot be pruned
-    away by Catalyst whichever columns a caller keeps.
-    ``strict=False`` drops malformed lines instead.
+    reference does: a filter raises, so the check holds for every action,
+    ``count()`` too, whichever columns a caller keeps. ``strict=False`` drops
+    malformed lines instead. ``id_type='bigint'`` reads ids of 64 bits; with
+    the default 32 bits, as in the reference, a longer id is malformed.
     """
-    staged = _with_checks(lines)
-    a, ok, v = F.col("_a"), F.col("_ok"), F.col("value")
-
-    def guarded(c: Column) -> Column:
-        if strict:
-            return F.when(ok, c).otherwise(
-                F.raise_error(F.concat(F.lit("malformed posting line: "), v)))
-        return c
+    if id_type not in _ID_TYPES:
+        raise ValueError(f"id_type must be one of {_ID_TYPES}")
+    v = F.col("value")
+    ok = _is_valid(v, id_type)
+    if strict:
+        ok = F.when(ok, F.lit(True)).otherwise(F.raise_error(F.concat(
+            F.lit("malformed posting line: "), F.coalesce(v, F.lit("<null>")))).cast("boolean"))
+    a = F.col("a")
 
     def num(k: int) -> Column:
-        return F.nullif(F.get(a, k), F.lit("")).try_cast("int")
-
-    out = staged.select(
-        guarded(num(0)).alias("posting_type"),
-        guarded(num(1)).alias("id"),
-        guarded(num(2)).alias("accepted_answer"),
-        guarded(num(3)).alias("parent_id"),
-        guarded(num(4)).alias("score"),
-        guarded(F.when(F.size(a) >= 6, F.get(a, 5))).alias("tags"),
-        *([] if strict else [ok]),
-    )
-    if not strict:
-        out = out.where("_ok").drop("_ok")
-    return out
+        return F.nullif(F.get(a, k), F.lit("")).try_cast(_type_of(k, id_type))
+
+    record = F.struct(
+        num(0).alias("posting_type"), num(1).alias("id"), num(2).alias("accepted_answer"),
+        num(3).alias("parent_id"), num(4).alias("score"),
+        F.when(F.size(a) >= 6, F.get(a, 5)).alias("tags"))
+    # inline: a caller's filter is not pushed below it, so fields are parsed once
+    return (lines.where(ok).select(_fields(v).alias("a"))
+            .select(F.inline(F.array(record))))
 
 
 def questions(postings: DataFrame) -> DataFrame:
@@ -109,8 +102,8 @@ def answers(postings: DataFrame, strict: bool = True) -> DataFrame:
     """
     cond = F.col("posting_type") == 2
     if strict:
-        cond = cond & F.when(
-            F.col("parent_id").isNull(),
-            F.raise_error(F.concat(F.lit("answer without parent: id="),
-                                   F.col("id").cast("string")))).otherwise(F.lit(True))
+        orphan = F.raise_error(F.concat(F.lit("answer without parent: id="), F.col("id").cast("string")))
+        # the type test inside the CASE: only answers can raise, whatever the order of conjuncts
+        cond = (F.when(F.col("posting_type") != 2, F.lit(False))
+                .when(F.col("parent_id").isNull(), orphan.cast("boolean")).otherwise(F.lit(True)))
     return postings.where(cond).select(*POSTING_COLUMNS)

@@ -14,6 +14,8 @@ tasks sort all points. The global draw is a TakeOrderedAndProject
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,54 +26,15 @@ def _draw_key(seed: int, *cols: str) -> F.Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
 
 
-def _hash_prefix(h: F.Column) -> F.Column:
-    """The first 8 hex digits of a draw key as a number in [0, 2^32). For
-    keys of equal length, ordering by the prefix never contradicts ordering
-    by the key."""
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
-
-
-# The prefilter keeps about this many times ``per_lang`` candidates per
-# language; a language left with fewer than ``per_lang`` is drawn again from
-# all of its points, so the draw stays exact.
-OVERSAMPLE = 8
-_PREFIX_RANGE = 1 << 32
-
-
-def prefix_thresholds(lang_counts: dict[int, int], per_lang: int,
-                      oversample: float = OVERSAMPLE) -> dict[int, int]:
-    """Per language ``x``: keep points whose key prefix is below the value."""
-    out = {}
-    for x, c in lang_counts.items():
-        want = oversample * per_lang * _PREFIX_RANGE
-        out[x] = _PREFIX_RANGE if c <= 0 else min(_PREFIX_RANGE, -(-int(want) // int(c)))
-    return out
-
-
-def sample_stratified(vectors: DataFrame, config: ClusterConfig,
-                      thresholds: dict[int, int] | None = None) -> DataFrame:
+def sample_stratified(vectors: DataFrame, config: ClusterConfig) -> DataFrame:
     """K1: exactly ``per_lang`` points of every language.
 
     Output: ``i int, x bigint, y bigint``; ``i = lang_idx * per_lang + rank``,
     so the seeds are ordered by language, then by draw key.
-
-    ``thresholds`` (see ``prefix_thresholds``) restricts the window to the
-    points whose key prefix is below their language's threshold, so only a
-    few candidates per language are sorted instead of every point. Such a
-    candidate set is a prefix of the language's key order: whenever it holds
-    ``per_lang`` points, the draw equals the unrestricted one
-    (``draw_centers`` checks this and redraws any language left short).
     """
     per_lang = config.per_lang
     keyed = vectors.select("id", "x", F.col("high_score").cast("long").alias("y"),
                            _draw_key(config.seed, "x", "id").alias("h"))
-    if thresholds:
-        keep = None
-        for x, t in sorted(thresholds.items()):
-            cond = _hash_prefix(F.col("h")) < F.lit(t)
-            keep = (F.when(F.col("x") == F.lit(x), cond) if keep is None
-                    else keep.when(F.col("x") == F.lit(x), cond))
-        keyed = keyed.where(keep.otherwise(F.lit(True)))
     w = Window.partitionBy("x").orderBy("h", "id")
     drawn = keyed.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= per_lang)
     lang = (F.col("x") / F.lit(config.lang_spread)).cast("long")
@@ -102,39 +65,13 @@ def sample_vectors(vectors: DataFrame, config: ClusterConfig) -> DataFrame:
     return sample_global(vectors, config)
 
 
-def draw_centers(vectors: DataFrame, config: ClusterConfig,
-                 weighted: DataFrame | None = None,
-                 oversample: float = OVERSAMPLE,
-                 lang_counts: dict[int, int] | None = None) -> list[tuple[int, int]]:
+def draw_centers(vectors: DataFrame, config: ClusterConfig) -> list[tuple[int, int]]:
     """Run the seed draw and return the centers ordered by ``i`` (W2 checks).
 
-    With the weighted points of the same vectors (or their number of points
-    per language, ``lang_counts``), the stratified draw first reads the
-    number of points per language from them (one row per language) and
-    prefilters by key prefix (see ``sample_stratified``); a
-    language whose candidates fall short of ``per_lang`` is drawn again from
-    all its points. The result is the same as without ``weighted``.
-
     Fails when a language has fewer points than ``per_lang``, when a language
     is absent, or when fewer than ``kernels`` points exist.
     """
-    if config.stratified and (weighted is not None or lang_counts is not None):
-        counts = lang_counts if lang_counts is not None else {
-            int(r["x"]): int(r["c"]) for r in
-            weighted.groupBy("x").agg(F.sum("n").alias("c")).collect()}  # one row per language
-        rows = sample_stratified(
-            vectors, config, prefix_thresholds(counts, config.per_lang, oversample)).collect()
-        got: dict[int, int] = {}
-        for r in rows:
-            got[r["x"]] = got.get(r["x"], 0) + 1
-        redo = sorted(x for x, c in counts.items()
-                      if got.get(x, 0) < min(config.per_lang, c))
-        if redo:
-            rows = [r for r in rows if r["x"] not in redo] + sample_stratified(
-                vectors.where(F.col("x").isin(redo)), config).collect()
-        rows = sorted(rows, key=lambda r: r["i"])
-    else:
-        rows = sample_vectors(vectors, config).orderBy("i").collect()  # <= kernels rows
+    rows = sample_vectors(vectors, config).orderBy("i").collect()  # <= kernels rows
     if config.stratified:
         per_x: dict[int, int] = {}
         for r in rows:
@@ -149,7 +86,36 @@ def draw_centers(vectors: DataFrame, config: ClusterConfig,
     return [(int(r["x"]), int(r["y"])) for r in rows]
 
 
+# Bits of a draw key that the row sample compares.
+_SAMPLE_BITS = 52
+
+
+def poisson_thresholds(rate: float, bits: int = _SAMPLE_BITS) -> list[int]:
+    """``ceil(2^bits * P(Poisson(rate) <= k))`` for k = 0, 1, ... until the
+    distribution fills all ``bits``; a key reaching k of them is drawn k times."""
+    out, k, p, total = [], 0, math.exp(-rate), 0.0
+    while True:
+        total += p
+        t = min(1 << bits, math.ceil(total * (1 << bits)))
+        if t >= 1 << bits or out and t == out[-1]:
+            return out
+        out.append(t)
+        k += 1
+        p *= rate / k
+
+
 def sample_rows(df: DataFrame, fraction: float = 0.001, seed: int = 0,
-                with_replacement: bool = True) -> DataFrame:
-    """K3: Poisson (with replacement) or Bernoulli row sample."""
-    return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
+                with_replacement: bool = True, key: tuple[str, ...] = ("id",)) -> DataFrame:
+    """K3: Poisson (with replacement) or Bernoulli row sample.
+
+    What is drawn depends on ``md5(seed|key)`` only, so it is the same on any
+    partitioning, cluster and retry; rows with equal keys are drawn alike.
+    """
+    number = F.conv(F.substring(_draw_key(seed, *key), 1, _SAMPLE_BITS // 4), 16, 10).cast("long")
+    if not with_replacement:
+        return df.where(number < F.lit(math.ceil(fraction * (1 << _SAMPLE_BITS))))
+    marks = F.array(*[F.lit(t).cast("long") for t in poisson_thresholds(fraction)])
+    times = F.size(F.filter(marks, lambda t: number >= t))
+    drawn = df.select(*[F.col(f"`{c}`") for c in df.columns], times.alias("_times")).where("_times > 0")
+    return drawn.select(*[F.col(f"`{c}`") for c in df.columns],
+                        F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_nth")).drop("_nth")

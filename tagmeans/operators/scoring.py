@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..config import ClusterConfig
 from ..functions.expressions import lang_index
 from ..schema import POSTING_COLUMNS
+from .vectors import language_points
 
 
 def _posting_struct() -> F.Column:
@@ -59,18 +60,23 @@ def qa_pairs(qs: DataFrame, ans: DataFrame) -> DataFrame:
     return q.join(a, "qid", "inner")
 
 
-def grouped_postings(postings: DataFrame, strict: bool = True) -> DataFrame:
+def grouped_postings(postings: DataFrame, strict: bool = True, langs=None) -> DataFrame:
     """A1: one row per answered question id, summarizing its pairs.
 
     Output: ``qid int, question struct<posting>, n_pairs bigint,
-    score_sum bigint, min_score int, max_score int``. ``question`` is the
-    smallest record among duplicates of the id (the reference keeps an
-    arbitrary one). The pair lists themselves are not collected: an id with a
-    third of all answers would otherwise have to fit one row.
+    score_sum bigint, min_score int, max_score int``. Among duplicates of the
+    id (the reference keeps an arbitrary one) ``question`` is the record with
+    the smallest language index in ``langs``, a missing or unknown tag counting
+    as smallest, then the smallest record; without ``langs`` the smallest
+    record. With the language list of the vectorizer this is the rule of
+    ``scored_vectors``. The pair lists themselves are not collected: an id
+    with a third of all answers would otherwise have to fit one row.
     """
+    code = F.lit(0) if langs is None else F.coalesce(lang_index("tags", langs), F.lit(-1))
+    first = F.min(F.when(_is_q(), F.struct(code.alias("code"), _posting_struct().alias("question"))))
     g = (postings.groupBy(question_key(strict).alias("qid"))
          .agg(F.count_if(_is_q()).alias("nq"),
-              F.min(F.when(_is_q(), _posting_struct())).alias("question"),
+              first["question"].alias("question"),
               F.count_if(_is_a()).alias("na"),
               F.sum(F.when(_is_a(), F.col("score"))).alias("a_sum"),
               F.min(F.when(_is_a(), F.col("score"))).alias("min_score"),
@@ -92,31 +98,28 @@ def scored_postings(grouped: DataFrame) -> DataFrame:
                           F.greatest(F.col("max_score"), F.lit(0)).alias("high_score"))
 
 
-def scored_vectors(postings: DataFrame, config: ClusterConfig, strict: bool = True) -> DataFrame:
-    """A1-A3 fused with P4/P5: ``id int, x bigint, high_score int`` per
-    answered question, straight from the postings.
+def scored_languages(postings: DataFrame, config: ClusterConfig, strict: bool = True) -> DataFrame:
+    """A1-A3 fused with P4: ``id, lang_idx int, high_score int`` per answered
+    question, straight from the postings; -1 for a missing or unknown tag.
 
     The question contributes only its language index, so every aggregate
     buffer is fixed-width and Spark runs a hash aggregate with a map-side
     partial step (no sort, no join, one shuffle of partial rows). Among
-    duplicate question ids the smallest language index is kept, an unknown
-    or missing tag counting as smallest; it then fails the job
-    (``on_unknown='error'``) or drops the question (``'drop'``).
+    duplicate question ids the smallest language index is kept.
     """
     code = F.when(_is_q(), F.coalesce(lang_index("tags", config.langs), F.lit(-1)))
-    g = (postings.groupBy(question_key(strict).alias("qid"))
-         .agg(F.count_if(_is_q()).alias("nq"),
-              F.min(code).alias("lang_idx"),
-              F.count_if(_is_a()).alias("na"),
-              F.max(F.when(_is_a(), F.col("score"))).alias("hs"))
-         .where((F.col("nq") > 0) & (F.col("na") > 0)))
-    idx = F.col("lang_idx")
-    if config.on_unknown == "error":
-        idx = F.when(idx >= 0, idx).otherwise(F.raise_error(F.concat(
-            F.lit("tag not in the language list for question id="),
-            F.col("qid").cast("string"))).cast("int"))
-    else:
-        g = g.where(idx >= 0)
-    return g.select(F.col("qid").alias("id"),
-                    (idx.cast("long") * F.lit(config.lang_spread)).alias("x"),
-                    F.greatest(F.col("hs"), F.lit(0)).alias("high_score"))
+    return (postings.groupBy(question_key(strict).alias("qid"))
+            .agg(F.count_if(_is_q()).alias("nq"),
+                 F.min(code).alias("lang_idx"),
+                 F.count_if(_is_a()).alias("na"),
+                 F.max(F.when(_is_a(), F.col("score"))).alias("hs"))
+            .where((F.col("nq") > 0) & (F.col("na") > 0))
+            .select(F.col("qid").alias("id"), "lang_idx",
+                    F.greatest(F.col("hs"), F.lit(0)).alias("high_score")))
+
+
+def scored_vectors(postings: DataFrame, config: ClusterConfig, strict: bool = True) -> DataFrame:
+    """A1-A3 fused with P4/P5: ``id, x bigint, high_score int`` per answered
+    question. An unknown tag fails the job (``on_unknown='error'``) or drops
+    the question (``'drop'``)."""
+    return language_points(scored_languages(postings, config, strict), config)

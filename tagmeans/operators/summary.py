@@ -1,12 +1,11 @@
 """Per-cluster summary (W1 with A5-A8) and its ordering (K4).
 
 Works on the weighted point set ``(x, y, n)`` (or on plain points, weight
-1). The assigned points are first reduced to one row per (cluster, point),
-partially before the shuffle; from that, one small aggregate per (cluster,
-language) gives the dominant language and one per cluster gives size and
-exact median. The median is Spark's exact ``percentile`` with the
-multiplicity as frequency, whose buffer holds one entry per distinct score
-of the cluster, never the cluster's points.
+1). Every point is assigned once; one aggregate per cluster, partial before
+its shuffle, gives the size, the sizes by language and the exact median. The
+median is Spark's exact ``percentile`` with the multiplicity as frequency,
+whose buffer holds one entry per distinct score of the cluster, never the
+cluster's points. The plan has one sum for each language of the list.
 """
 
 from __future__ import annotations
@@ -22,28 +21,26 @@ from .kmeans import Centers, _weight, assign_closest
 def cluster_stats(points: DataFrame, centers: Centers, config: ClusterConfig) -> DataFrame:
     """Per non-empty cluster: ``i, lang_idx, lang_label, lang_percent,
     cluster_size, median_score`` (unordered)."""
+    lang = (F.col("x") / F.lit(config.lang_spread)).cast("int")
     a = assign_closest(points, centers).select(
-        "i", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"),
-        _weight(points).alias("n"))
-    # One aggregate per (cluster, point); both branches below start from it, so
-    # Spark runs it (and the assignment) once and reuses its shuffle output.
-    base = a.groupBy("i", "x", "y").agg(F.sum("n").alias("c"))
-    by_lang = base.groupBy("i", "x").agg(F.sum("c").alias("c"))
+        "i", lang.alias("lang"), F.col("y").cast("long").alias("y"), _weight(points).alias("n"))
+    # One aggregate, so every point is assigned once: A7 and A8 of the cluster, and
+    # its size in each language of the list (as many sums as there are languages).
+    per_lang = [F.coalesce(F.sum(F.when(F.col("lang") == k, F.col("n"))), F.lit(0)).alias(f"c{k}")
+                for k in range(len(config.langs))]
+    sums = a.groupBy("i").agg(F.sum("n").alias("cluster_size"),
+                              median_int("y", "n").alias("median_score"), *per_lang)
     # A5: most frequent language; ties -> lowest language index.
-    dominant = by_lang.groupBy("i").agg(
-        F.max(F.struct(F.col("c"), (-F.col("x")).alias("neg_x"))).alias("top"))
-    # A7, A8: size and exact median over all languages of the cluster.
-    sizes = base.groupBy("i").agg(F.sum("c").alias("cluster_size"),
-                                  median_int("y", "c").alias("median_score"))
-    lang_idx = (-F.col("top.neg_x") / F.lit(config.lang_spread)).cast("int")
-    return (sizes.join(dominant, "i")
-            .select("i",
-                    lang_idx.alias("lang_idx"),
-                    lang_label(lang_idx, config.langs).alias("lang_label"),
-                    # A6: share of the dominant language, unrounded double.
-                    (F.col("top.c").cast("double") * F.lit(100.0)
-                     / F.col("cluster_size").cast("double")).alias("lang_percent"),
-                    "cluster_size", "median_score"))
+    top = F.array_max(F.array(*[F.struct(F.col(f"c{k}").alias("c"), F.lit(-k).alias("neg"))
+                                for k in range(len(config.langs))]))
+    named = sums.select("i", "cluster_size", "median_score", top.alias("top"))
+    lang_idx = (-F.col("top.neg")).cast("int")
+    return named.select("i", lang_idx.alias("lang_idx"),
+                        lang_label(lang_idx, config.langs).alias("lang_label"),
+                        # A6: share of the dominant language, unrounded double.
+                        (F.col("top.c").cast("double") * F.lit(100.0)
+                         / F.col("cluster_size").cast("double")).alias("lang_percent"),
+                        "cluster_size", "median_score")
 
 
 def cluster_results(points: DataFrame, centers: Centers, config: ClusterConfig) -> DataFrame:

@@ -22,19 +22,23 @@ def vector_postings(scored: DataFrame, config: ClusterConfig) -> DataFrame:
     job (``on_unknown='error'``, the reference behaviour) or drops the row
     (``on_unknown='drop'``).
     """
-    idx = lang_index("tags", config.langs)
+    indexed = scored.select("id", F.coalesce(lang_index("tags", config.langs), F.lit(-1)).alias("lang_idx"),
+                            "high_score")
+    return language_points(indexed, config)
+
+
+def language_points(indexed: DataFrame, config: ClusterConfig) -> DataFrame:
+    """Points of scored questions with a language index (-1: missing or
+    unknown tag). ``on_unknown='error'`` raises in a filter, so no action and
+    no choice of columns can leave the check out."""
+    idx = F.col("lang_idx")
+    known = idx >= 0
     if config.on_unknown == "error":
-        idx = F.when(idx.isNotNull(), idx).otherwise(F.raise_error(F.concat(
-            F.lit("tag not in the language list: "),
-            F.coalesce(F.col("tags"), F.lit("<null>")))))
-        df = scored.select("id", idx.alias("lang_idx"), "high_score")
-    else:
-        df = scored.select("id", idx.alias("lang_idx"), "high_score").where(
-            F.col("lang_idx").isNotNull())
-    return df.select(
-        "id",
-        (F.col("lang_idx").cast("long") * F.lit(config.lang_spread)).alias("x"),
-        "high_score")
+        known = F.when(known, F.lit(True)).otherwise(F.raise_error(F.concat(
+            F.lit("tag not in the language list for question id="),
+            F.col("id").cast("string"))).cast("boolean"))
+    return indexed.where(known).select(
+        "id", (idx.cast("long") * F.lit(config.lang_spread)).alias("x"), "high_score")
 
 
 def weighted_points(vectors: DataFrame, y: str = "high_score") -> DataFrame:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,15 +31,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
 
 
-def cut_lineage(df: DataFrame, keep_in_memory: bool = False) -> DataFrame:
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and continue from that copy.
 
     Later jobs read the written copy, so a lost executor costs a re-read,
-    not a rerun of the upstream plan. ``keep_in_memory`` additionally caches
-    the copy for frames that are re-read many times (the k-means points).
+    not a rerun of the upstream plan. For small frames; Spark's cleaner
+    deletes the copy with the frame if it is told to.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    out = df.checkpoint(eager=True)
-    if keep_in_memory:
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    return out
+    return df.checkpoint(eager=True)
+
+
+def write_copy(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` from a Parquet copy in the checkpoint folder, and the copy's path.
+
+    For large frames: compressed, with column pruning and statistics for what
+    reads it. The caller deletes it with ``delete_copy`` when it is done.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tagmeans-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def delete_copy(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever store it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

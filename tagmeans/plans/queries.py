@@ -20,15 +20,15 @@ from ..config import ClusterConfig
 from ..operators.counts import stage_counts
 from ..operators.kmeans import assign_closest, kmeans, kmeans_step
 from ..operators.parse import answers, malformed_lines, parse_postings, questions
-from ..operators.sampling import (draw_centers, sample_global, sample_rows,
+from ..operators.sampling import (draw_centers, poisson_thresholds, sample_global, sample_rows,
                                   sample_stratified)
 from ..operators.scoring import grouped_postings, qa_pairs, scored_postings, scored_vectors
 from ..operators.vectors import vector_postings, weighted_points, with_lang_index
 from ..schema import POSTING_COLUMNS
 from ..sources.star import STAR_TAGS, star_config, star_lines, star_postings, table
 from ..sources.text import read_lines
-from .checkpoint import cut_lineage, ensure_checkpoint_dir
-from .clustering import cluster_vectors, prepare_points, score
+from .checkpoint import cut_lineage, delete_copy, ensure_checkpoint_dir, write_copy
+from .clustering import cluster_vectors, score
 
 # Settings of the registered queries.
 CFG = star_config()                                   # spread 50000, k 45, eta 20, seed 42
@@ -38,6 +38,7 @@ RESUME_FROM = 110                                     # kmeans(..., iter=110): a
 # A language list that leaves the 'P' status tags unknown.
 PARTIAL_TAGS: tuple[str, ...] = tuple(t for t in STAR_TAGS if not t.endswith("-P"))
 CFG_DROP = ClusterConfig(langs=PARTIAL_TAGS, kernels=len(PARTIAL_TAGS) * 3, on_unknown="drop")
+CFG_DUP = star_config(on_unknown="drop")
 K3_FRACTION = 0.5
 
 
@@ -53,8 +54,10 @@ def _vectors(spark, sf_dir, cfg: ClusterConfig) -> DataFrame:
     return scored_vectors(_postings(spark, sf_dir), cfg)
 
 
-def _seeds(vectors: DataFrame, cfg: ClusterConfig, weighted: DataFrame | None = None):
-    return draw_centers(vectors, cfg, weighted)
+def _held(df: DataFrame) -> DataFrame:
+    """A frame of at most a few hundred rows, from its rows on the driver: what it
+    was computed from can be released."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
 def q_parse_postings(spark, sf_dir):
@@ -66,7 +69,9 @@ def q_text_scan(spark, sf_dir):
     text table into the shared checkpoint folder, then scanned and parsed."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tagmeans-lines-{uuid.uuid4().hex}"
     star_lines(spark, sf_dir).write.mode("overwrite").text(path)
-    return parse_postings(read_lines(spark, path))
+    parsed = cut_lineage(parse_postings(read_lines(spark, path)))
+    delete_copy(spark, path)
+    return parsed
 
 
 def _salted_lines(spark, sf_dir) -> DataFrame:
@@ -83,7 +88,7 @@ def _salted_lines(spark, sf_dir) -> DataFrame:
         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(""))
         .otherwise(F.concat(F.lit("2,"), key, F.lit(",,x,1"))).alias("value"))
     score = F.floor((F.col("l_extendedprice") - F.lit(40000.0)) / F.lit(100.0)).cast("string")
-    lid = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
+    lid = F.col("l_linenumber").cast("string")
     bad_a = li.where(F.col("l_returnflag").isin("A", "N")).select(
         F.when(F.col("l_returnflag") == "A",
                F.concat(F.lit("2,"), lid, F.lit(",,"), F.col("l_orderkey").cast("string"),
@@ -94,6 +99,44 @@ def _salted_lines(spark, sf_dir) -> DataFrame:
     return star_lines(spark, sf_dir).unionByName(bad_q).unionByName(bad_a)
 
 
+def _separator_lines(spark, sf_dir) -> DataFrame:
+    """Lines with line separators: one after the score (malformed) and one within the
+    tag (valid) of every order."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    mark = F.when(F.col("o_orderstatus") == "F", F.lit("\u0085")).otherwise(F.lit("\u2028"))
+    key = F.col("o_orderkey").cast("string")
+    return o.select(F.explode(F.array(
+        F.concat(F.lit("2,7,,"), key, F.lit(",3"), mark),
+        F.concat(F.lit("1,"), key, F.lit(",,,0,a"), mark, F.lit("b")))).alias("value"))
+
+
+def q_parse_lenient(spark, sf_dir):
+    """P1 with malformed lines dropped."""
+    lines = _salted_lines(spark, sf_dir).unionByName(_separator_lines(spark, sf_dir))
+    return parse_postings(lines, strict=False)
+
+
+def _duplicated(spark, sf_dir) -> DataFrame:
+    """The postings, and for every second order a second question of its id with
+    another score and tag; every fourth of those has an unknown tag."""
+    key = F.col("id")
+    other = F.element_at(F.array(*map(F.lit, STAR_TAGS)), (key % len(STAR_TAGS) + 1).cast("int"))
+    again = (star_postings(spark, sf_dir).where((F.col("posting_type") == 1) & (key % 2 == 0))
+             .withColumn("score", F.lit(-1))
+             .withColumn("tags", F.when(key % 8 == 0, F.lit("unknown")).otherwise(other)))
+    return star_postings(spark, sf_dir).unionByName(again)
+
+
+def q_duplicate_questions(spark, sf_dir):
+    """A3 + P5 in one aggregation, with conflicting duplicates of questions."""
+    return scored_vectors(_duplicated(spark, sf_dir), CFG_DUP)
+
+
+def q_duplicate_questions_unfused(spark, sf_dir):
+    """The same by the scored records."""
+    return vector_postings(score(_duplicated(spark, sf_dir), langs=CFG_DUP.langs), CFG_DUP)
+
+
 def q_malformed_lines(spark, sf_dir):
     return malformed_lines(_salted_lines(spark, sf_dir))
 
@@ -167,67 +210,80 @@ def q_sample_global(spark, sf_dir):
     return sample_global(_vectors(spark, sf_dir, CFG_MIXED), CFG_MIXED)
 
 
-def _prepared(spark, sf_dir, cfg):
-    vectors = cut_lineage(_vectors(spark, sf_dir, cfg))
-    return vectors, prepare_points(vectors)
+def _drawn(spark, sf_dir, cfg):
+    """Seeds and weighted points; the per-question points are deleted again."""
+    vectors, path = write_copy(_vectors(spark, sf_dir, cfg))
+    weighted, seeds = cut_lineage(weighted_points(vectors)), draw_centers(vectors, cfg)
+    delete_copy(spark, path)
+    return weighted, seeds
 
 
 def q_assign_closest(spark, sf_dir):
-    vectors, wp = _prepared(spark, sf_dir, CFG)
-    return assign_closest(wp, _seeds(vectors, CFG, wp)).select("x", "y", "n", "i")
+    weighted, seeds = _drawn(spark, sf_dir, CFG)
+    return assign_closest(weighted, seeds).select("x", "y", "n", "i")
 
 
 def q_kmeans_step(spark, sf_dir):
-    vectors, wp = _prepared(spark, sf_dir, CFG)
-    return kmeans_step(wp, _seeds(vectors, CFG, wp))
+    return kmeans_step(*_drawn(spark, sf_dir, CFG))
+
+
+def _run(vectors: DataFrame, cfg: ClusterConfig, out) -> DataFrame:
+    """``out(run)``, held, with everything the run kept released."""
+    run = cluster_vectors(vectors, cfg)
+    try:
+        return _held(out(run))
+    finally:
+        run.release()
 
 
-def _means_frame(spark, sf_dir, cfg, start_iter=1):
-    vectors, wp = _prepared(spark, sf_dir, cfg)
-    return kmeans(wp, _seeds(vectors, cfg, wp), cfg, start_iter=start_iter).centers_frame(spark)
+def _looped(spark, sf_dir, cfg, out, start_iter=1):
+    weighted, seeds = _drawn(spark, sf_dir, cfg)
+    weighted = weighted.persist()
+    try:
+        return out(kmeans(weighted, seeds, cfg, start_iter=start_iter))
+    finally:
+        weighted.unpersist()
 
 
 def q_kmeans_means(spark, sf_dir):
-    return _means_frame(spark, sf_dir, CFG)
+    return _looped(spark, sf_dir, CFG, lambda r: r.centers_frame(spark))
 
 
 def q_kmeans_max_iter(spark, sf_dir):
-    return _means_frame(spark, sf_dir, CFG_MAX3)
+    return _looped(spark, sf_dir, CFG_MAX3, lambda r: r.centers_frame(spark))
 
 
 def q_kmeans_resume(spark, sf_dir):
-    return _means_frame(spark, sf_dir, CFG, start_iter=RESUME_FROM)
+    return _looped(spark, sf_dir, CFG, lambda r: r.centers_frame(spark), start_iter=RESUME_FROM)
 
 
 def q_kmeans_trace(spark, sf_dir):
-    vectors, wp = _prepared(spark, sf_dir, CFG)
-    return kmeans(wp, _seeds(vectors, CFG, wp), CFG).trace_frame(spark)
+    return _looped(spark, sf_dir, CFG, lambda r: r.trace_frame(spark))
 
 
 def q_cluster_results(spark, sf_dir):
-    run = cluster_vectors(scored_vectors(star_postings(spark, sf_dir), CFG), CFG)
-    return run.results()
+    return _run(scored_vectors(star_postings(spark, sf_dir), CFG), CFG, lambda r: r.results())
 
 
 def q_cluster_results_lines(spark, sf_dir):
-    run = cluster_vectors(_vectors(spark, sf_dir, CFG), CFG)
-    return run.results()
+    return _run(_vectors(spark, sf_dir, CFG), CFG, lambda r: r.results())
 
 
 def q_cluster_results_mixed(spark, sf_dir):
-    run = cluster_vectors(_vectors(spark, sf_dir, CFG_MIXED), CFG_MIXED)
-    return run.results()
+    return _run(_vectors(spark, sf_dir, CFG_MIXED), CFG_MIXED, lambda r: r.results())
 
 
 def q_cluster_report(spark, sf_dir):
-    run = cluster_vectors(_vectors(spark, sf_dir, CFG), CFG)
-    return run.report()
+    return _run(_vectors(spark, sf_dir, CFG), CFG, lambda r: r.report())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_postings": q_parse_postings,
     "text_scan": q_text_scan,
     "malformed_lines": q_malformed_lines,
+    "parse_lenient": q_parse_lenient,
+    "duplicate_questions": q_duplicate_questions,
+    "duplicate_questions_unfused": q_duplicate_questions_unfused,
     "questions": q_questions,
     "answers": q_answers,
     "qa_pairs": q_qa_pairs,
@@ -269,7 +325,7 @@ q AS (
          CAST(0 AS INTEGER) AS score, c_mktsegment || '-' || o_orderstatus AS tags
   FROM orders JOIN customer ON o_custkey = c_custkey),
 a AS (
-  SELECT CAST(2 AS INTEGER) AS posting_type, CAST(l_orderkey * 10 + l_linenumber AS INTEGER) AS id,
+  SELECT CAST(2 AS INTEGER) AS posting_type, CAST(l_linenumber AS INTEGER) AS id,
          CAST(NULL AS INTEGER) AS accepted_answer, CAST(l_orderkey AS INTEGER) AS parent_id,
          CAST(floor((l_extendedprice - CAST(40000 AS DOUBLE)) / CAST(100 AS DOUBLE)) AS INTEGER) AS score,
          CAST(NULL AS VARCHAR) AS tags
@@ -365,10 +421,11 @@ def _full(cfg: ClusterConfig, max_updates: int | None = None) -> str:
                  _results_sql(cfg))
 
 
-_PATTERN_SQL = (r"[+-]?[0-9]+,[+-]?[0-9]+,([+-]?[0-9]+)?,([+-]?[0-9]+)?,[+-]?[0-9]+(,.*)?")
+_PATTERN_SQL = (r"(?s)[+-]?[0-9]+,[+-]?[0-9]+,([+-]?[0-9]+)?,([+-]?[0-9]+)?,[+-]?[0-9]+(,.*)?")
 
 
-def _malformed_sql() -> str:
+def _salted_sql(more: str = "") -> str:
+    """``chk``: the salted lines with both checks of the strict parser."""
     fields = "string_split(rtrim(value, ','), ',')"
     fits = " AND ".join(
         f"(coalesce({fields}[{k + 1}], '') = '' OR try_cast({fields}[{k + 1}] AS INTEGER) IS NOT NULL)"
@@ -388,12 +445,16 @@ lines AS (
            ELSE '2,' || CAST(o_orderkey AS VARCHAR) || ',,x,1' END FROM orders
   UNION ALL
   SELECT CASE WHEN l_returnflag = 'A'
-           THEN '2,' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) || ',,' || CAST(l_orderkey AS VARCHAR)
+           THEN '2,' || CAST(l_linenumber AS VARCHAR) || ',,' || CAST(l_orderkey AS VARCHAR)
                 || ',' || CAST(CAST(floor((l_extendedprice - CAST(40000 AS DOUBLE)) / CAST(100 AS DOUBLE)) AS BIGINT) AS VARCHAR) || '.5'
-           ELSE '2,' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) || '0000000000,,' || CAST(l_orderkey AS VARCHAR)
+           ELSE '2,' || CAST(l_linenumber AS VARCHAR) || '0000000000,,' || CAST(l_orderkey AS VARCHAR)
                 || ',' || CAST(CAST(floor((l_extendedprice - CAST(40000 AS DOUBLE)) / CAST(100 AS DOUBLE)) AS BIGINT) AS VARCHAR) END
-  FROM lineitem WHERE l_returnflag IN ('A', 'N')),
-chk AS (SELECT value, regexp_full_match(value, '{_PATTERN_SQL}') AS shape, ({fits}) AS fits FROM lines)
+  FROM lineitem WHERE l_returnflag IN ('A', 'N'){more}),
+chk AS (SELECT value, regexp_full_match(value, '{_PATTERN_SQL}') AS shape, ({fits}) AS fits FROM lines)"""
+
+
+def _malformed_sql() -> str:
+    return _salted_sql() + """
 SELECT value, CASE WHEN NOT shape THEN 'shape' ELSE 'int_range' END AS reason
 FROM chk WHERE NOT shape OR NOT fits"""
 
@@ -405,6 +466,30 @@ def _oracles() -> dict[str, str]:
     o["parse_postings"] = f"{post} SELECT {cols} FROM p"
     o["text_scan"] = o["parse_postings"]
     o["malformed_lines"] = _malformed_sql()
+    mark = "CASE WHEN o_orderstatus = 'F' THEN chr(133) ELSE chr(8232) END"
+    more = f"""
+  UNION ALL SELECT '2,7,,' || CAST(o_orderkey AS VARCHAR) || ',3' || {mark} FROM orders
+  UNION ALL SELECT '1,' || CAST(o_orderkey AS VARCHAR) || ',,,0,a' || {mark} || 'b' FROM orders"""
+    field = "string_split(rtrim(value, ','), ',')"
+    ints = ", ".join(f"CAST(nullif({field}[{k + 1}], '') AS INTEGER) AS {c}"
+                     for k, c in enumerate(POSTING_COLUMNS[:5]))
+    o["parse_lenient"] = (f"{_salted_sql(more)} SELECT {ints}, "
+                          f"CASE WHEN len({field}) >= 6 THEN {field}[6] END AS tags FROM chk WHERE shape AND fits")
+    tags = _sql_list(STAR_TAGS)
+    o["duplicate_questions"] = f"""{post},
+dq AS (SELECT id, tags FROM q UNION ALL
+       SELECT id, CASE WHEN id % 8 = 0 THEN 'unknown' ELSE {tags}[id % {len(STAR_TAGS)} + 1] END
+       FROM q WHERE id % 2 = 0),
+du AS (SELECT id, min(coalesce(list_position({tags}, tags), 0)) - 1 AS lang FROM dq GROUP BY id)
+SELECT du.id, CAST(lang * {CFG_DUP.lang_spread} AS BIGINT) AS x,
+       CAST(greatest(max(a.score), 0) AS INTEGER) AS high_score
+FROM du JOIN a ON du.id = a.parent_id WHERE lang >= 0 GROUP BY du.id, lang"""
+    o["duplicate_questions_unfused"] = o["duplicate_questions"]
+    number = "CAST('0x' || substr(md5('0|' || CAST(id AS VARCHAR)), 1, 13) AS BIGINT)"
+    times = " + ".join(f"CAST(h >= {t} AS INTEGER)" for t in poisson_thresholds(K3_FRACTION))
+    o["sampled_scored"] = f"""{post}
+SELECT id, tags, high_score FROM (
+  SELECT id, tags, high_score, unnest(range({times})) FROM (SELECT *, {number} AS h FROM sc))"""
     o["questions"] = f"{post} SELECT {cols} FROM q"
     o["answers"] = f"{post} SELECT {cols} FROM a"
     o["qa_pairs"] = (f"{post} SELECT q.id AS qid, q.tags, a.id AS answer_id, a.score AS answer_score "

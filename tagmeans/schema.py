@@ -22,13 +22,6 @@ CENTERS = T.StructType([
     T.StructField("y", T.LongType(), False),
 ])
 
-RESULTS = T.StructType([
-    T.StructField("lang_label", T.StringType(), True),
-    T.StructField("lang_percent", T.DoubleType(), True),
-    T.StructField("cluster_size", T.LongType(), True),
-    T.StructField("median_score", T.IntegerType(), True),
-])
-
 TRACE = T.StructType([
     T.StructField("iter", T.IntegerType(), False),
     T.StructField("i", T.IntegerType(), False),

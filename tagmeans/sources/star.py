@@ -4,7 +4,7 @@ A question is an order (joined to its customer), an answer is a line item:
 
 * question: type 1, ``id = o_orderkey``, score 0,
   ``tags = c_mktsegment || '-' || o_orderstatus``;
-* answer: type 2, ``id = l_orderkey * 10 + l_linenumber``,
+* answer: type 2, ``id = l_linenumber`` (nothing keys on an answer's id),
   ``parent_id = l_orderkey``,
   ``score = floor((l_extendedprice - 40000) / 100)``, no tag.
 
@@ -38,24 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A parquet file with a single row group is read by one task, and so would
-    be everything up to the next shuffle. Such a narrow scan is hash
-    redistributed on its own columns over ``defaultParallelism`` partitions
-    (deterministic, and unlike round-robin it needs no local sort). A large
-    input already has far more partitions than cores and passes through
-    unchanged, so no extra shuffle happens at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *df.columns)
-    return df
-
-
 def star_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     return (o.join(c, o.o_custkey == c.c_custkey, "inner")
             .select(F.lit(1).alias("posting_type"),
@@ -67,11 +51,10 @@ def star_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber",
-                                                        "l_extendedprice"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     score = F.floor((F.col("l_extendedprice") - F.lit(40000.0)) / F.lit(100.0)).cast("int")
     return li.select(F.lit(2).alias("posting_type"),
-                     (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("int").alias("id"),
+                     F.col("l_linenumber").cast("int").alias("id"),
                      F.lit(None).cast("int").alias("accepted_answer"),
                      F.col("l_orderkey").cast("int").alias("parent_id"),
                      score.alias("score"),

@@ -56,7 +56,7 @@ def test_local_master_gets_a_private_folder():
 
 def test_cut_lineage_keeps_rows(spark):
     df = spark.range(100).selectExpr("id", "id % 7 AS k")
-    out = cut_lineage(df.groupBy("k").count(), keep_in_memory=True)
+    out = cut_lineage(df.groupBy("k").count())
     assert sorted(tuple(r) for r in out.collect()) == sorted(
         tuple(r) for r in df.groupBy("k").count().collect())
     assert spark.sparkContext.getCheckpointDir()

@@ -86,3 +86,31 @@ def test_read_lines_from_text_file(spark):
         f.write("1,27233496,,,0,C#\n2,5494879,,27233496,1\n")
     p = parse_postings(read_lines(spark, path))
     assert p.agg(F.count("id")).first()[0] == 2
+
+
+def test_strict_check_is_not_pruned(lines_df):
+    bad = lines_df(["1,5,,,0,C#", "no posting"])
+    with pytest.raises(Exception, match="malformed posting line"):
+        parse_postings(bad).count()
+    with pytest.raises(Exception, match="malformed posting line"):
+        questions(parse_postings(bad)).select("id").collect()
+
+
+def test_line_separators_and_null_lines(lines_df):
+    bad = ["2,7,,5,3\u0085", "2,8,,5,4\u2028", "2,9,,5,4\r", None]
+    good = ["1,5,,,0,a\u0085b", "1,6,,,0,\u2028", "1,7,,,0,x\r"]
+    lines = lines_df(bad + good)
+    assert {r.value: r.reason for r in malformed_lines(lines).collect()} == {v: "shape" for v in bad}
+    got = {r.id: r.tags for r in parse_postings(lines, strict=False).collect()}
+    assert got == {5: "a\u0085b", 6: "\u2028", 7: "x\r"}
+    for v in bad:
+        with pytest.raises(Exception, match="malformed posting line"):
+            parse_postings(lines_df([v])).count()
+
+
+def test_64_bit_ids(lines_df):
+    lines = lines_df(["1,3000000000,,,0,C#", "2,3000000001,,3000000000,4", "1,99999999999999999999,,,0"])
+    assert parse_postings(lines, strict=False).count() == 0
+    p = parse_postings(lines, strict=False, id_type="bigint")
+    assert sorted((r.id, r.parent_id) for r in p.collect()) == [(3000000000, None), (3000000001, 3000000000)]
+    assert malformed_lines(lines, "bigint").count() == 1

@@ -9,7 +9,8 @@ from hypothesis import given, settings, strategies as st
 from tagmeans import malformed_lines, parse_postings
 
 FIELDS = ["", "0", "5", "-3", "+7", "007", "2147483647", "2147483648", "-2147483648",
-          "-2147483649", "99999999999", " 5", "5 ", "x", "1.5", "+", "-", "C#", "Java"]
+          "-2147483649", "99999999999", " 5", "5 ", "x", "1.5", "+", "-", "C#", "Java",
+          "3\u0085", "3\u2028", "4\r", "a\u0085b", "\u2028", "C\r"]
 
 
 def java_split(line):

@@ -2,6 +2,7 @@ import pytest
 
 from tagmeans import (ClusterConfig, draw_centers, sample_global, sample_rows,
                       sample_stratified)
+from tagmeans.operators.sampling import poisson_thresholds
 
 LANGS = ("A", "B", "C")
 
@@ -51,19 +52,29 @@ def test_global_sample(spark):
 def test_poisson_row_sample(spark):
     df = spark.range(2000)
     s = sample_rows(df, 0.5, seed=0)
-    n = s.count()
-    assert 800 < n < 1200
-    assert s.count() == n  # seeded
+    rows = [r.id for r in s.collect()]
+    assert 800 < len(rows) < 1200 and len(set(rows)) < len(rows)
+    # the same rows on any partitioning
+    for parts in (1, 4, 16):
+        assert sorted(r.id for r in sample_rows(df.repartition(parts), 0.5, seed=0).collect()) == sorted(rows)
+    assert sorted(r.id for r in sample_rows(df, 0.5, seed=1).collect()) != sorted(rows)
+    kept = sample_rows(df, 0.25, with_replacement=False)
+    assert 400 < kept.count() < 600 and kept.distinct().count() == kept.count()
 
 
-def test_prefiltered_draw_equals_plain_draw(spark):
-    from tagmeans.operators.vectors import weighted_points
+def test_poisson_thresholds_follow_the_distribution():
+    import math
+
+    t = poisson_thresholds(0.5)
+    assert t == sorted(set(t)) and t[-1] < 1 << 52
+    assert abs(t[0] / 2 ** 52 - math.exp(-0.5)) < 1e-15
+    assert abs(t[1] / 2 ** 52 - 1.5 * math.exp(-0.5)) < 1e-15
+    assert poisson_thresholds(0.0) == []
+
+
+def test_stratified_draw_is_whole_on_its_own(spark):
     cfg = ClusterConfig(langs=LANGS, kernels=9)
     v = vectors(spark, [4000, 7, 300])
-    w = weighted_points(v)
-    plain = draw_centers(v, cfg)
-    assert draw_centers(v, cfg, w) == plain
-    # a tiny oversampling leaves languages short and forces the exact redraw
-    assert draw_centers(v, cfg, w, oversample=0.001) == plain
+    assert sample_stratified(v, cfg).count() == 9
     with pytest.raises(ValueError, match="fewer than 3"):
-        draw_centers(vectors(spark, [400, 2, 30]), cfg, weighted_points(vectors(spark, [400, 2, 30])))
+        draw_centers(vectors(spark, [400, 2, 30]), cfg)

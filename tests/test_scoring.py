@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 
 from tagmeans import (ClusterConfig, answers, grouped_postings, qa_pairs, questions,
                       scored_postings, scored_vectors, vector_postings)
+from tagmeans.plans.clustering import vectors_from_postings
 
 PHP_Q = (1, 13882656, None, None, -1, "PHP")
 PHP_ANSWERS = [(2, 13882679 + k, None, 13882656, s, None) for k, s in enumerate([2, 2, 5, 0, 0, 0])]
@@ -101,8 +102,21 @@ def test_grouping_matches_brute_force(spark, rows):
     assert qa_pairs(questions(p), answers(p)).count() == sum(v[0] for v in expect.values())
     cfg = ClusterConfig(langs=tuple(LANGS), kernels=3)
     fused = sorted(tuple(r) for r in scored_vectors(p, cfg).collect())
-    # Without conflicting duplicate tags both paths agree.
-    if all(len({q[5] for q in qs[k]}) == 1 for k in qs):
-        plain = sorted(tuple(r) for r in
-                       vector_postings(scored_postings(grouped_postings(p)), cfg).collect())
-        assert fused == plain
+    plain = sorted(tuple(r) for r in vector_postings(
+        scored_postings(grouped_postings(p, langs=cfg.langs)), cfg).collect())
+    assert fused == plain
+
+
+def test_conflicting_duplicates_have_one_rule(postings_df):
+    rows = [(1, 5, None, None, 0, "Java"), (1, 5, None, None, 3, "JavaScript"), (2, 7, None, 5, 4, None),
+            (1, 6, None, None, 0, "Java"), (1, 6, None, None, 3, "Cobol"), (2, 8, None, 6, 4, None)]
+    p = postings_df(rows)
+    drop = ClusterConfig(on_unknown="drop")
+    for got in (scored_vectors(p, drop),
+                vector_postings(scored_postings(grouped_postings(p, langs=drop.langs)), drop),
+                vectors_from_postings(p, drop, sample_fraction=30.0).distinct()):
+        assert [tuple(r) for r in got.collect()] == [(5, 0, 4)]
+    with pytest.raises(Exception, match="tag not in the language list"):
+        scored_vectors(p, ClusterConfig()).count()
+    with pytest.raises(Exception, match="tag not in the language list"):
+        vector_postings(scored_postings(grouped_postings(p, langs=drop.langs)), ClusterConfig()).select("id").collect()

@@ -55,7 +55,6 @@ def main() -> None:
                           read_lines, sample_stratified, scored_vectors, stage_counts,
                           star_lines, weighted_points)
     from tagmeans.operators.kmeans import cluster_sums
-    from tagmeans.operators.sampling import prefix_thresholds
     from tagmeans.plans.checkpoint import cut_lineage
     from tagmeans.plans.clustering import prepare_points
     from tagmeans.plans.queries import CFG
@@ -65,14 +64,12 @@ def main() -> None:
     lines = read_lines(spark, path)
     vectors = cut_lineage(scored_vectors(parse_postings(lines), CFG))
     weighted = prepare_points(vectors)
-    seeds = draw_centers(vectors, CFG, weighted)
-    counts = {i * CFG.lang_spread: 1000 for i in range(len(CFG.langs))}
+    seeds = draw_centers(vectors, CFG)
     plans = [
         ("scored_vectors (scan -> parse -> per-question aggregate)",
          scored_vectors(parse_postings(lines), CFG)),
         ("weighted_points", weighted_points(vectors)),
-        ("stratified seed draw with prefilter",
-         sample_stratified(vectors, CFG, prefix_thresholds(counts, CFG.per_lang))),
+        ("stratified seed draw", sample_stratified(vectors, CFG)),
         ("k-means update", cluster_sums(weighted, seeds)),
         ("cluster_stats", cluster_stats(weighted, seeds, CFG)),
         ("stage_counts", stage_counts(lines, CFG)),
