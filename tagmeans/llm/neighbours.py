@@ -184,7 +184,8 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
         for x in range(first, bits + 1):
             a, b = ranges(codes, q, x)
             n.append(b - a)
-        return pd.DataFrame({"id": right["id"], "n": list(np.array(n, np.int64).T)})
+        return pd.DataFrame({"id": right["id"], "n": pd.Series(
+            list(np.array(n, np.int64).T), index=right.index, dtype=object)})
 
     met = (dealt(strings(points, "id")).select("id", "code", *keys).groupBy(*keys)
            .cogroup(sent(strings(asking, "id")).select("id", "code", *keys).groupBy(*keys))
