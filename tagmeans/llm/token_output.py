@@ -45,9 +45,9 @@ MAGIC = b"RA1\0"
 SCALE, LANES, STEPS, BLOCK = 20, 256, 512, 1 << 20
 LOW = np.uint64(1 << 31)
 #: Distinct pieces of text whose ids a task remembers.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 #: Characters whose words are looked up together.
-AT_ONCE = 10 << 20
+AT_ONCE = 6 << 20
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _PUNCTUATION = string.punctuation
@@ -329,6 +329,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, doc_id: str = "doc_id"
     def run(batches):
         from pyspark import TaskContext
 
+        pieces_of.cache_clear()  # the worker may have made tokens before
         coder, part, number = Coder(freq), TaskContext.get().partitionId(), 0
         held, docs, n, at = [], [], 0, 0
         for batch in batches:
