@@ -107,9 +107,3 @@ def labelled_sample(docs: DataFrame, marks: DataFrame, doc_id: str, text: str, s
             .join(F.broadcast(picked), "key")  # ``sample`` rows at most
             .groupBy("key").agg(F.min("y").alias("y"), F.min("t").alias("t"))
             .orderBy(F.xxhash64("key"), "key").collect())
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate folder that this library wrote, on whatever store it is."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

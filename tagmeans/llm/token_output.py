@@ -35,8 +35,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.checkpoint import ensure_checkpoint_dir
-from .common import discard, slices, table
+from ..plans.checkpoint import delete_copy, ensure_checkpoint_dir
+from .common import slices, table
 
 END = 0
 MAGIC = b"RA1\0"
@@ -347,7 +347,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, doc_id: str = "doc_id"
     (tokens.select("doc_id", "ids", F.xxhash64("ids").alias("tie"))
      .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
      .mapInArrow(run, _BLOCK_ROWS).write.option("compression", "uncompressed").parquet(f"{folder}/blocks"))
-    discard(spark, f"{folder}/tokens")
+    delete_copy(spark, f"{folder}/tokens")
     return folder
 
 
