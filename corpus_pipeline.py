@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tagmeans.llm import decontamination, mixing, quality, simhash, token_output
-from tagmeans.llm.common import keep, table
+from tagmeans.llm.common import table
+from tagmeans.plans.checkpoint import delete_copy, write_copy
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,10 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, each on a written copy of the one before."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages, one after the other, each on a Parquet copy of what the one before
+    kept, in the shared checkpoint folder; a copy goes when the next one is there."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        docs, path = stage(spark, docs, sf_dir), None
         if i < len(STAGES) - 1:
-            docs = keep(docs)
+            docs, path = write_copy(docs)
+        if before:  # the last stage reads its own files
+            delete_copy(spark, before)
+        before = path
     return docs
