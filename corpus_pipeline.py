@@ -33,7 +33,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its rate in the mix says, to the nearest whole number."""
+    """Clean documents at rate 1 and toxic ones at 0, each as often as its rate says."""
     return mixing.mixed(docs, table(spark, sf_dir, "labels"))
 
 

@@ -12,9 +12,12 @@ and of the gradients so far, so no rates are stored between steps.
 Words (runs of characters other than white space) stand for tokens, unless a
 column with token numbers is given.
 
+A document stands in the mix floor(rate + u) times, u in [0, 1) by a keyed hash of
+its id and text: the expected number is the rate itself, below and above 1.
+
 Defined results: null and empty texts have no token, the posterior of a text
-without words and rate 1; repeated rows get equal rates; without labels there is
-one domain ("") and every rate moves alike; an empty table gives no rows; every
+without words and rate 1; repeated rows get equal rates and copies; without labels
+there is one domain ("") and every rate moves alike; an empty table gives no rows; every
 further column passes through.
 """
 
@@ -33,12 +36,14 @@ from .common import add_from_text, keep, labelled_sample, table
 #: Bounds of the classifier's sample: rows, and characters of a text.
 SAMPLE, SAMPLE_CHARS = 6000, 20_000
 FEATURES, SEEN_IN, EPOCHS, STEPS, TOLERANCE = 1 << 18, 8, 20, 40, 1e-3
-#: No domain but the leading one is to have more than so many times its own tokens in the mix.
-MOST = 1.0
 #: Words whose features a task remembers.
 MEMO = 300_000
 #: Target shares of the domains quality-toxic: nearly all of the mix is good and not toxic.
 TARGETS = {"1-0": 0.97, "0-0": 0.02, "1-1": 0.008, "0-1": 0.002}
+#: Without target shares: how often a domain's own tokens are to stand in the mix, 1 if not here.
+TIMES = {"1-1": 0.0, "0-1": 0.0}
+#: Key of the hash that rounds rates.
+ROUNDING = "mix"
 DOMAIN_LABELS = ("quality", "toxic")
 
 
@@ -186,27 +191,37 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS,
     return gradients, far
 
 
-def plan(members: DataFrame, domains: list[str], targets: dict[str, float] | None = None,
-         most: float = MOST):
+def plan(members: DataFrame, domains: list[str], targets: dict[str, float] | None = None):
     """(``rate`` column, distances) for documents with ``n`` and ``posterior``.
 
     ``targets`` gives the share of each domain in the mix; domains without one get
     none. The mix has so many tokens that the domain with the largest share keeps
-    those it has, so its documents keep rates near 1; no other domain is asked for
-    more than ``most`` times the tokens that it has."""
+    those it has, so its documents keep rates near 1; a domain that is asked for more
+    than it has gets rates above 1. Without ``targets`` every domain keeps its tokens
+    ``TIMES`` as often: clean documents at rate 1, toxic ones at 0."""
     slim = keep(members.groupBy("posterior").agg(F.sum("n").alias("n")))
-    shares = np.array([(targets if targets is not None else TARGETS).get(d, 0.0) for d in domains])
-    shares = shares / shares.sum() if shares.sum() else np.full(len(shares), 1 / len(shares))
-    lead = int(shares.argmax())
-    own = slim.agg(*[F.sum(F.col("n") * F.element_at("posterior", i + 1)) for i in range(len(shares))]).first()
+    own = slim.agg(*[F.sum(F.col("n") * F.element_at("posterior", i + 1)) for i in range(len(domains))]).first()
     own = np.array([x or 0.0 for x in own])
-    gradients, far = fit_rates(slim, np.minimum(shares * own[lead] / shares[lead], most * own).tolist())
+    if targets is None:
+        wanted = own * [TIMES.get(d, 1.0) for d in domains]
+    else:
+        shares = np.array([targets.get(d, 0.0) for d in domains])
+        shares = shares / shares.sum() if shares.sum() else np.full(len(shares), 1 / len(shares))
+        lead = int(shares.argmax())
+        wanted = shares * own[lead] / shares[lead]
+    gradients, far = fit_rates(slim, wanted.tolist())
     return F.when(F.col("n") > 0, rate_column(gradients)).otherwise(1.0), far
 
 
-def with_copies(members: DataFrame, rate) -> DataFrame:
-    """``members`` with ``rate`` and ``copies``, the rate to the nearest whole number, halves up."""
-    return members.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + 0.5).cast("int"))
+def drawn(doc_id, text):
+    """A number in [0, 1) by a keyed hash of a document, in steps that sums with rates keep."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(ROUNDING), doc_id, text), 32) / float(1 << 32)
+
+
+def with_copies(members: DataFrame, rate, u) -> DataFrame:
+    """``members`` with ``rate`` and ``copies``: the rate rounded up with the probability of
+    its fraction, by ``u``."""
+    return members.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + u).cast("int"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
@@ -217,7 +232,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     model = train(docs, labels, doc_id, text, label_columns)
     members = with_posterior(docs, model, text)
     rate, _ = plan(members.select("n", "posterior"), model.domains, targets)
-    return with_copies(members, rate), model.domains
+    return with_copies(members, rate, drawn(F.col("row")[doc_id], F.col("row")[text])), model.domains
 
 
 def mixed(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
@@ -232,10 +247,11 @@ def query(spark, sf_dir):
     """Domain, rate and copies of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels"))
-    members = keep(with_posterior(docs, model).select(F.col("row.doc_id").alias("doc_id"), "n", "posterior"))
-    rate, _ = plan(members, model.domains)
+    members = keep(with_posterior(docs, model).select(
+        F.col("row.doc_id").alias("doc_id"), "n", "posterior", drawn(F.col("row.doc_id"), F.col("row.text")).alias("u")))
+    rate, _ = plan(members, model.domains, TARGETS)
     likely = F.array_position("posterior", F.array_max("posterior")).cast("int")
-    return with_copies(members, rate).select(
+    return with_copies(members, rate, F.col("u")).select(
         "doc_id", F.col("n").alias("n_tokens"),
         F.element_at(F.array(*map(F.lit, model.domains)), likely).alias("domain"),
         F.array_max("posterior").alias("membership"), "rate", "copies")
