@@ -1,20 +1,26 @@
 """License scans: an exact set-similarity join of text blocks and license templates.
 
-A block is a line of a text, as the set of its words; a template is the set of a
-license notice's words. A block meets a template if it holds at least
-``THRESHOLD`` of the template's words (containment). Words are ordered by their
+A template is the set of a notice's words. A text meets it if a run of its words, at
+most the notice's length over ``THRESHOLD``, holds at least ``THRESHOLD`` of the
+template's words (containment) and all its telling phrases (what tells a license from
+the others: "mit license", "version 3"), and none of its barred phrases stands in
+the run or ``AROUND`` words beside it ("lesser general" for the GPL). Runs go over line
+ends, so wrapped notices are met.
+
+A block is a window of the text's words that holds a word every match must have; the
+windows overlap so that each run is in one. Words are ordered by their
 frequency over all blocks, rare ones first. A block and a template that meet with
 an overlap of ``c`` words share one among the first ``|T| - c + 1`` words of the
 template and the first ``|B| - c + 1`` of the block (prefix filter); ``|B| >= c``
 (length filter); and the words from the shared ones on must be enough for ``c``
-(positional filter). Pairs that pass are counted in full. Words that no template
-has can't add to an overlap, so blocks are cut to the templates' words first.
+(positional filter). The runs of pairs that pass are counted in full. Words that no
+template has can't add to an overlap, so only the templates' words meet in the join.
 
 Beside that, phrases are looked for as consecutive words; their labels are the
 base labels.
 
 Only Spark's own functions are used. Defined results: null and empty texts have
-no words and no labels; repeated words of a block count once; repeated rows get
+no words and no labels; repeated words of a run count once; repeated rows get
 equal results; ties in frequency are broken by the word; an empty table gives no
 rows; every further column passes through.
 """
@@ -32,7 +38,7 @@ from .common import LOWER, UPPER, boxed, keep, table
 # The phrases and labels of the contract.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Notices by label; the words of each are one template.
+#: Notices by label that the SQL oracle knows; the words of each are one template.
 TEMPLATES = [
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software "
@@ -44,6 +50,70 @@ TEMPLATES = [
 ]
 THRESHOLD = 0.8
 
+#: Words beside a run in which barred phrases are looked for too.
+AROUND = 2
+
+
+def _notices() -> list[tuple[str, str, list[str], list[str]]]:
+    """Label, text, telling phrases and barred phrases of the common licenses' notices."""
+    (_, mit), (_, grant), (_, apache), (_, _), (_, gpl), (_, reserved) = TEMPLATES
+    spdx = "spdx license identifier"
+    out = [
+        ("mit", mit, ["mit license"], []),
+        ("mit", grant, ["hereby granted", "deal in the software"], []),
+        ("mit", f"{spdx} mit", [spdx, "mit"], []),
+        ("isc", "permission to use copy modify and or distribute this software for any purpose with or without "
+                "fee is hereby granted", ["with or without fee", "hereby granted"], []),
+        ("isc", f"{spdx} isc", [spdx, "isc"], []),
+        ("isc", "released under the isc license", ["isc license"], []),
+        ("apache-2", apache, ["apache license", "version 2"], []),
+        ("apache-2", "licensed under the apache license 2 0", ["apache license 2"], []),
+        ("apache-2", "you may not use this file except in compliance with the license you may obtain a copy of the "
+                     "license at http www apache org licenses license 2 0",
+         ["except in compliance", "apache org licenses license 2"], []),
+        ("apache-2", f"{spdx} apache 2 0", [spdx, "apache 2"], []),
+        ("bsd", "released under the bsd license", ["bsd license"], []),
+        ("bsd", "licensed under the bsd 3 clause license", ["bsd", "clause"], []),
+        ("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
+                "provided that the following conditions are met", ["source and binary forms", "are permitted"], []),
+        ("bsd", f"{spdx} bsd 3 clause", [spdx, "bsd"], []),
+        ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0",
+         ["mozilla public license v 2"], []),
+        ("mpl-2", "licensed under the mozilla public license version 2 0", ["mozilla public license", "version 2"], []),
+        ("mpl-2", "licensed under the mozilla public license 2 0", ["mozilla public license 2"], []),
+        ("mpl-2", f"{spdx} mpl 2 0", [spdx, "mpl 2"], []),
+        ("all-rights-reserved", reserved, [], []),
+    ]
+    other = ["lesser general", "library general", "affero general"]
+    for kind, name, versions in (("gpl", "", ["2", "3"]), ("lgpl", "lesser ", ["2 1", "3"]), ("agpl", "affero ", ["3"])):
+        for v in versions:
+            label, full = f"{kind}-{v.replace(' ', '.')}", f"gnu {name}general public license"
+            tell, bar = [f"{name}general public license", f"version {v}"], [] if name else other
+            for thing in ("program", "library"):
+                out.append((label, f"this {thing} is free software you can redistribute it and or modify it under the "
+                                   f"terms of the {full} as published by the free software foundation either version {v} "
+                                   "of the license or at your option any later version", tell, bar))
+            out += [(label, gpl.replace("gnu general public license", full).replace("version 3", f"version {v}"), tell, bar),
+                    (label, f"{full} version {v}", tell, bar),
+                    (label, f"{full} v{v}", [f"{name}general public license v{v}"], bar),
+                    (label, f"licensed under the {kind} license version {v}", [kind, f"version {v}"], []),
+                    (label, f"licensed under the {kind} v{v}", [f"{kind}v{v}"], []),
+                    (label, f"licensed under the {kind}v{v}", [f"{kind}v{v}"], []),
+                    (label, f"{spdx} {kind} {v} 0" if " " not in v else f"{spdx} {kind} {v}", [spdx, f"{kind} {v}"], [])]
+    long = {"by": "attribution", "nc": "noncommercial", "sa": "sharealike", "nd": "noderivatives"}
+    for parts in (["by"], ["by", "nc"], ["by", "sa"], ["by", "nd"], ["by", "nc", "sa"], ["by", "nc", "nd"]):
+        label, short, words = "-".join(["cc", *parts]), " ".join(parts), " ".join(long[p] for p in parts)
+        more = [f"{parts[-1]} {x}" for x in ("nc", "sa", "nd")]
+        out += [(label, f"licensed under cc {short} 4 0", [f"cc {short}"], more),
+                (label, f"{spdx} cc {short} 4 0", [spdx, f"cc {short}"], more),
+                (label, f"this work is licensed under a creative commons {words} 4 0 international license",
+                 [f"creative commons {words}"], [f"{long[parts[-1]]} {x}" for x in (*long.values(), "non", "share", "no")])]
+    return out
+
+
+#: What the query looks for: label, text, telling phrases, barred phrases.
+NOTICES = _notices()
+
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -54,7 +124,24 @@ def _needed(words: list[str], threshold: float) -> int:
 
 
 def _sets(templates) -> list[tuple[str, list[str]]]:
-    return [(label, sorted(set(text.split()))) for label, text in templates]
+    return [(label, sorted(set(text.split()))) for label, text, *_ in templates]
+
+
+def _span(text: str, threshold: float) -> int:
+    """The length of the runs that are held against a notice."""
+    return ceil(len(text.split()) / threshold - 1e-9)
+
+
+def _anchors(templates, threshold: float) -> list[str]:
+    """Words of which every match has one: of a notice's telling phrases the word that the
+    fewest notices have; without such phrases, as many of its words as can't all be missing."""
+    sets = _sets(templates)
+    common = {w: sum(w in ws for _, ws in sets) for _, ws in sets for w in ws}
+    out: set[str] = set()
+    for (_, ws), (_, _, telling, _) in zip(sets, templates):
+        rare = sorted({w for p in telling for w in p.split()} or ws, key=lambda w: (common.get(w, 0), w))
+        out.update(rare[:1 if telling else len(ws) - _needed(ws, threshold) + 1])
+    return sorted(out)
 
 
 def _array(words, kind=None):
@@ -62,11 +149,10 @@ def _array(words, kind=None):
     return out.cast(f"array<{kind}>") if kind else out
 
 
-def _blocks(docs: DataFrame, text: str, sets, phrases, threshold: float) -> DataFrame:
+def _blocks(docs: DataFrame, text: str, templates, phrases, threshold: float) -> DataFrame:
     """``row``, ``n_words``, ``starts`` (array of (start, label) of phrases) and ``blocks``:
-    the templates' words in each line that has enough of them for the smallest overlap."""
-    vocabulary = sorted({w for _, ws in sets for w in ws})
-    least = min((_needed(ws, threshold) for _, ws in sets), default=1)
+    windows of words with ``AROUND`` more on both sides (empty beyond the text's ends)."""
+    anchors, reach = _anchors(templates, threshold), _reach(templates, threshold)
     low = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER)
     spaced = F.concat(F.lit(" "), F.regexp_replace("low", _NOT_WORD, " "), F.lit(" "))
     base = boxed(docs, low.alias("low")).withColumn("spaced", spaced)
@@ -83,61 +169,94 @@ def _blocks(docs: DataFrame, text: str, sets, phrases, threshold: float) -> Data
     starts = F.when(any_phrase, F.flatten(F.array(none, *[
         F.when(F.contains("spaced", F.lit(f" {p} ")), found(p, label)).otherwise(none)
         for p, label in phrases.items()]))).otherwise(none)
-    known = _array(vocabulary)
-    lines = F.transform(F.split("low", "\n"), lambda x: F.array_intersect(F.split(x, _NOT_WORD), known))
-    return (base.select("row", "low", F.when(any_phrase, words).alias("words"), "spaced",
+    any_anchor = reduce(lambda a, b: a | b, [F.contains("spaced", F.lit(f" {w} ")) for w in anchors], F.lit(False))
+    beyond = _array([""] * AROUND)
+    padded = F.concat(beyond, F.col("words"), beyond)
+    windows = F.transform(F.sequence(F.lit(1), F.size("words"), F.lit(reach)),
+                          lambda i: F.slice("padded", i, 2 * reach + 2 * AROUND))
+    return (base.select("row", F.when(any_phrase | any_anchor, words).alias("words"), "spaced", any_anchor.alias("anchor"),
                         F.regexp_count("low", F.lit(_WORD)).cast("long").alias("n_words"))
-            .select("row", "n_words", starts.alias("starts"),
-                    F.filter(lines, lambda b: F.size(b) >= least).alias("blocks")))
+            .withColumn("padded", F.when(F.col("anchor"), padded))
+            .select("row", "n_words", starts.alias("starts"), F.when(
+                F.col("anchor"), F.filter(windows, lambda b: F.arrays_overlap(b, _array(anchors))))
+                .otherwise(F.expr("cast(array() as array<array<string>>)")).alias("blocks")))
+
+
+def _reach(templates, threshold: float) -> int:
+    """Words from one window's start to the next one's: the longest run."""
+    return max((_span(text, threshold) for _, text, *_ in templates), default=1)
 
 
 def _order(blocks: DataFrame, sets) -> dict[str, int]:
     """The templates' words by frequency over all blocks, rare ones first. At most the
     templates' vocabulary reaches the driver."""
-    counts = {r.w: r.n for r in blocks.select(F.explode(F.flatten("blocks")).alias("w"))
-              .groupBy("w").agg(F.count("*").alias("n")).collect()}
     words = {w for _, ws in sets for w in ws}
+    known = _array(sorted(words), "string")
+    counts = {r.w: r.n for r in blocks.select(F.explode(F.flatten(F.transform(
+        "blocks", lambda b: F.array_intersect(b, known)))).alias("w"))
+              .groupBy("w").agg(F.count("*").alias("n")).collect()}
     return {w: i for i, w in enumerate(sorted(words, key=lambda w: (counts.get(w, 0), w)))}
 
 
-def _join(blocks: DataFrame, sets, order: dict[str, int], threshold: float) -> DataFrame:
+def _join(blocks: DataFrame, templates, order: dict[str, int], threshold: float) -> DataFrame:
     """(uid, found, share): labels and largest containment of the templates that a row's blocks meet."""
-    ranked = [(label, sorted(order[w] for w in ws), _needed(ws, threshold)) for label, ws in sets]
-    rows = [F.struct(F.lit(words[i]).alias("token"), F.lit(i).alias("t_at"), F.lit(t).alias("template"),
-                     F.lit(label).alias("label"), F.lit(c).alias("need"), _array(words).alias("t_words"))
-            for t, (label, words, c) in enumerate(ranked) for i in range(len(words) - c + 1)]
+    ranked = [(label, sorted(ws, key=order.__getitem__), _needed(ws, threshold)) for label, ws in _sets(templates)]
+    rows = [F.struct(F.lit(order[words[i]]).alias("token"), F.lit(i).alias("t_at"), F.lit(t).alias("template"),
+                     F.lit(len(words)).alias("t_size"), F.lit(c).alias("need"))
+            for t, (_, words, c) in enumerate(ranked) for i in range(len(words) - c + 1)]
     if not rows:
         return blocks.limit(0).select("uid", F.array(F.lit("")).alias("found"), F.lit(0.0).alias("share"))
-    prefixes = blocks.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    spark = blocks.sparkSession
+    prefixes = spark.range(1).select(F.inline(F.array(*rows)))
+    wanted = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(t).alias("template"), F.lit(label).alias("label"), _array(words).alias("t_words"),
+                 F.lit(_span(text, threshold)).alias("span"), _array(telling, "string").alias("telling"),
+                 _array(barred, "string").alias("barred"))
+        for t, ((label, words, _), (_, text, telling, barred)) in enumerate(zip(ranked, templates))])))
     ranks = F.create_map(*[x for w, i in order.items() for x in (F.lit(w), F.lit(i))])
-    least = min(c for _, _, c in ranked)
+    least, known = min(c for _, _, c in ranked), _array(sorted(order))
     size = F.size("b_words")
     ordered = (blocks.select("uid", F.explode("blocks").alias("b"))
-               .select("uid", F.array_sort(F.transform("b", lambda w: ranks[w])).alias("b_words")))
-    probes = ordered.select("uid", "b_words", F.posexplode(F.slice("b_words", 1, size - least + 1)).alias("b_at", "token"))
+               .withColumn("b_words", F.array_sort(F.transform(F.array_intersect("b", known), lambda w: ranks[w]))))
+    probes = ordered.select("uid", "b", "b_words", F.posexplode(
+        F.slice("b_words", 1, F.greatest(size - least + 1, F.lit(0)))).alias("b_at", "token"))
     # the prefixes' number of rows is that of the templates' words at most, so every task
     # has them all and blocks aren't shuffled, however common one is
     passed = (probes.join(F.broadcast(prefixes), "token")
               .where((size >= F.col("need")) & (F.col("b_at") <= size - F.col("need"))
-                     & (1 + F.least(F.size("t_words") - F.col("t_at") - 1, size - F.col("b_at") - 1)
+                     & (1 + F.least(F.col("t_size") - F.col("t_at") - 1, size - F.col("b_at") - 1)
                         >= F.col("need"))))
-    return (passed.withColumn("overlap", F.size(F.array_intersect("b_words", "t_words")))
+    spaced = lambda ws: F.concat(F.lit(" "), F.array_join(ws, " "), F.lit(" "))
+    inside = lambda text, p: F.contains(text, F.concat(F.lit(" "), p, F.lit(" ")))
+    whole = spaced(F.col("b"))
+
+    def met(i):
+        run = F.slice("b", i, F.col("span"))
+        n = F.size(F.array_intersect(run, "t_words"))
+        around = spaced(F.slice("b", i - AROUND, F.col("span") + 2 * AROUND))
+        return F.when((n >= F.col("need")) & F.forall("telling", lambda p: inside(spaced(run), p))
+                      & ~F.exists("barred", lambda p: inside(around, p)), n).otherwise(0)
+
+    starts = F.sequence(F.lit(AROUND + 1), F.lit(AROUND + _reach(templates, threshold)))
+    return (passed.join(F.broadcast(wanted), "template")  # one row for each template
+            .where(F.forall("telling", lambda p: inside(whole, p)))
+            .withColumn("overlap", F.array_max(F.transform(starts, met)))
             .where("overlap >= need")
             .groupBy("uid").agg(F.collect_set("label").alias("found"),
                                 F.max(F.col("overlap") / F.size("t_words")).alias("share")))
 
 
-def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phrases: dict[str, str] = PHRASES,
+def scan(docs: DataFrame, text: str = "text", templates=NOTICES, phrases: dict[str, str] = PHRASES,
          threshold: float = THRESHOLD) -> DataFrame:
     """``row`` (all columns of ``docs`` but the text), ``n_words``, ``starts``
     (array<struct<start, label>>: places of the phrases), ``labels`` (array, of phrases
     and templates) and ``score``: the largest containment met, 1 for a phrase, else 0."""
     sets = _sets(templates)
-    slim = keep(_blocks(docs, text, sets, phrases, threshold)
+    slim = keep(_blocks(docs, text, templates, phrases, threshold)
                 .withColumn("row", F.col("row").dropFields(text))
                 .withColumn("uid", F.monotonically_increasing_id()))
     blocks = slim.where(F.size("blocks") > 0).select("uid", "blocks")
-    met = _join(blocks, sets, _order(blocks, sets), threshold)
+    met = _join(blocks, templates, _order(blocks, sets), threshold)
     own = F.transform("starts", lambda s: s["label"])
     return slim.join(met, "uid", "left").select(
         "row", "n_words", "starts",
@@ -157,7 +276,8 @@ def query(spark, sf_dir):
 
 
 def oracle(templates=TEMPLATES, phrases=PHRASES, threshold=THRESHOLD) -> str:
-    """The query's rows in DuckDB SQL, by counting every line against every template."""
+    """The query's rows in DuckDB SQL where the only notices are lines as in ``TEMPLATES``: it
+    counts every line against these, without telling phrases, so elsewhere it is looser."""
     sets = _sets(templates)
     rows = ", ".join(f"({i}, '{label}', '{w}', {len(ws)}, {_needed(ws, threshold)})"
                      for i, (label, ws) in enumerate(sets) for w in ws)
