@@ -3,11 +3,11 @@
 The standard library's parser streams events; a line is the text between two
 block boundaries, its ratio the text's length over the tags within. The ratios
 are smoothed by a Gaussian over the neighbouring lines and split by a two-means
-threshold. The lines above it elect the content region: the innermost element
-that holds most of their text, raised to the article (else the main element) it
-is in. In an article or main element every line counts that isn't in an element
-set apart (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, comments); in any other region lines below the threshold that are mostly
+threshold. The lines above it that aren't in an element set apart (menus, headers,
+footers, sidebars, notices, adverts, forms, scripts, styles, comments) elect the
+content region: the lowest element that holds them all, raised to the main element
+(else the article) it is in. In an article or main element every line counts that
+isn't set apart; elsewhere in the region lines below the threshold that are mostly
 links go too.
 
 Defined results: null, empty and textless pages give "" and 0; broken and cut off
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import add_from_text, table
 
-SIGMA, MAJORITY, LINK_SHARE = 1.5, 0.6, 0.5
+SIGMA, LINK_SHARE = 1.5, 0.5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -175,31 +175,32 @@ def main_text(html: str) -> str:
     ratios = np.array([0.0 if x[4] else len(x[0]) / max(1, x[1]) for x in lines])
     smooth = np.log1p(smoothed(ratios))
     content = smooth >= threshold(smooth[free])
-    weight: dict[int, int] = {}
-    for i in free:
-        if content[i]:
-            at = lines[i][3]
-            while at >= 0:
-                weight[at] = weight.get(at, 0) + len(lines[i][0])
-                at = parents[at][0]
-    total, best = weight.get(0, 0), 0
-    for at in sorted(weight):  # parents come before their children
-        if weight[at] >= MAJORITY * total and parents[at][1] in REGIONS:
-            best = at
-    region, at, kind = best, best, ""
-    while at >= 0:
-        if parents[at][1] in ("article", "main") and (kind != "article" or parents[at][1] == "article"):
-            region, kind = at, parents[at][1]
-        at = parents[at][0]
-
-    def inside(at: int) -> bool:
-        while at > region:
-            at = parents[at][0]
-        return at == region
 
-    return "\n".join(
-        lines[i][0] for i in free if inside(lines[i][3])
-        and (kind or content[i] or lines[i][2] <= LINK_SHARE * len(lines[i][0])))
+    def path(at: int) -> list[int]:
+        """The element and those around it, innermost first."""
+        out = []
+        while at >= 0:
+            out.append(at)
+            at = parents[at][0]
+        return out
+
+    paths = {at: path(at) for at in {lines[i][3] for i in free}}
+    shared = set.intersection(*[set(paths[lines[i][3]]) for i in free if content[i]])
+    # elements come before those in them, so the lowest of a path has the largest number
+    region = max((at for at in shared if parents[at][1] in REGIONS), default=0)
+    around = path(region)
+    for kind in ("main", "article"):
+        outer = [at for at in around if parents[at][1] == kind]
+        if outer:
+            region = outer[-1]
+            break
+
+    def counts(i: int) -> bool:
+        held = paths[lines[i][3]]
+        return region in held and (content[i] or any(parents[at][1] in ("article", "main") for at in held)
+                                   or lines[i][2] <= LINK_SHARE * len(lines[i][0]))
+
+    return "\n".join(lines[i][0] for i in free if counts(i))
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
