@@ -7,7 +7,7 @@ the others: "mit license", "version 3"), and none of its barred phrases stands i
 the run or ``AROUND`` words beside it ("lesser general" for the GPL). Runs go over line
 ends, so wrapped notices are met.
 
-A block is a window of the text's words that holds a word every match must have; the
+A block is a window of the text's words that holds a phrase every match must have; the
 windows overlap so that each run is in one. Words are ordered by their
 frequency over all blocks, rare ones first. A block and a template that meet with
 an overlap of ``c`` words share one among the first ``|T| - c + 1`` words of the
@@ -82,7 +82,7 @@ def _notices() -> list[tuple[str, str, list[str], list[str]]]:
         ("mpl-2", "licensed under the mozilla public license version 2 0", ["mozilla public license", "version 2"], []),
         ("mpl-2", "licensed under the mozilla public license 2 0", ["mozilla public license 2"], []),
         ("mpl-2", f"{spdx} mpl 2 0", [spdx, "mpl 2"], []),
-        ("all-rights-reserved", reserved, [], []),
+        ("all-rights-reserved", reserved, ["rights", "reserved"], []),
     ]
     other = ["lesser general", "library general", "affero general"]
     for kind, name, versions in (("gpl", "", ["2", "3"]), ("lgpl", "lesser ", ["2 1", "3"]), ("agpl", "affero ", ["3"])):
@@ -133,14 +133,12 @@ def _span(text: str, threshold: float) -> int:
 
 
 def _anchors(templates, threshold: float) -> list[str]:
-    """Words of which every match has one: of a notice's telling phrases the word that the
-    fewest notices have; without such phrases, as many of its words as can't all be missing."""
-    sets = _sets(templates)
-    common = {w: sum(w in ws for _, ws in sets) for _, ws in sets for w in ws}
+    """Phrases of which every match has one: a notice's longest telling phrase; without
+    such phrases, as many of its words as can't all be missing."""
     out: set[str] = set()
-    for (_, ws), (_, _, telling, _) in zip(sets, templates):
-        rare = sorted({w for p in telling for w in p.split()} or ws, key=lambda w: (common.get(w, 0), w))
-        out.update(rare[:1 if telling else len(ws) - _needed(ws, threshold) + 1])
+    for (_, ws), (_, _, telling, _) in zip(_sets(templates), templates):
+        out.update([max(telling, key=lambda p: (len(p.split()), len(p)))] if telling
+                   else ws[:len(ws) - _needed(ws, threshold) + 1])
     return sorted(out)
 
 
@@ -169,7 +167,11 @@ def _blocks(docs: DataFrame, text: str, templates, phrases, threshold: float) ->
     starts = F.when(any_phrase, F.flatten(F.array(none, *[
         F.when(F.contains("spaced", F.lit(f" {p} ")), found(p, label)).otherwise(none)
         for p, label in phrases.items()]))).otherwise(none)
-    any_anchor = reduce(lambda a, b: a | b, [F.contains("spaced", F.lit(f" {w} ")) for w in anchors], F.lit(False))
+
+    def anchored(spaced):
+        return reduce(lambda a, b: a | b, [F.contains(spaced, F.lit(f" {p} ")) for p in anchors], F.lit(False))
+
+    any_anchor = anchored(F.col("spaced"))
     beyond = _array([""] * AROUND)
     padded = F.concat(beyond, F.col("words"), beyond)
     windows = F.transform(F.sequence(F.lit(1), F.size("words"), F.lit(reach)),
@@ -178,7 +180,7 @@ def _blocks(docs: DataFrame, text: str, templates, phrases, threshold: float) ->
                         F.regexp_count("low", F.lit(_WORD)).cast("long").alias("n_words"))
             .withColumn("padded", F.when(F.col("anchor"), padded))
             .select("row", "n_words", starts.alias("starts"), F.when(
-                F.col("anchor"), F.filter(windows, lambda b: F.arrays_overlap(b, _array(anchors))))
+                F.col("anchor"), F.filter(windows, lambda b: anchored(F.concat(F.lit(" "), F.array_join(b, " "), F.lit(" ")))))
                 .otherwise(F.expr("cast(array() as array<array<string>>)")).alias("blocks")))
 
 
