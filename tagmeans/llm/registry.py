@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, licenses, mixing, neighbours, pii, quality, simhash, spans, token_output
+from . import (collocations, decontamination, html_text, licenses, mixing, neighbours, pii, quality, simhash, spans,
+               token_output)
 
 QUERIES = {
     "op1_licenses": licenses.query,
@@ -15,5 +16,7 @@ QUERIES = {
     "op8_token_output": token_output.query,
     "op9_pii": pii.query,
     "op10_repeated_spans": spans.query,
+    "op11_collocations": collocations.query,
 }
-ORACLES = {"op1_licenses": licenses.oracle(), "op7_decontamination": decontamination.ORACLE}
+ORACLES = {"op1_licenses": licenses.oracle(), "op7_decontamination": decontamination.ORACLE,
+           "op11_collocations": collocations.ORACLE}
