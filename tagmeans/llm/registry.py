@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (collocations, decontamination, html_text, licenses, mixing, neighbours, pii, quality, simhash, spans,
-               token_output)
+               token_output, trie)
 
 QUERIES = {
     "op1_licenses": licenses.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_pii": pii.query,
     "op10_repeated_spans": spans.query,
     "op11_collocations": collocations.query,
+    "op12_conversation_trie": trie.query,
 }
 ORACLES = {"op1_licenses": licenses.oracle(), "op7_decontamination": decontamination.ORACLE,
-           "op11_collocations": collocations.ORACLE}
+           "op11_collocations": collocations.ORACLE, "op12_conversation_trie": trie.ORACLE}

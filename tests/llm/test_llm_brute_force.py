@@ -26,7 +26,7 @@ def documents(spark):
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = registry.QUERIES[name](spark, SF)
     res = con.execute(registry.ORACLES[name])
