@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (collocations, decontamination, html_text, licenses, mixing, neighbours, pii, quality, simhash, spans,
-               token_output, trie)
+               token_output, toxicity, trie)
 
 QUERIES = {
     "op1_licenses": licenses.query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_repeated_spans": spans.query,
     "op11_collocations": collocations.query,
     "op12_conversation_trie": trie.query,
+    "op13_toxicity": toxicity.query,
 }
 ORACLES = {"op1_licenses": licenses.oracle(), "op7_decontamination": decontamination.ORACLE,
            "op11_collocations": collocations.ORACLE, "op12_conversation_trie": trie.ORACLE}
