@@ -12,10 +12,11 @@ Phrases grow by a word at each of five levels. A phrase that occurs ``least`` ti
 only parts that do, so a level counts only where both shorter phrases may be frequent,
 which a Bloom filter of fixed size tells; counts are exact whatever it lets through.
 
-Skew: a slice counts before it sends, and a stripe is dealt to ``SHARDS`` parts by the
-next word's hash, so neither a word that a third of all phrases begin with nor the
-empty prefix meets in one task. The totals of a one-word part, which many phrases ask
-for, stand in ``COPIES`` copies.
+Skew: a slice counts before it sends, and the stripe of a prefix that stands at ``HOT`` of
+all words or more is dealt to ``SHARDS`` parts by the next word's hash, so neither a word
+that a third of all phrases begin with nor the empty prefix meets in one task. There are at
+most 1 / ``HOT`` such prefixes at each level, whatever the input. The totals of a one-word
+part, which many phrases ask for, stand in ``COPIES`` copies.
 
 Defined results: null and empty texts have no words; a null language is ``und``; repeated
 rows count each time; a text of any length is counted whole; phrases don't cross
@@ -39,16 +40,29 @@ from .words import byte_kinds, mixed, word_hashes, words_of
 #: Words of the longest phrase, occurrences of the rarest one, rows of a language.
 LONGEST, LEAST, TOP = 5, 100, 2000
 KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
-#: Parts that a stripe is dealt to, by the words of its prefix.
-SHARDS = (1024, 64, 16, 16, 16)
+#: The share of all words at which a prefix's stripe is dealt to several parts, and these.
+HOT, SHARDS, FIRST_SHARDS = 0.001, 64, 1024
 #: Copies of the total of a one-word part.
 COPIES = 32
+#: Text that is counted at once.
+CHARS = 12 << 20
 
-_STRIPE = "lang string, prefix string, shard int, next array<string>, n array<long>, h array<long>"
+#: ``next``: words with a space between; ``n``: their counts; ``rest``: other occurrences.
+_STRIPE = "lang string, prefix string, shard int, next string, n array<int>, rest long"
 _ENTRY = "lang string, prefix string, next string, n long, most long, h long"
 
 
-def _counted(texts: pa.Array, langs: pa.Array, size: int, known: np.ndarray | None) -> pa.RecordBatch | None:
+def _name(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode())
+
+
+def _longer(hashes, words):
+    """Hashes of phrases from those of their prefixes and last words."""
+    return mixed(hashes * np.uint64(3) + words)
+
+
+def _counted(texts: pa.Array, langs: pa.Array, size: int, known: np.ndarray,
+             hot: np.ndarray) -> pa.RecordBatch | None:
     """The stripes of ``size`` - 1 words' prefixes in some texts."""
     w = words_of(texts, KINDS)
     count = len(w.codes)
@@ -58,7 +72,7 @@ def _counted(texts: pa.Array, langs: pa.Array, size: int, known: np.ndarray | No
     names, per_doc = coded.dictionary, coded.indices.to_numpy()
     vocabulary, word_h = len(w.known) + 1, word_hashes(w.known)
     gram = per_doc[w.doc].astype(np.int64)  # the phrase at each place, numbered within this slice
-    hashes = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in names.to_pylist()], np.uint64)
+    hashes = np.array([_name(x) for x in names.to_pylist()], np.uint64)
     live = np.ones(count, bool)  # where that phrase may be frequent
     place, langs_of = None, np.arange(len(names))
     for m in range(1, size):
@@ -66,7 +80,7 @@ def _counted(texts: pa.Array, langs: pa.Array, size: int, known: np.ndarray | No
         at = np.flatnonzero(live)
         key, place, number = np.unique(gram[at] * vocabulary + w.codes[at + m - 1], return_index=True, return_inverse=True)
         place = at[place]
-        hashes = mixed(hashes[key // vocabulary] * np.uint64(3) + word_h[key % vocabulary])
+        hashes = _longer(hashes[key // vocabulary], word_h[key % vocabulary])
         langs_of = langs_of[key // vocabulary]
         gram = np.full(count, -1, np.int64)
         gram[at] = number
@@ -82,24 +96,39 @@ def _counted(texts: pa.Array, langs: pa.Array, size: int, known: np.ndarray | No
     follows[longer] = w.codes[at[longer] + size - 1] + 1
     key, n = np.unique(gram[at] * vocabulary + follows, return_counts=True)
     prefix, follows = key // vocabulary, key % vocabulary
-    own = np.r_[np.uint64(0), word_h][follows]
-    h = np.where(follows > 0, mixed(hashes[prefix] * np.uint64(3) + own), np.uint64(0))
-    shard = np.where(follows > 0, (own >> np.uint64(40)) % np.uint64(SHARDS[size - 1]), np.uint64(0)).astype(np.int32)
-    order = np.lexsort((shard, prefix))
-    prefix, follows, n, h, shard = prefix[order], follows[order], n[order], h[order], shard[order]
+    parts = FIRST_SHARDS if size == 1 else np.where(np.isin(hashes, hot), SHARDS, 1)[prefix]
+    shard = np.where(follows > 0, (np.r_[np.uint64(0), word_h][follows] >> np.uint64(40)).astype(np.int64) % parts, 0)
+    order = np.lexsort((shard, prefix))  # entries without a word, which are the first of their prefix, stay first
+    prefix, follows, n, shard = prefix[order], follows[order], n[order], shard[order]
     new = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]) | (shard[1:] != shard[:-1])])
-    offsets = pa.array(np.r_[new, len(prefix)].astype(np.int32))
+    rest = np.where(follows[new] == 0, n[new], 0)
+    word = follows > 0
+    offsets = pa.array(np.r_[0, np.cumsum(word)][np.r_[new, len(prefix)]].astype(np.int32))
     first = prefix[new]
     if size == 1:
         text = pa.array([""] * len(new))
     else:
-        parts = [w.known.take(pa.array(w.codes[place[first] + i])) for i in range(size - 1)]
-        text = pc.binary_join_element_wise(*parts, b" ").cast(pa.string())
-    follow = w.known.take(pa.array(follows - 1, mask=follows == 0)).cast(pa.string())
+        text = pc.binary_join_element_wise(
+            *[w.known.take(pa.array(w.codes[place[first] + i])) for i in range(size - 1)], b" ").cast(pa.string())
+    follow = w.known.take(pa.array(follows[word] - 1)).cast(pa.string())
     return pa.RecordBatch.from_arrays(
-        [names.take(pa.array(langs_of[first])), text, pa.array(shard[new])]
-        + [pa.ListArray.from_arrays(offsets, x) for x in (follow, pa.array(n), pa.array(h.view(np.int64)))],
-        names=["lang", "prefix", "shard", "next", "n", "h"])
+        [names.take(pa.array(langs_of[first])), text, pa.array(shard[new].astype(np.int32)),
+         pc.binary_join(pa.ListArray.from_arrays(offsets, follow), " "),
+         pa.ListArray.from_arrays(offsets, pa.array(n[word].astype(np.int32))), pa.array(rest)],
+        names=["lang", "prefix", "shard", "next", "n", "rest"])
+
+
+def _hashed(langs: pa.Array, phrases: pa.Array) -> pa.Array:
+    """The hashes that ``_counted`` gives phrases."""
+    w = words_of(phrases, KINDS)
+    coded = langs.dictionary_encode()
+    h = np.array([_name(x) for x in coded.dictionary.to_pylist()], np.uint64)[coded.indices.to_numpy()]
+    own, begin = word_hashes(w.known)[w.codes], np.searchsorted(w.doc, np.arange(len(phrases)))
+    size = np.diff(np.r_[begin, len(w.doc)])
+    for i in range(int(size.max(initial=0))):
+        more = size > i
+        h[more] = _longer(h[more], own[begin[more] + i])
+    return pa.array(h.view(np.int64))
 
 
 def _merged(least: int):
@@ -108,22 +137,26 @@ def _merged(least: int):
     keys = ["lang", "prefix", "shard"]
 
     def entries(batch):
-        parent = pc.list_parent_indices(batch["next"])
-        return pa.table({k: batch[k].take(parent) for k in keys}
-                        | {k: pc.list_flatten(batch[k]) for k in ("next", "n", "h")})
+        parent = pc.list_parent_indices(batch["n"])
+        words = pc.list_flatten(pc.split_pattern(batch["next"].filter(pc.not_equal(batch["next"], "")), " "))
+        counted = pa.table({k: batch[k].take(parent) for k in keys}
+                           | {"next": words, "n": pc.list_flatten(batch["n"]).cast(pa.int64())})
+        rest = pa.table({k: batch[k] for k in keys} | {"next": pa.nulls(batch.num_rows, pa.string()), "n": batch["rest"]})
+        return pa.concat_tables([counted, rest])
 
     def out(t):
         is_word = pc.is_valid(t["next"])
         stripe = (t.append_column("w", pc.if_else(is_word, t["n"], 0))
                   .group_by(keys).aggregate([("n", "sum"), ("w", "max")]))
-        none = pa.nulls(stripe.num_rows, pa.string())
         big = t.filter(pc.and_(is_word, pc.greater_equal(t["n"], least)))
-        yield pa.RecordBatch.from_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (
-            stripe["lang"], stripe["prefix"], none, stripe["n_sum"], stripe["w_max"],
-            pa.nulls(stripe.num_rows, pa.int64()))], names=["lang", "prefix", "next", "n", "most", "h"])
-        yield pa.RecordBatch.from_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (
-            big["lang"], big["prefix"], big["next"], big["n"], pa.nulls(big.num_rows, pa.int64()), big["h"])],
-            names=["lang", "prefix", "next", "n", "most", "h"])
+        phrase = pc.binary_join_element_wise(big["prefix"], big["next"], " ").combine_chunks()
+        nulls = lambda n, kind: pa.nulls(n, kind)
+        for cols in ((stripe["lang"], stripe["prefix"], nulls(stripe.num_rows, pa.string()), stripe["n_sum"],
+                      stripe["w_max"], nulls(stripe.num_rows, pa.int64())),
+                     (big["lang"], big["prefix"], big["next"], big["n"], nulls(big.num_rows, pa.int64()),
+                      _hashed(big["lang"].combine_chunks(), phrase))):
+            yield pa.RecordBatch.from_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in cols],
+                                             names=["lang", "prefix", "next", "n", "most", "h"])
 
     def run(batches):
         held = None  # the counter of the last stripe so far
@@ -132,9 +165,8 @@ def _merged(least: int):
                 continue
             t = entries(batch)
             t = pa.concat_tables([held, t]) if held is not None else t
-            t = t.group_by([*keys, "next"]).aggregate([("n", "sum"), ("h", "min")])
-            t = t.rename_columns([{"n_sum": "n", "h_min": "h"}.get(c, c) for c in t.column_names])
-            t = t.select([*keys, "next", "n", "h"])
+            t = t.group_by([*keys, "next"]).aggregate([("n", "sum")]).select([*keys, "next", "n_sum"])
+            t = t.rename_columns([*keys, "next", "n"])
             last = [batch[k][-1] for k in keys]
             same = pc.and_(pc.and_(pc.equal(t["lang"], last[0]), pc.equal(t["prefix"], last[1])), pc.equal(t["shard"], last[2]))
             held = t.filter(same)
@@ -147,16 +179,15 @@ def _merged(least: int):
     return run
 
 
-def stripes(docs: DataFrame, size: int, known=None, text: str = "text", lang: str = "lang", least: int = LEAST) -> DataFrame:
+def stripes(docs: DataFrame, size: int, known, hot, text: str = "text", lang: str = "lang", least: int = LEAST) -> DataFrame:
     """The merged stripes of prefixes of ``size`` - 1 words as entries (``_ENTRY``);
-    ``known``: a broadcast filter of the shorter phrases that may be frequent."""
+    ``known``: a broadcast filter of the shorter phrases that may be frequent; ``hot``: the hashes of hot prefixes."""
     slim = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
 
     def build(batches):
         for batch in batches:
-            for a, b in slices(batch.column(0)):
-                got = _counted(batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), size,
-                               known.value if known is not None else None)
+            for a, b in slices(batch.column(0), CHARS):
+                got = _counted(batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), size, known.value, hot)
                 if got is not None:
                     yield got
 
@@ -170,10 +201,15 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     """lang, phrase, a, l, r, n, score: every phrase of 2 to ``longest`` words that occurs
     ``least`` times and isn't subsumed, with the cut that explains it best."""
     spark = docs.sparkSession
-    found, known = None, np.zeros(WORDS, np.int64)
+    found, known, hot = None, np.zeros(WORDS, np.int64), np.zeros(0, np.uint64)
     for size in range(1, longest + 1):
-        level = keep(stripes(docs, size, spark.sparkContext.broadcast(known), text, lang, least))
+        level = keep(stripes(docs, size, spark.sparkContext.broadcast(known), hot, text, lang, least))
         found = level if found is None else found.union(level)
+        if size == 1:
+            words = level.where("next is null").agg(F.sum("n")).first()[0] or 0
+        # phrases of one length stand at no more places than there are words, so 1 / HOT of them at most
+        often = level.where(F.col("next").isNotNull() & (F.col("n") >= HOT * words)).select("h").toArrow()
+        hot = np.sort(often["h"].to_numpy().view(np.uint64))
         new = bloom(level.where("next is not null"), "h")
         if not new.any():
             break
