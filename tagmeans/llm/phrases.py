@@ -1,4 +1,4 @@
-"""Content-defined phrases of byte texts, for the duplicate spans of ``spans.py``."""
+"""Content-defined phrases of byte texts, for the repeated spans of ``spans.py``."""
 
 from __future__ import annotations
 
@@ -50,18 +50,25 @@ def phrases(data: bytes, length: int, reach: int):
     return at, np.diff(np.r_[at, windows]), anchor[at]
 
 
-def signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+def hashes(data, begin, end, seed: int = 0) -> np.ndarray:
+    """Signed 64-bit hashes of parts of a text. They deal work out; equality is told by bytes."""
+    view, h = memoryview(data), xxhash.xxh3_64_intdigest
+    return np.array([h(view[a:b], seed) for a, b in zip(begin.tolist(), end.tolist())], np.uint64).view(np.int64)
 
 
-def names(data: bytes, at, n, anchor, length: int, reach: int):
-    """(``core``, ``context``) of each phrase as signed 64-bit hashes.
+def parsed(data: bytes, length: int, reach: int):
+    """Arrays of a text's phrases: first window, windows, trigger, core's hash and how
+    often in a row the phrase stands there (equal neighbours are one entry).
 
     The core is the bytes that every window of the phrase has after its trigger;
-    equal windows have equal cores. The context is all bytes of all its windows
-    with the trigger's place in them."""
-    view, size = memoryview(data), length - reach + 1
-    h = xxhash.xxh3_64_intdigest
-    core = [signed(h(view[a:a + size])) for a in anchor.tolist()]
-    context = [signed(h(view[a:a + k + length - 1], x - a)) for a, k, x in zip(at.tolist(), n.tolist(), anchor.tolist())]
-    return core, context
+    equal windows have equal cores."""
+    at, n, anchor = phrases(data, length, reach)
+    core = hashes(data, anchor, anchor + (length - reach + 1))
+    if not len(at):
+        return at, n, anchor, core, n
+    like = (core[1:] == core[:-1]) & (n[1:] == n[:-1]) & (anchor[1:] - at[1:] == anchor[:-1] - at[:-1])
+    for i in np.flatnonzero(like).tolist():
+        size = int(n[i]) + length - 1
+        like[i] = data[at[i]:at[i] + size] == data[at[i + 1]:at[i + 1] + size]
+    new = np.flatnonzero(np.r_[True, ~like])
+    return at[new], n[new], anchor[new], core[new], np.diff(np.r_[new, len(at)])

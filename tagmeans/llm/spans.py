@@ -2,29 +2,32 @@
 
 Rolling-hash triggers cut the places of a text into phrases (``phrases.py``); a
 trigger depends on nearby bytes only, so repeated strings are cut alike wherever
-they stand, and every window of ``length`` bytes belongs to one phrase. Phrases
-with equal bytes are one entry of the dictionary, however often they occur, so
-highly repetitive text shrinks before it is compared:
-
-1. The parse: each phrase's core (bytes that all its windows share) and context
-   (all bytes of all its windows) get names. Cores that occur once are dropped;
-   a window that occurs twice has a core that does.
-2. Contexts that occur twice: every window in them is repeated, whatever else.
-3. Contexts that occur once, with a core that has several contexts: each window is
-   the bytes before its trigger (a suffix of a dictionary phrase) and those from the
-   trigger on (a prefix of a suffix of the parse). The pairs of both names put all
-   such windows of the corpus in order; windows are repeated if a neighbour is equal.
-
-Names are 64-bit hashes, in pairs where equality counts (128 bits). They stand in
-for the ranks of suffix arrays: only equality to a depth of ``length`` is asked,
-and ranks would need the suffixes themselves in a shuffle.
-
-Which phrases may matter is told early by Bloom filters of fixed size; they only
-save work, exact counts follow.
+they stand, and every window of ``length`` bytes belongs to one phrase. A phrase is
+the bytes of all its windows; it overlaps its followers, so no phrase is a prefix of
+another place's parse. Equal phrases are one entry of the dictionary:
+
+1. The parse: phrases are dealt to buckets by a hash of their core (bytes that all windows of a
+   phrase have after its trigger). Cores that occur once are dropped: a window that
+   occurs twice has a core that does. A Bloom filter of fixed size tells them early.
+2. The dictionary: what is left goes by bucket into one entry for each different phrase (once
+   from each slice of texts). Entries of a name must have equal bytes; that is compared.
+3. Entries that occur twice: every window in them is repeated, whatever else.
+4. Entries that occur once, in a bucket with others: the orders of the dictionary's suffixes and
+   of the parse's suffixes combine into corpus order (``orders.py``); windows whose neighbour
+   shares ``length`` bytes are repeated.
+
+Hashes choose buckets and name entries (two of 64 bits, with their bytes compared); which
+strings are equal is told by the orders of bytes.
+
+Hot buckets: a bucket of more than ``MEMBERS`` phrases is dealt anew by twice as much as it may
+differ in: windows that begin in the nearer or farther half before the trigger share longer cores.
+After eight rounds a bucket is one window; those are counted in ``SALTS`` parts. A phrase that
+is a thousandth of all occurrences or more is sent to its places by broadcast (a thousand at most).
 
 Defined results: null and empty texts, and those shorter than ``length``, have no
 span; matches never cross rows; rows with equal texts are occurrences of each other
-and get equal results; an empty table gives no rows; every further column passes.
+and get equal results; a text of any length is searched whole, its phrases one after
+the other; an empty table gives no rows; every further column passes.
 """
 
 from __future__ import annotations
@@ -32,178 +35,250 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..plans.checkpoint import delete_copy, write_copy
+from .bloom import bloom, maybe_in
 from .common import boxed, keep, slices, table
 from .decontamination import merged
-from .phrases import names, phrases, signed
+from .orders import repeated_windows
+from .phrases import hashes, parsed
 
-LENGTH, REACH = 400, 64
-#: 64-bit words of a Bloom filter (16 MB), whatever the input.
-WORDS = 1 << 21
+LENGTH, REACH = 400, 256
+#: Phrases of a bucket that are ordered in one task, and parts of a bucket of one window.
+MEMBERS, SALTS = 4096, 64
+#: Phrases that are ordered together, of several buckets.
+AT_ONCE = 8192
+#: The share of all occurrences from which a phrase is sent by broadcast.
+OFTEN = 0.001
 
+_FOUND = ("core long, ctx long, uid long, at int, stop int, x int, n int, times long, held long, bytes binary")
+_ENTRY = "key long, lo int, hi int, ctx long, uid long, at int, x int, n int, held long, bytes binary"
 
-def _key(text: str = "text"):
-    """A text's 64-bit name and its length in bytes."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    return F.xxhash64(t).alias("k"), F.octet_length(t).alias("size")
 
+def _arrow(schema: str) -> pa.Schema:
+    return to_arrow_schema(T._parse_datatype_string(schema))
 
-def bloom(keys: DataFrame, name: str) -> np.ndarray:
-    """The filter of a column of 64-bit hashes: two bits in one word for each."""
-    word = F.col(name).bitwiseAND(F.lit(WORDS - 1).cast("long")).alias("word")
-    bit = lambda s: f"shiftleft(1L, cast(shiftright(`{name}`, {s}) & 63 as int))"
-    rows = (keys.select(word, F.expr(f"{bit(24)} | {bit(32)}").alias("bits"))
-            .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
-    out = np.zeros(WORDS, np.int64)
-    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-    return out
 
+def _cores(texts: DataFrame, length: int, reach: int) -> DataFrame:
+    """core, times, a, b of every phrase, summed by slice; ``a`` and ``b``: the least and largest hash of
+    the whole phrases, equal if there is one phrase."""
+    def run(batches):
+        for batch in batches:
+            for a, b in slices(batch.column(1)):
+                out = []
+                for t in batch.column(1).slice(a, b - a):
+                    data = (t.as_py() or "").encode("utf-8", "replace")
+                    at, n, anchor, core, times = parsed(data, length, reach)
+                    if len(at):
+                        out.append((core, times, hashes(data, at, at + n + length - 1) ^ (anchor - at)))
+                if not out:
+                    continue
+                core, times, whole = (np.concatenate(x) for x in zip(*out))
+                order = np.argsort(core, kind="stable")
+                core, times, whole = core[order], times[order], whole[order]
+                new = np.flatnonzero(np.r_[True, core[1:] != core[:-1]])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(core[new]), pa.array(np.add.reduceat(times, new)),
+                     pa.array(np.minimum.reduceat(whole, new)), pa.array(np.maximum.reduceat(whole, new))],
+                    names=["core", "times", "a", "b"])
+
+    return (texts.mapInArrow(run, "core long, times long, a long, b long").groupBy("core")
+            .agg(F.sum("times").alias("times"), F.min("a").alias("a"), F.max("b").alias("b")).where("times > 1"))
 
-def maybe_in(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """False for keys that certainly aren't in the filter."""
-    one = np.int64(1)
-    bits = (one << ((keys >> 24) & 63)) | (one << ((keys >> 32) & 63))
-    return (filter_[keys & (WORDS - 1)] & bits) == bits
 
+def _found(texts: DataFrame, length: int, reach: int, known) -> DataFrame:
+    """The phrases whose cores are in a broadcast filter (``_FOUND``): ``stop`` is where their windows
+    end in the text; the first of a slice's equal phrases has their bytes and number (``held``)."""
+    schema = _arrow(_FOUND)
 
-def parsed(data: bytes, length: int, reach: int):
-    """Arrays of a text's phrases: first window, windows, trigger, core, context and how
-    often in a row the phrase stands there (equal neighbours are one entry)."""
-    at, n, anchor = phrases(data, length, reach)
-    core, context = (np.array(x, np.int64) for x in names(data, at, n, anchor, length, reach))
-    if not len(at):
-        return at, n, anchor, core, context, n
-    new = np.flatnonzero(np.r_[True, (core[1:] != core[:-1]) | (context[1:] != context[:-1])])
-    times = np.diff(np.r_[new, len(at)])
-    return at[new], n[new], anchor[new], core[new], context[new], times
+    def run(batches):
+        for batch in batches:
+            for a, b in slices(batch.column(1)):
+                entry, out = {}, {c: [] for c in schema.names}
+                for uid, t in zip(batch.column(0).slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a)):
+                    data = (t.as_py() or "").encode("utf-8", "replace")
+                    at, n, anchor, core, times = parsed(data, length, reach)
+                    for i in np.flatnonzero(maybe_in(known.value, core)).tolist():
+                        p, size, k = int(at[i]), int(n[i]), int(times[i])
+                        x = int(anchor[i]) - p
+                        name = (x, data[p:p + size + length - 1])
+                        first = entry.get(name)
+                        if first is None:
+                            ctx = int(hashes(name[1], np.zeros(1, np.int64), np.array([len(name[1])]), 1 + x)[0])
+                            entry[name] = first = (len(out["uid"]), ctx)
+                            out["held"].append(k)
+                            out["bytes"].append(name[1])
+                        else:
+                            out["held"][first[0]] += k
+                            out["held"].append(None)
+                            out["bytes"].append(None)
+                        for c, v in (("core", int(core[i])), ("ctx", first[1]), ("uid", uid), ("at", p),
+                                     ("stop", p + size * k - 1 + length), ("x", x), ("n", size), ("times", k)):
+                            out[c].append(v)
+                if out["uid"]:
+                    yield from pa.Table.from_pydict(out, schema=schema).to_batches(max_chunksize=4096)
+
+    return texts.mapInArrow(run, _FOUND)
+
+
+def _dealt(entries: DataFrame, hot, take: bool) -> DataFrame:
+    """The entries (``_ENTRY``) in hot buckets or the others; ``hot``: a broadcast filter of their keys."""
+    def run(batches):
+        for batch in batches:
+            lo, hi = (batch.column(i).to_numpy() for i in (1, 2))
+            mask = maybe_in(hot.value, batch.column(0).to_numpy()) & (lo < hi)
+            yield batch.filter(pa.array(mask == take))
 
+    return entries.mapInArrow(run, _ENTRY)
 
-def _parse(docs: DataFrame, text: str, length: int, reach: int, known=None) -> DataFrame:
-    """The phrases of all texts; ``known``: a broadcast Bloom filter of the cores wanted.
-    Without it only (core, times)."""
-    slim = docs.select(*_key(text), F.col(text).alias("text"))
 
+def _halved(entries: DataFrame, length: int) -> DataFrame:
+    """Each entry twice: for the windows of the nearer and of the farther half, under their longer cores."""
     def run(batches):
         for batch in batches:
-            for k, size, t in zip(*(batch.column(i) for i in range(3))):
-                at, _, _, core, context, times = parsed((t.as_py() or "").encode("utf-8", "replace"), length, reach)
-                if known is None:
-                    if len(at):
-                        yield pa.RecordBatch.from_arrays([pa.array(core), pa.array(times)], names=["core", "times"])
-                    continue
-                i = np.flatnonzero(maybe_in(known.value, core))
-                if len(i):
+            rows = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(batch.schema.names[:-1])}
+            middle = (rows["lo"] + rows["hi"]) // 2
+            for lo, hi in ((rows["lo"], middle), (middle + 1, rows["hi"])):
+                i = np.flatnonzero((rows["x"] >= lo) & (rows["x"] - rows["n"] < hi))
+                data = batch.column("bytes").take(pa.array(i)).to_pylist()
+                x, a, b = rows["x"][i], lo[i], hi[i]
+                key = [int(hashes(d, np.array([p - u]), np.array([p + length - v]), 1 + u * 4096 + v)[0])
+                       for d, p, u, v in zip(data, x.tolist(), a.tolist(), b.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key, pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32()),
+                     *[batch.column(c).take(pa.array(i)) for c in ("ctx", "uid", "at", "x", "n", "held", "bytes")]],
+                    names=batch.schema.names)
+
+    return entries.mapInArrow(run, _ENTRY)
+
+
+def _members(t: pa.Table) -> pa.Table:
+    """Sorted entries with those of a name in one row; their bytes must be equal."""
+    key, ctx = t["key"].to_numpy(), t["ctx"].to_numpy()
+    if len(key) < 2:
+        return t
+    same = (key[1:] == key[:-1]) & (ctx[1:] == ctx[:-1])
+    if not same.any():
+        return t
+    i = pa.array(np.flatnonzero(same))
+    data = t["bytes"].combine_chunks()
+    if not pc.all(pc.equal(data.take(i), data.take(pc.add(i, 1)))).as_py():
+        raise RuntimeError("two phrases have one name of 128 bits; other seeds of the hashes are needed")
+    new = np.flatnonzero(np.r_[True, ~same])
+    held = np.add.reduceat(t["held"].to_numpy(), new)
+    t = t.take(pa.array(new))
+    return t.set_column(t.schema.get_field_index("held"), "held", pa.array(held))
+
+
+def _ordered(entries: DataFrame, length: int) -> DataFrame:
+    """uid, begin, stop: spans of the repeated windows in entries that occur once."""
+    def spans(t):
+        t = _members(t)
+        key = t["key"].to_numpy()
+        new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        t = t.filter(pa.array(np.repeat(np.diff(np.r_[new, len(key)]) > 1, np.diff(np.r_[new, len(key)]))))
+        ranges = t["lo"].to_numpy() * 65536 + t["hi"].to_numpy()
+        for r in np.unique(ranges).tolist():
+            part = t.filter(pa.array(ranges == r))
+            key = part["key"].to_numpy()
+            group = np.cumsum(np.r_[0, key[1:] != key[:-1]])
+            cuts = [0, *np.searchsorted(group, group[AT_ONCE::AT_ONCE], "left").tolist(), len(key)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if b > a:
+                    s = part.slice(a, b - a)
+                    x, n, count = (s[c].to_numpy().astype(np.int64) for c in ("x", "n", "held"))
+                    row, first, stop = repeated_windows(group[a:b], s["bytes"].to_pylist(), x, n, count,
+                                                        r // 65536, r % 65536, length)
+                    at = s["at"].to_numpy()[row]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(i), k.as_py())), pa.array(np.full(len(i), size.as_py(), np.int32)),
-                         pa.array(at[i].astype(np.int32)), pa.array(core[i]), pa.array(context[i]),
-                         pa.array(times[i])], names=["k", "size", "at", "core", "context", "times"])
-
-    def gathered(batches):
-        """Few large batches instead of one for each text."""
-        held, rows = [], 0
-        for b in run(batches):
-            held.append(b)
-            rows += b.num_rows
-            if rows >= 50_000:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, rows = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-    return slim.mapInArrow(gathered, "core long, times long" if known is None else
-                           "k long, size int, at int, core long, context long, times long")
-
-
-def _windows(texts: DataFrame, length: int, reach: int) -> DataFrame:
-    """The windows of the phrases in ``phrases`` (2 * first window + 1 if its windows are
-    in question): both names, where it is (null if not in question) and a weight."""
-    def run(batches):
-        import xxhash
+                        [pa.array(s["uid"].to_numpy()[row]), pa.array((at + first).astype(np.int32)),
+                         pa.array((at + stop - 1 + length).astype(np.int32))], names=["uid", "begin", "stop"])
 
-        h = xxhash.xxh3_64_intdigest
-        for batch in batches:
-            out = [[], [], [], [], [], []]
-            for k, size, t, wanted in zip(*(batch.column(i) for i in range(4))):
-                k, size, wanted, data = k.as_py(), size.as_py(), wanted.as_py(), t.as_py().encode("utf-8", "replace")
-                view = memoryview(data)
-                at, n, anchor, _, _, _ = parsed(data, length, reach)
-                place = dict(zip(at.tolist(), range(len(at))))
-                for w in wanted:
-                    i = place[w >> 1]
-                    x = int(anchor[i])
-                    for p in range(int(at[i]), int(at[i] + n[i])):
-                        out[0].append(signed(h(view[p:x], x - p)))
-                        out[1].append(signed(h(view[x:p + length], x - p)))
-                        out[2].append(k)
-                        out[3].append(size)
-                        out[4].append(p if w & 1 else None)
-                        out[5].append(1 if w & 1 else 2)
-                if len(out[0]) > 100_000:
-                    yield _batch(out)
-                    out = [[], [], [], [], [], []]
-            yield _batch(out)
-
-    def _batch(out):
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)],
-                                          names=["before", "after", "k", "size", "p", "weight"])
-
-    return texts.select("k", "size", "text", "phrases").mapInArrow(
-        run, "before long, after long, k long, size int, p int, weight int")
-
-
-def _only(docs: DataFrame, text: str, filter_) -> DataFrame:
-    """Rows whose text may be in a Bloom filter of text names: k, size, text."""
     def run(batches):
+        held = None
         for batch in batches:
-            yield batch.filter(pa.array(maybe_in(filter_.value, batch.column(0).to_numpy())))
-
-    return (docs.select(*_key(text), F.col(text).alias("text")).where("text is not null")
-            .mapInArrow(run, "k long, size int, text string"))
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch])
+            t = t if held is None else pa.concat_tables([held, t])
+            at = int(np.searchsorted(t["key"].to_numpy(), t["key"][-1].as_py(), "left"))
+            if at:
+                yield from spans(t.slice(0, at).combine_chunks())
+            held = _members(t.slice(at).combine_chunks())
+        if held is not None:
+            yield from spans(held)
+
+    return (entries.repartition("key").sortWithinPartitions("key", "ctx")
+            .mapInArrow(run, "uid long, begin int, stop int"))
+
+
+def _single(entries: DataFrame, length: int) -> DataFrame:
+    """uid, begin, stop: entries of one window that occur elsewhere too.
+
+    A window is known to repeat if its part has two; the first of each part meet those of other parts."""
+    place = F.expr("at + x - lo").alias("begin")
+    w = entries.select(F.expr(f"substring(bytes, x - lo + 1, {length})").alias("window"), "uid", place, "ctx",
+                       F.pmod("ctx", F.lit(SALTS)).alias("salt"))
+    part = Window.partitionBy("window", "salt")
+    w = (w.withColumn("c", F.count("*").over(part))
+         .withColumn("r", F.row_number().over(part.orderBy("ctx", "uid", "begin"))))
+    others = (w.where("r = 1").withColumn("g", F.count("*").over(Window.partitionBy("window")))
+              .where("c = 1 and g > 1"))
+    stop = (F.col("begin") + length).cast("int").alias("stop")
+    return w.where("c > 1").select("uid", "begin", stop).unionByName(others.select("uid", "begin", stop))
+
+
+def _hot(keys: DataFrame):
+    """A broadcast filter of a column ``key``, and whether it holds any."""
+    made = bloom(keys, "key")
+    return keys.sparkSession.sparkContext.broadcast(made), bool(made.any())
+
+
+def repeated(texts: DataFrame, length: int = LENGTH, reach: int = REACH) -> DataFrame:
+    """uid, spans (array of (begin, stop), overlapping) of the texts (uid, text) with repeated windows."""
+    spark = texts.sparkSession
+    cores = keep(_cores(texts, length, reach))
+    known = spark.sparkContext.broadcast(bloom(cores, "core"))
+    hot, any_hot = _hot(cores.where((F.col("times") > MEMBERS) & (F.col("a") != F.col("b"))).select(F.col("core").alias("key")))
+    found, copy = write_copy(_found(texts, length, reach, known))
+    entries = found.where("bytes is not null").select(
+        F.col("core").alias("key"), F.lit(0).alias("lo"), F.lit(reach - 1).alias("hi"), "ctx", "uid", "at", "x", "n",
+        "held", "bytes")
+    singles, wide = [], [_dealt(entries, hot, False) if any_hot else entries]
+    while any_hot:
+        entries = keep(_halved(_dealt(entries, hot, True), length))
+        singles.append(entries.where("lo = hi"))
+        entries = entries.where("lo < hi")
+        hot, any_hot = _hot(entries.select("key", "ctx").distinct().groupBy("key").count().where(F.col("count") > MEMBERS))
+        wide.append(_dealt(entries, hot, False) if any_hot else entries)
+    once = _ordered(_union(wide), length)
+    if singles:
+        once = once.unionByName(_single(_union(singles), length))
+    # phrases that stand twice or more are repeated at all their places
+    classes = keep(found.groupBy("core", "ctx").agg(F.sum("times").alias("n")).where("n > 1"))
+    total = found.agg(F.sum("times")).first()[0] or 0
+    often = F.col("n") >= OFTEN * total  # at most 1 / OFTEN of them
+    places = found.select("core", "ctx", "uid", F.col("at").alias("begin"), "stop")
+    frequent = F.broadcast(classes.where(often).select("core", "ctx"))
+    both = (places.join(frequent, ["core", "ctx"], "left_semi")
+            .unionByName(places.join(frequent, ["core", "ctx"], "left_anti")
+                         .join(classes.where(~often).select("core", "ctx"), ["core", "ctx"], "left_semi")))
+    out = keep(both.select("uid", "begin", "stop").unionByName(once)
+               .groupBy("uid").agg(F.collect_list(F.struct("begin", "stop")).alias("spans")))
+    delete_copy(spark, copy)
+    return out
 
 
-def repeated(docs: DataFrame, text: str = "text", length: int = LENGTH, reach: int = REACH) -> DataFrame:
-    """(k, size, runs, places): for each text with repeated windows its repeated phrases
-    (by their first window) and its further repeated windows."""
-    spark = docs.sparkSession
-    cores = (_parse(docs, text, length, reach).groupBy("core").agg(F.sum("times").alias("times"))
-             .where("times > 1").select("core"))
-    known = spark.sparkContext.broadcast(bloom(cores, "core"))
-    rows = _parse(docs, text, length, reach, known)
-    classes = (rows.groupBy("core", "context")
-               .agg(F.sum("times").alias("n"), F.min(F.struct("k", "size", "at")).alias("first")))
-    classes = keep(classes)
-    shared = (classes.groupBy("core").agg(F.sum("n").alias("total"), F.count("*").alias("contexts"))
-              .where("total > 1"))
-    classes = keep(classes.join(shared, "core").select("core", "context", "n", "first", "contexts"))
-    # one row for each text and phrase: copies of a text have the same ones
-    marked = keep(rows.join(classes.select("core", "context", "n"), ["core", "context"])
-                  .groupBy("k", "size").agg(F.collect_set(
-                      F.col("at").cast("long") * 2 + F.when(F.col("n") == 1, 1).otherwise(0)).alias("phrases")))
-    # a context met once is in question; one met more often stands for all its copies
-    models = (classes.where("n > 1 and contexts > 1").select("first.*")
-              .groupBy("k", "size").agg(F.collect_set(F.col("at").cast("long") * 2).alias("models")))
-    asked = F.filter("phrases", lambda x: x % 2 == 1)
-    need = (marked.select("k", "size", asked.alias("asked")).where(F.size("asked") > 0)
-            .join(models, ["k", "size"], "full")
-            .select("k", "size", F.concat(F.coalesce("asked", F.expr("cast(array() as array<bigint>)")),
-                                          F.coalesce("models", F.expr("cast(array() as array<bigint>)")))
-                    .alias("phrases")))
-    need = keep(need)
-    asking = spark.sparkContext.broadcast(bloom(need, "k"))
-    texts = (_only(docs, text, asking).groupBy("k", "size").agg(F.first("text").alias("text"))
-             .join(need, ["k", "size"]))
-    met = F.sum("weight").over(Window.partitionBy("before", "after"))
-    places = (_windows(texts, length, reach).withColumn("met", met).where("met > 1 and p is not null")
-              .groupBy("k", "size").agg(F.collect_list("p").alias("places")))
-    runs = (marked.select("k", "size", F.transform(F.filter("phrases", lambda x: x % 2 == 0),
-                                                   lambda x: (x / 2).cast("int")).alias("runs"))
-            .where(F.size("runs") > 0))
-    return keep(runs.join(places, ["k", "size"], "full"))
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def removed(docs: DataFrame, text: str = "text", length: int = LENGTH, reach: int = REACH) -> DataFrame:
@@ -211,47 +286,38 @@ def removed(docs: DataFrame, text: str = "text", length: int = LENGTH, reach: in
     array<struct<begin int, end int>> (disjoint byte ranges that repeated windows
     cover, in order) and ``kept`` binary (the other bytes).
 
-    Texts without repeats don't leave their task; the others meet their spans in one
-    shuffle."""
+    ``reach`` is a power of two, ``length`` at least that plus 7. Rows get numbers in a checkpoint, so
+    that copies are rows of their own; texts without repeats don't leave their task, the
+    others meet their spans in one shuffle by number."""
     spark = docs.sparkSession
-    found = repeated(docs, text, length, reach)
-    hit = spark.sparkContext.broadcast(bloom(found, "k"))
+    held = keep(boxed(docs, F.monotonically_increasing_id().alias("uid")))
+    found = repeated(held.select("uid", F.col("row").getField(text).alias("text")), length, reach)
+    hit = spark.sparkContext.broadcast(bloom(found.select(F.xxhash64("uid").alias("key")), "key"))
 
     @F.pandas_udf("boolean")
     def may_repeat(k: pd.Series) -> pd.Series:
         return pd.Series(maybe_in(hit.value, k.to_numpy()))
 
-    flagged = boxed(docs, *_key(text)).withColumn("hit", may_repeat("k"))
-    none = F.lit(None).cast("array<int>")
-    plain = flagged.where("not hit").select("row", none.alias("runs"), none.alias("places"))
-    met = flagged.where("hit").join(found, ["k", "size"], "left").select("row", "runs", "places")
-    return _cut(plain, docs.columns.index(text), length, reach).union(
-        _cut(met, docs.columns.index(text), length, reach))
+    flagged = held.withColumn("hit", may_repeat(F.xxhash64("uid")))
+    plain = flagged.where("not hit").select("row", F.lit(None).cast("array<struct<begin:int,stop:int>>").alias("spans"))
+    met = flagged.where("hit").join(found, "uid", "left").select("row", "spans")
+    return _cut(plain.unionByName(met), docs.columns.index(text))
 
 
-def _cut(df: DataFrame, text: int, length: int, reach: int) -> DataFrame:
+def _cut(df: DataFrame, text: int) -> DataFrame:
     """``row`` with ``n_bytes``, ``spans`` and ``kept``."""
     out = T.StructType([df.schema["row"], *T._parse_datatype_string(
         "n_bytes long, spans array<struct<begin:int,end:int>>, kept binary").fields])
     arrow = to_arrow_schema(out)
 
-    def spans_of(data: bytes, runs, places) -> list[tuple[int, int]]:
-        spans = [(p, p + length) for p in places or ()]
-        if runs:
-            at, n, _, _, _, times = parsed(data, length, reach)
-            end = dict(zip(at.tolist(), (at + n * times - 1 + length).tolist()))
-            spans += [(a, end[a]) for a in runs]
-        return merged(spans)
-
     def run(batches):
         for batch in batches:
             rows = batch.column(0)
             for a, b in slices(rows.field(text)):
-                part = [x.slice(a, b - a) for x in (rows.field(text), batch.column(1), batch.column(2))]
                 size, found, kept = [], [], []
-                for t, runs, places in zip(*(x.to_pylist() for x in part)):
+                for t, spans in zip(rows.field(text).slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a).to_pylist()):
                     data = (t or "").encode("utf-8", "replace")
-                    spans = spans_of(data, runs, places)
+                    spans = merged([(s["begin"], s["stop"]) for s in spans or ()])
                     edges = [0, *(x for s in spans for x in s), len(data)]
                     size.append(len(data))
                     found.append([{"begin": x, "end": y} for x, y in spans])
