@@ -46,7 +46,7 @@ def repeated_windows(group, data: list[bytes], x, n, count, lo: int, hi: int, le
     ``count`` times; rows with another ``group`` share no window, equal rows come once. Only windows that
     begin ``lo`` to ``hi`` bytes before the trigger are looked at, and only rows that stand once are told."""
     m, free = len(data), hi - lo
-    before, after = np.zeros((m, free), np.uint8), np.zeros((m, length), np.uint8)
+    before, after = np.zeros((m, max(free, 1)), np.uint8), np.zeros((m, length), np.uint8)
     for i, (b, t) in enumerate(zip(data, x.tolist())):
         part = np.frombuffer(b, np.uint8)
         left = part[max(0, t - hi):max(0, t - lo)][::-1]
