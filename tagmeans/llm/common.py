@@ -8,7 +8,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -93,16 +93,22 @@ def add_from_text(df: DataFrame, text: str, schema: str,
     return box.mapInArrow(run, out)
 
 
-def labelled_sample(docs: DataFrame, marks: DataFrame, doc_id: str, text: str, sample: int, chars: int) -> list:
+def labelled_sample(docs: DataFrame, marks: DataFrame, doc_id: str, text: str, sample: int, chars: int,
+                    by_mark: bool = False) -> list:
     """At most ``sample`` rows (key, y, t) of documents with a mark (``key``, ``y``) and a text
     of at most ``chars`` characters, picked by hash of the id; of several texts of an
-    id the least one.
+    id the least one. ``by_mark``: as many of each mark, as far as there are.
 
     Only ids are shuffled to pick the sample; its texts meet it in the scan."""
     short = F.length(F.coalesce(F.col(text), F.lit(""))) <= chars
     keys = docs.where(short & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("key"))
-    picked = (keys.join(marks, "key").groupBy("key").agg(F.min("y").alias("y"))
-              .orderBy(F.xxhash64("key"), "key").limit(sample))
+    picked = keys.join(marks, "key").groupBy("key").agg(F.min("y").alias("y"))
+    if by_mark:
+        each = max(1, sample // max(1, marks.select("y").distinct().count()))
+        nth = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("key"), "key"))
+        picked = picked.withColumn("nth", nth).where(F.col("nth") <= each).drop("nth")
+    else:
+        picked = picked.orderBy(F.xxhash64("key"), "key").limit(sample)
     return (docs.where(short).select(F.col(doc_id).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("t"))
             .join(F.broadcast(picked), "key")  # ``sample`` rows at most
             .groupBy("key").agg(F.min("y").alias("y"), F.min("t").alias("t"))

@@ -6,8 +6,12 @@ how often it is to stand in the mix. With ``n`` tokens and posterior ``p`` a
 document adds ``rate * n * p`` to the domains' expected tokens, and the rates
 minimise the squared distance of these totals to the targets, by projected
 gradient steps from rate 1 under rate >= 0. One step needs one sum of a few
-numbers over all documents; a rate is a function of its document's posterior
-and of the gradients so far, so no rates are stored between steps.
+numbers over all documents. Steps are scaled by the Gram matrix of the documents that
+are off their bound and projected from the sum of all steps so far, so a rate is a
+function of its document's posterior and of that sum, and no rates are stored.
+Of several rates that meet the targets these are the ones nearest to 1. The solver ends
+when a step leaves the projected gradient (the optimality gap) below ``GAP``, and says so:
+totals, targets and gap come with the rates, and a run that has not converged warns.
 
 Words (runs of characters other than white space) stand for tokens, unless a
 column with token numbers is given.
@@ -23,7 +27,9 @@ further column passes through.
 
 from __future__ import annotations
 
+import warnings
 import zlib
+from dataclasses import dataclass
 from itertools import chain, filterfalse, islice
 from operator import eq
 
@@ -35,7 +41,13 @@ from .common import add_from_text, keep, labelled_sample, table
 
 #: Bounds of the classifier's sample: rows, and characters of a text.
 SAMPLE, SAMPLE_CHARS = 6000, 20_000
-FEATURES, SEEN_IN, EPOCHS, STEPS, TOLERANCE = 1 << 18, 8, 20, 40, 1e-3
+#: ``SEEN_IN``: sampled texts that must hold a feature for it to be learned.
+FEATURES, SEEN_IN, EPOCHS = 1 << 18, 3, 20
+#: Steps at most, and the optimality gap to reach: the projected gradient's mean over all tokens, as a share
+#: of a rate of 1. ``DAMP`` (a share of the mean token) keeps steps finite where targets can't be met.
+STEPS, GAP, DAMP = 200, 1e-7, 1e-9
+#: Parts of a step that are tried at once.
+PARTS = (1.0, 0.5, 0.2, 0.05, 0.01)
 #: Words whose features a task remembers.
 MEMO = 300_000
 #: Target shares of the domains quality-toxic: nearly all of the mix is good and not toxic.
@@ -89,7 +101,9 @@ class Softmax:
         return e / e.sum()
 
     @classmethod
-    def fit(cls, texts: list[str], marks: list[str], epochs: int = EPOCHS, seed: int = 5) -> Softmax:
+    def fit(cls, texts: list[str], marks: list[str], epochs: int = EPOCHS, seed: int = 5,
+            shares: dict[str, float] | None = None) -> Softmax:
+        """``shares``: the domains' true shares, where the sample has others."""
         domains = sorted(set(marks)) or [""]
         k = len(domains)
         y = np.array([domains.index(m) for m in marks], np.int64)
@@ -120,12 +134,17 @@ class Softmax:
                 seen[ids] += g ** 2
                 w[ids] -= 0.1 * g / np.sqrt(seen[ids])
                 b -= 0.05 * p.sum(axis=0)
+        if shares:
+            sampled = np.bincount(y, minlength=k) / len(y)
+            true = np.array([shares[d] for d in domains]) / sum(shares[d] for d in domains)
+            b = b + np.log(true / sampled)
         return cls(domains, w, b)
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           label_columns=DOMAIN_LABELS, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Softmax:
-    """The classifier fitted to a bounded sample of labelled documents, picked by hash.
+    """The classifier fitted to a bounded sample of labelled documents, picked by hash, as many
+    of each domain; its posteriors are those of the domains' shares among all labels.
 
     A domain is the label values joined by "-"; rows with a null label or id teach
     nothing; of several rows of an id the least domain counts."""
@@ -134,8 +153,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                  F.col(c).cast("string") for c in label_columns]).alias("y"),
                  sum((F.col(c).isNull().cast("int") for c in label_columns), F.lit(0)).alias("bad"))
              .where("bad = 0").groupBy("key").agg(F.min("y").alias("y")))
-    rows = labelled_sample(docs, marks, doc_id, text, sample, chars)
-    return Softmax.fit([r.t for r in rows], [r.y for r in rows])
+    shares = {r.y: r.n for r in marks.groupBy("y").agg(F.count("*").alias("n")).collect()}  # one row for each domain
+    rows = labelled_sample(docs, marks, doc_id, text, sample, chars, by_mark=True)
+    return Softmax.fit([r.t for r in rows], [r.y for r in rows], shares=shares)
 
 
 def with_posterior(docs: DataFrame, model: Softmax, text: str = "text") -> DataFrame:
@@ -152,54 +172,97 @@ def with_posterior(docs: DataFrame, model: Softmax, text: str = "text") -> DataF
     return add_from_text(docs, text, "n long, posterior array<double>", make)
 
 
-def rate_column(gradients: list[np.ndarray], posterior: str = "posterior"):
-    """The rate after the steps with these scaled gradients, as an expression on the posterior."""
-    rate = F.lit(1.0)
-    if gradients:
-        steps = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in gradients])
-        rate = F.aggregate(steps, rate, lambda r, g: F.greatest(F.lit(0.0), r - F.aggregate(
-            F.zip_with(F.col(posterior), g, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)))
-    return rate
+def rate_column(step, posterior: str = "posterior"):
+    """The rate after all steps (their sum), as an expression on the posterior."""
+    along = F.aggregate(F.zip_with(F.col(posterior), F.array(*[F.lit(float(x)) for x in step]), lambda a, b: a * b),
+                        F.lit(0.0), lambda s, x: s + x)
+    return F.greatest(F.lit(0.0), F.lit(1.0) - along)
 
 
-def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS,
-              tolerance: float = TOLERANCE) -> tuple[list[np.ndarray], list[float]]:
-    """Scaled gradient steps whose rates meet the targets (expected tokens of each
-    domain), and the relative distance to the targets before each step.
+@dataclass
+class Rates:
+    """Rates as the sum of all steps, with what they reach.
+
+    ``totals`` and ``targets`` are expected tokens by domain; ``gap`` is zero at the least distance, whether
+    that meets the targets or not; ``steps`` counts passes over the documents."""
+
+    step: list[float]
+    totals: list[float]
+    targets: list[float]
+    gap: float
+    steps: int
+
+    @property
+    def converged(self) -> bool:
+        return self.gap < GAP
+
+    @property
+    def distance(self) -> float:
+        """The totals' distance to the targets, as a share of these."""
+        t = np.array(self.targets)
+        return float(np.abs(np.array(self.totals) - t).sum() / max(np.abs(t).sum(), 1.0))
+
+
+def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS) -> Rates:
+    """The rates whose expected tokens of each domain come nearest to the targets.
 
     ``members`` has ``n`` and ``posterior``. The gradient of a document's rate is its
-    ``n * posterior`` times the totals' distances; a step is that gradient over
-    ``n``, through the inverse of the documents' Gram matrix (so it would be the last
-    one if no rate met its bound 0), and then back to rate >= 0.
-    """
+    ``n * posterior`` times the totals' distances. A step is that gradient over ``n``, through
+    the inverse Gram matrix of the documents with rates above 0; several parts of it are tried in one
+    pass, and the one with the least objective is taken."""
     k, target = len(targets), np.array(targets, float)
-    scale = max(float(np.abs(target).sum()), 1.0)
     p = [F.element_at("posterior", i + 1) for i in range(k)]
-    sums = members.agg(*[F.sum(F.col("n") * p[i] * p[j]) for i in range(k) for j in range(k)]).first()
-    gram = np.array([x or 0.0 for x in sums], float).reshape(k, k)
-    inverse = np.linalg.inv(gram + max(1e-9, 1e-4 * float(np.trace(gram)) / k) * np.eye(k))
-    gradients: list[np.ndarray] = []
-    far: list[float] = []
-    for _ in range(steps):
-        rated = members.select("n", "posterior", rate_column(gradients).alias("rate"))
-        totals = rated.agg(*[F.sum(F.col("n") * F.col("rate") * x) for x in p]).first()
-        miss = np.array([x or 0.0 for x in totals], float) - target
-        far.append(float(np.abs(miss).sum() / scale))
-        if far[-1] < tolerance or len(far) > 4 and far[-4] - far[-1] < 0.01 * far[-4]:
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def tried(sums):
+        """For each sum of steps: totals, Gram matrix off the bound, squared rates."""
+        cols = []
+        for s in sums:
+            rate = rate_column(s)
+            part = [F.col("n") * x for x in p]
+            cols += [F.sum(x * rate) for x in part]
+            cols += [F.sum(F.when(rate > 0, part[i] * p[j]).otherwise(0.0)) for i, j in pairs]
+            cols += [F.sum(F.col("n") * rate * rate)]
+        row = [x or 0.0 for x in members.agg(*[c.alias(f"c{i}") for i, c in enumerate(cols)]).first()]
+        size = len(row) // len(sums)
+        for a in range(0, len(row), size):
+            gram = np.zeros((k, k))
+            for (i, j), x in zip(pairs, row[a + k:a + size - 1]):
+                gram[i, j] = gram[j, i] = x
+            yield np.array(row[a:a + k]), gram, row[a + size - 1]
+
+    tokens = float(members.agg(F.sum("n")).first()[0] or 0) or 1.0
+    damp = DAMP * tokens
+    sum_ = np.zeros(k)
+    totals, gram, square = next(tried([sum_]))
+    for passes in range(1, steps + 1):
+        # the dual of the nearest rates: its gradient is the distance to the targets
+        slope = totals - target - damp * sum_
+        change = np.linalg.solve(gram + (damp + 1e-12 * tokens) * np.eye(k), slope)
+        # what a whole step would still move a rate by, over all tokens
+        gap = float(np.sqrt(max(0.0, change @ gram @ change) / tokens)) if np.abs(change).max() > 0 else 0.0
+        if gap < GAP:
             break
-        gradients.append(inverse @ miss)
-    return gradients, far
+        objective = square / 2 + target @ sum_ + damp * sum_ @ sum_ / 2
+        trials = [sum_ + part * change for part in PARTS]
+        results = list(tried(trials))
+        values = [sq / 2 + target @ s + damp * s @ s / 2 for s, (_, _, sq) in zip(trials, results)]
+        best = int(np.argmin(values))
+        if values[best] > objective - 1e-15 * abs(objective):
+            break  # no part of the step is better: rounding is all that is left
+        sum_, (totals, gram, square) = trials[best], results[best]
+    return Rates(sum_.tolist(), totals.tolist(), target.tolist(), gap, passes)
 
 
 def plan(members: DataFrame, domains: list[str], targets: dict[str, float] | None = None):
-    """(``rate`` column, distances) for documents with ``n`` and ``posterior``.
+    """(``rate`` column, ``Rates``) for documents with ``n`` and ``posterior``.
 
     ``targets`` gives the share of each domain in the mix; domains without one get
     none. The mix has so many tokens that the domain with the largest share keeps
     those it has, so its documents keep rates near 1; a domain that is asked for more
     than it has gets rates above 1. Without ``targets`` every domain keeps its tokens
     ``TIMES`` as often: clean documents at rate 1, toxic ones at 0."""
-    slim = keep(members.groupBy("posterior").agg(F.sum("n").alias("n")))
+    slim = keep(members.groupBy("posterior").agg(F.sum("n").alias("n")).where("n > 0"))
     own = slim.agg(*[F.sum(F.col("n") * F.element_at("posterior", i + 1)) for i in range(len(domains))]).first()
     own = np.array([x or 0.0 for x in own])
     if targets is None:
@@ -209,8 +272,11 @@ def plan(members: DataFrame, domains: list[str], targets: dict[str, float] | Non
         shares = shares / shares.sum() if shares.sum() else np.full(len(shares), 1 / len(shares))
         lead = int(shares.argmax())
         wanted = shares * own[lead] / shares[lead]
-    gradients, far = fit_rates(slim, wanted.tolist())
-    return F.when(F.col("n") > 0, rate_column(gradients)).otherwise(1.0), far
+    fit = fit_rates(slim, wanted.tolist())
+    if not fit.converged:
+        warnings.warn(f"rates have not converged after {fit.steps} passes: gap {fit.gap:.2g}, distance to the targets "
+                      f"{fit.distance:.2g}", stacklevel=2)
+    return F.when(F.col("n") > 0, rate_column(fit.step)).otherwise(1.0), fit
 
 
 def drawn(doc_id, text):
@@ -244,14 +310,15 @@ def mixed(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
 
 
 def query(spark, sf_dir):
-    """Domain, rate and copies of every document."""
+    """Domain, rate and copies of every document, with the fit's distance to its targets and optimality gap."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels"))
     members = keep(with_posterior(docs, model).select(
         F.col("row.doc_id").alias("doc_id"), "n", "posterior", drawn(F.col("row.doc_id"), F.col("row.text")).alias("u")))
-    rate, _ = plan(members, model.domains, TARGETS)
+    rate, fit = plan(members, model.domains, TARGETS)
     likely = F.array_position("posterior", F.array_max("posterior")).cast("int")
     return with_copies(members, rate, F.col("u")).select(
         "doc_id", F.col("n").alias("n_tokens"),
         F.element_at(F.array(*map(F.lit, model.domains)), likely).alias("domain"),
-        F.array_max("posterior").alias("membership"), "rate", "copies")
+        F.array_max("posterior").alias("membership"), "rate", "copies",
+        F.lit(fit.distance).alias("distance"), F.lit(fit.gap).alias("gap"))

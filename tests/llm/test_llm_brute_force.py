@@ -233,10 +233,18 @@ def test_rates_meet_targets(spark):
     df = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p)], "n long, posterior array<double>")
     own = (n[:, None] * p).sum(axis=0)
     for target in (own * [1.0, 0.5, 0.2], own * [1.2, 0.05, 0.9]):
-        gradients, far = mixing.fit_rates(df, target.tolist())
-        rates = [x.rate for x in df.select(mixing.rate_column(gradients).alias("rate")).collect()]
+        fit = mixing.fit_rates(df, target.tolist())
+        rates = [x.rate for x in df.select(mixing.rate_column(fit.step).alias("rate")).collect()]
         totals = (np.array(rates)[:, None] * n[:, None] * p).sum(axis=0)
-        assert min(rates) >= 0 and far[-1] < 0.05 and np.abs(totals - target).sum() / target.sum() < 0.05
+        assert fit.converged and min(rates) >= 0 and np.allclose(totals, target, rtol=1e-4) and np.allclose(totals, fit.totals)
+    # no rates reach a target outside the cone of the posteriors: the least distance, by a plain solver
+    target = own * [0.0, 1.0, 3.0]
+    fit = mixing.fit_rates(df, target.tolist())
+    a, r_ = (n[:, None] * p).T, np.ones(400)
+    for _ in range(200_000):
+        r_ = np.maximum(0, r_ - (a.T @ (a @ r_ - target)) / np.linalg.norm(a, 2) ** 2)
+    least = np.linalg.norm(a @ r_ - target)
+    assert np.linalg.norm(np.array(fit.totals) - target) <= least * 1.001 + 1e-3 * np.linalg.norm(target)
 
 
 @pytest.mark.parametrize("lengths", [False, True])

@@ -18,7 +18,8 @@ def test_realised_totals_meet_targets(spark, targets):
     p = 0.96 * np.eye(4)[r.choice(4, len(n), p=[0.3, 0.05, 0.55, 0.1])] + 0.01
     df = spark.createDataFrame([(i, str(i % 9), int(a), [float(x) for x in b]) for i, (a, b) in enumerate(zip(n, p))],
                                "doc_id long, text string, n long, posterior array<double>")
-    rate, _ = mixing.plan(df, DOMAINS, targets)
+    rate, fit = mixing.plan(df, DOMAINS, targets)
+    assert fit.converged
     rows = mixing.with_copies(df, rate, mixing.drawn(F.col("doc_id"), F.col("text"))).orderBy("doc_id").collect()
     copies, own = np.array([x.copies for x in rows]), n @ p
     got = (copies * n) @ p
@@ -35,7 +36,10 @@ def test_realised_totals_meet_targets(spark, targets):
 
 def test_query_and_mix_round_alike(spark):
     sf = "/root/testdata/sf0.01"
-    got = {r.doc_id: (r.rate, r.copies) for r in mixing.query(spark, sf).collect()}
+    rows = mixing.query(spark, sf).collect()
+    got = {r.doc_id: (r.rate, r.copies) for r in rows}
+    # all domains meet their targets, and the fit is at its optimum
+    assert {r.gap < mixing.GAP for r in rows} == {True} and max(r.distance for r in rows) < 0.001
     out, _ = mixing.mix(table(spark, sf, "documents"), table(spark, sf, "labels"), mixing.TARGETS)
     assert got == {r.i: (r.rate, r.copies) for r in out.select(F.col("row.doc_id").alias("i"), "rate", "copies").collect()}
     assert abs(sum(c for _, c in got.values()) / sum(x for x, _ in got.values()) - 1) < 0.05
