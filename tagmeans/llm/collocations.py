@@ -1,22 +1,22 @@
 """Collocations: phrases that occur more often than their parts let expect, by stripes.
 
 A stripe is a prefix (a phrase of 0 to 4 words of one language) with an associative
-counter of the words that follow it; a counter's entry without a word holds the
-prefix's other occurrences. Tasks build stripes from slices of texts, Spark brings the
+counter of the words that follow it. Tasks build stripes from slices of texts, Spark brings the
 stripes of a prefix together, and they are merged elementwise. One merged stripe gives
-its extensions (phrases that are one word longer, with their counts), the prefix's
-total, and the largest count among its extensions, which tells whether the prefix is
-subsumed by a longer phrase.
+its extensions (phrases that are one word longer, each with its count, which is the total of
+that longer prefix's stripe), and the largest of them, which tells whether the prefix is
+subsumed by a longer phrase. The empty prefix's stripe gives the words and their number.
 
 Phrases grow by a word at each of five levels. A phrase that occurs ``least`` times has
 only parts that do, so a level counts only where both shorter phrases may be frequent,
 which a Bloom filter of fixed size tells; counts are exact whatever it lets through.
 
-Skew: a slice counts before it sends, and the stripe of a prefix that stands at ``HOT`` of
-all words or more is dealt to ``SHARDS`` parts by the next word's hash, so neither a word
+Stripes travel in bundles, by a hash of the prefix: ``BUNDLES`` for each shuffle partition of the
+session. Skew: a slice counts before it sends, and the stripe of a prefix that stands at ``HOT`` of
+all words or more is dealt to ``SHARDS`` bundles by the next word's hash, so neither a word
 that a third of all phrases begin with nor the empty prefix meets in one task. There are at
-most 1 / ``HOT`` such prefixes at each level, whatever the input. The totals of a one-word
-part, which many phrases ask for, stand in ``COPIES`` copies.
+most 1 / ``HOT`` such prefixes at each level, whatever the input. The counts of one-word
+parts, which many phrases ask for, stand in ``COPIES`` copies.
 
 Defined results: null and empty texts have no words; a null language is ``und``; repeated
 rows count each time; a text of any length is counted whole; phrases don't cross
@@ -40,15 +40,17 @@ from .words import byte_kinds, mixed, word_hashes, words_of
 #: Words of the longest phrase, occurrences of the rarest one, rows of a language.
 LONGEST, LEAST, TOP = 5, 100, 2000
 KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
-#: The share of all words at which a prefix's stripe is dealt to several parts, and these.
-HOT, SHARDS, FIRST_SHARDS = 0.001, 64, 1024
-#: Copies of the total of a one-word part.
+#: The share of all words at which a prefix's stripe is dealt to several bundles, and these (the empty prefix: all).
+HOT, SHARDS = 0.002, 32
+#: Bundles of stripes for each shuffle partition.
+BUNDLES = 4
+#: Copies of the count of a one-word part.
 COPIES = 32
 #: Text that is counted at once.
 CHARS = 12 << 20
 
-#: ``next``: words with a space between; ``n``: their counts; ``rest``: other occurrences.
-_STRIPE = "lang string, prefix string, shard int, next string, n array<int>, rest long"
+#: ``prefixes``: one a line; ``next``: its words, one stripe a line; ``n``: the words' counts.
+_STRIPES = "bundle int, lang string, prefixes string, next string, n array<int>"
 _ENTRY = "lang string, prefix string, next string, n long, most long, h long"
 
 
@@ -62,8 +64,8 @@ def _longer(hashes, words):
 
 
 def _counted(texts: pa.Array, langs: pa.Array, size: int, known: np.ndarray,
-             hot: np.ndarray) -> pa.RecordBatch | None:
-    """The stripes of ``size`` - 1 words' prefixes in some texts."""
+             hot: np.ndarray, bundles: int) -> pa.RecordBatch | None:
+    """The stripes of ``size`` - 1 words' prefixes in some texts, in bundles."""
     w = words_of(texts, KINDS)
     count = len(w.codes)
     if not count:
@@ -86,36 +88,39 @@ def _counted(texts: pa.Array, langs: pa.Array, size: int, known: np.ndarray,
         gram[at] = number
         live = np.zeros(count, bool)
         live[at] = maybe_in(known, hashes.view(np.int64))[number]
-    at = np.flatnonzero(live)
+    longer = live & (w.left >= size)
+    if size > 1:
+        longer &= np.r_[live[1:], False]
+    at = np.flatnonzero(longer)
     if not len(at):
         return None
-    longer = w.left[at] >= size
-    if size > 1:
-        longer &= np.r_[live, False][at + 1]
-    follows = np.zeros(len(at), np.int64)  # 0: the stripe's entry without a word
-    follows[longer] = w.codes[at[longer] + size - 1] + 1
-    key, n = np.unique(gram[at] * vocabulary + follows, return_counts=True)
+    key, n = np.unique(gram[at] * vocabulary + w.codes[at + size - 1], return_counts=True)
     prefix, follows = key // vocabulary, key % vocabulary
-    parts = FIRST_SHARDS if size == 1 else np.where(np.isin(hashes, hot), SHARDS, 1)[prefix]
-    shard = np.where(follows > 0, (np.r_[np.uint64(0), word_h][follows] >> np.uint64(40)).astype(np.int64) % parts, 0)
-    order = np.lexsort((shard, prefix))  # entries without a word, which are the first of their prefix, stay first
-    prefix, follows, n, shard = prefix[order], follows[order], n[order], shard[order]
-    new = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]) | (shard[1:] != shard[:-1])])
-    rest = np.where(follows[new] == 0, n[new], 0)
-    word = follows > 0
-    offsets = pa.array(np.r_[0, np.cumsum(word)][np.r_[new, len(prefix)]].astype(np.int32))
-    first = prefix[new]
+    shard = (word_h[follows] >> np.uint64(40)) % np.uint64(1 << 20)
+    if size > 1:
+        shard = np.where(np.isin(hashes, hot)[prefix], shard % np.uint64(SHARDS), np.uint64(0))
+    bundle = (mixed(hashes[prefix] + shard) % np.uint64(bundles)).astype(np.int64)
+    lang = langs_of[prefix]
+    order = np.lexsort((prefix, lang, bundle))
+    prefix, follows, n, bundle, lang = prefix[order], follows[order], n[order], bundle[order], lang[order]
+    row = np.flatnonzero(np.r_[True, (bundle[1:] != bundle[:-1]) | (lang[1:] != lang[:-1])])
+    new = np.r_[True, prefix[1:] != prefix[:-1]]
+    new[row] = True
+    stripe = np.flatnonzero(new)
+    lines = pa.array(np.r_[np.searchsorted(stripe, row), len(stripe)].astype(np.int32))
     if size == 1:
-        text = pa.array([""] * len(new))
+        text = pa.array([""] * len(stripe))
     else:
         text = pc.binary_join_element_wise(
-            *[w.known.take(pa.array(w.codes[place[first] + i])) for i in range(size - 1)], b" ").cast(pa.string())
-    follow = w.known.take(pa.array(follows[word] - 1)).cast(pa.string())
+            *[w.known.take(pa.array(w.codes[place[prefix[stripe]] + i])) for i in range(size - 1)], b" ").cast(pa.string())
+    words = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[stripe, len(prefix)].astype(np.int32)),
+                                                    w.known.take(pa.array(follows)).cast(pa.string())), " ")
     return pa.RecordBatch.from_arrays(
-        [names.take(pa.array(langs_of[first])), text, pa.array(shard[new].astype(np.int32)),
-         pc.binary_join(pa.ListArray.from_arrays(offsets, follow), " "),
-         pa.ListArray.from_arrays(offsets, pa.array(n[word].astype(np.int32))), pa.array(rest)],
-        names=["lang", "prefix", "shard", "next", "n", "rest"])
+        [pa.array(bundle[row].astype(np.int32)), names.take(pa.array(lang[row])),
+         pc.binary_join(pa.ListArray.from_arrays(lines, text), "\n"),
+         pc.binary_join(pa.ListArray.from_arrays(lines, words), "\n"),
+         pa.ListArray.from_arrays(pa.array(np.r_[row, len(prefix)].astype(np.int32)), pa.array(n.astype(np.int32)))],
+        names=["bundle", "lang", "prefixes", "next", "n"])
 
 
 def _hashed(langs: pa.Array, phrases: pa.Array) -> pa.Array:
@@ -132,45 +137,40 @@ def _hashed(langs: pa.Array, phrases: pa.Array) -> pa.Array:
 
 
 def _merged(least: int):
-    """Stripes, sorted by key, to the entries of the merged ones: extensions of at least
-    ``least`` occurrences, and one without a word: the total and the largest extension."""
-    keys = ["lang", "prefix", "shard"]
+    """Bundles, sorted by their keys, to the entries of the merged stripes: extensions of at least
+    ``least`` occurrences, and one without a word: the sum and the largest of a stripe."""
+    keys = ["bundle", "lang"]
 
     def entries(batch):
-        parent = pc.list_parent_indices(batch["n"])
-        words = pc.list_flatten(pc.split_pattern(batch["next"].filter(pc.not_equal(batch["next"], "")), " "))
-        counted = pa.table({k: batch[k].take(parent) for k in keys}
-                           | {"next": words, "n": pc.list_flatten(batch["n"]).cast(pa.int64())})
-        rest = pa.table({k: batch[k] for k in keys} | {"next": pa.nulls(batch.num_rows, pa.string()), "n": batch["rest"]})
-        return pa.concat_tables([counted, rest])
+        prefixes, lines = pc.split_pattern(batch["prefixes"], "\n"), pc.split_pattern(batch["next"], "\n")
+        words = pc.split_pattern(pc.list_flatten(lines), " ")
+        stripe, row = pc.list_parent_indices(words), pc.list_parent_indices(batch["n"])
+        return pa.table({k: batch[k].take(row) for k in keys}
+                        | {"prefix": pc.list_flatten(prefixes).take(stripe), "next": pc.list_flatten(words),
+                           "n": pc.list_flatten(batch["n"]).cast(pa.int64())})
 
     def out(t):
-        is_word = pc.is_valid(t["next"])
-        stripe = (t.append_column("w", pc.if_else(is_word, t["n"], 0))
-                  .group_by(keys).aggregate([("n", "sum"), ("w", "max")]))
-        big = t.filter(pc.and_(is_word, pc.greater_equal(t["n"], least)))
+        stripe = t.group_by([*keys, "prefix"]).aggregate([("n", "sum"), ("n", "max")])
+        big = t.filter(pc.greater_equal(t["n"], least))
         phrase = pc.binary_join_element_wise(big["prefix"], big["next"], " ").combine_chunks()
-        nulls = lambda n, kind: pa.nulls(n, kind)
-        for cols in ((stripe["lang"], stripe["prefix"], nulls(stripe.num_rows, pa.string()), stripe["n_sum"],
-                      stripe["w_max"], nulls(stripe.num_rows, pa.int64())),
-                     (big["lang"], big["prefix"], big["next"], big["n"], nulls(big.num_rows, pa.int64()),
+        for cols in ((stripe["lang"], stripe["prefix"], pa.nulls(stripe.num_rows, pa.string()), stripe["n_sum"],
+                      stripe["n_max"], pa.nulls(stripe.num_rows, pa.int64())),
+                     (big["lang"], big["prefix"], big["next"], big["n"], pa.nulls(big.num_rows, pa.int64()),
                       _hashed(big["lang"].combine_chunks(), phrase))):
             yield pa.RecordBatch.from_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in cols],
                                              names=["lang", "prefix", "next", "n", "most", "h"])
 
     def run(batches):
-        held = None  # the counter of the last stripe so far
+        held = None  # the counters of the last bundle so far
         for batch in batches:
             if not batch.num_rows:
                 continue
             t = entries(batch)
             t = pa.concat_tables([held, t]) if held is not None else t
-            t = t.group_by([*keys, "next"]).aggregate([("n", "sum")]).select([*keys, "next", "n_sum"])
-            t = t.rename_columns([*keys, "next", "n"])
-            last = [batch[k][-1] for k in keys]
-            same = pc.and_(pc.and_(pc.equal(t["lang"], last[0]), pc.equal(t["prefix"], last[1])), pc.equal(t["shard"], last[2]))
-            held = t.filter(same)
-            done = t.filter(pc.invert(same))
+            t = t.group_by([*keys, "prefix", "next"]).aggregate([("n", "sum")]).select([*keys, "prefix", "next", "n_sum"])
+            t = t.rename_columns([*keys, "prefix", "next", "n"])
+            same = pc.and_(*[pc.equal(t[k], batch[k][-1]) for k in keys])
+            held, done = t.filter(same), t.filter(pc.invert(same))
             if done.num_rows:
                 yield from out(done)
         if held is not None:
@@ -187,12 +187,13 @@ def stripes(docs: DataFrame, size: int, known, hot, text: str = "text", lang: st
     def build(batches):
         for batch in batches:
             for a, b in slices(batch.column(0), CHARS):
-                got = _counted(batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), size, known.value, hot)
+                got = _counted(batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), size, known.value, hot,
+                               bundles)
                 if got is not None:
                     yield got
 
-    keys = ["lang", "prefix", "shard"]
-    return (slim.mapInArrow(build, _STRIPE).repartition(*keys).sortWithinPartitions(*keys)
+    bundles = BUNDLES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (slim.mapInArrow(build, _STRIPES).repartition("bundle", "lang").sortWithinPartitions("bundle", "lang")
             .mapInArrow(_merged(least), _ENTRY))
 
 
@@ -214,18 +215,17 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
         if not new.any():
             break
         known = known | new
-    totals = (found.where("next is null").groupBy("lang", "prefix")
-              .agg(F.sum("n").alias("total"), F.max("most").alias("most")))
-    totals = keep(totals)
-    phrases = found.where("next is not null and prefix != ''").select(
-        "lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.col("n").alias("a"))
+    entries = found.where("next is not null").select(
+        "lang", F.concat_ws(" ", F.when(F.col("prefix") != "", F.col("prefix")), "next").alias("phrase"),
+        F.col("n").alias("a"))
+    phrases = entries.where("phrase like '% %'")
     # a longer phrase that subsumes holds one that is longer by a word and does too
     tail = F.expr("substring(phrase, instr(phrase, ' ') + 1)")
     null = F.lit(None).cast("long")
     kept = (phrases.select("lang", "phrase", "a", null.alias("most"))
             .unionByName(phrases.where("phrase like '% % %'").select(
                 "lang", tail.alias("phrase"), null.alias("a"), F.col("a").alias("most")))
-            .unionByName(totals.where("prefix like '% %'").select(
+            .unionByName(found.where("next is null and prefix like '% %'").select(
                 "lang", F.col("prefix").alias("phrase"), null.alias("a"), "most"))
             .groupBy("lang", "phrase").agg(F.max("a").alias("a"), F.max("most").alias("most"))
             .where("a is not null and coalesce(most, 0) < a").select("lang", "phrase", "a"))
@@ -236,12 +236,12 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     single = lambda c: ~F.contains(c, F.lit(" "))
     asked = (kept.withColumn("w", F.split("phrase", " ")).select("lang", "phrase", "a", F.inline(cuts))
              .withColumn("copy", F.when(single(F.col("part")), F.pmod(F.xxhash64("phrase"), F.lit(COPIES))).otherwise(0).cast("int")))
-    told = totals.where("prefix != ''").select(
-        "lang", F.col("prefix").alias("part"), "total", F.explode(F.when(
-            single(F.col("prefix")), F.sequence(F.lit(0), F.lit(COPIES - 1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+    told = entries.select(
+        "lang", F.col("phrase").alias("part"), F.col("a").alias("total"), F.explode(F.when(
+            single(F.col("phrase")), F.sequence(F.lit(0), F.lit(COPIES - 1))).otherwise(F.array(F.lit(0)))).alias("copy"))
     both = (asked.join(told, ["lang", "part", "copy"])
             .groupBy("lang", "phrase", "a").agg(F.collect_list(F.struct("k", "left", "total")).alias("parts")))
-    words = totals.where("prefix = ''").select("lang", F.col("total").alias("n"))
+    words = found.where("next is null and prefix = ''").groupBy("lang").agg(F.sum("n").alias("n"))
     one = lambda k, left: F.filter("parts", lambda x: (x["k"] == k) & (x["left"] == left))[0]["total"]
     # 1000 * a * n and l * r pass 64 bits; 19 + 18 and 18 + 18 digits fit a decimal
     big = lambda c, p: c.cast(f"decimal({p},0)")
