@@ -34,7 +34,7 @@ BLOCK = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav "
     "ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
 APART = frozenset(
-    "aside button canvas dialog footer form head iframe input label menu nav noscript object "
+    "aside button canvas dialog footer head header iframe input label menu nav noscript object "
     "script select style svg template textarea".split())
 #: Elements that can be a content region.
 REGIONS = frozenset("article body center div main section td".split())
@@ -45,26 +45,43 @@ IMPLIED = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)),
            "th": (("td", "th"), ("tr", "table")), "tr": (("tr",), ("table",))}
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation "
                   "search toolbar".split())
+#: Names, or first parts of them, that set an element apart wherever it is.
 _NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|"
-    r"masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|"
-    r"related|replies|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[-_\s])",
-    re.I)
+    r"(?:^|[-_\s])(?:ads?|advert\w*|breadcrumbs?|comment(?!ar)\w*|consent|cookie\w*|discussion|disqus|footer|"
+    r"masthead|menu|modal|nav|navbar|navigation|newsletter|pagination|pager|popup|promo\w*|"
+    r"replies|respond|sidebar|sponsor\w*|subscribe|toolbar)(?:$|[-_\s])", re.I)
+#: Names that do so alone or with one of these parts; with others an element in an article is only suspect.
+_LOOSE = re.compile(r"(?:^|[-_\s])(?:banner|notices?|related|share|sharing|social|widget)(?:$|[-_\s])", re.I)
+_PARTS = frozenset("area articles bar box buttons content icons items links list news pages panel posts section stories "
+                   "videos wrap wrapper banner notice notices related share sharing social widget".split())
+FORM_SHARE = 0.5
+#: The state outside of all elements.
+NOWHERE = (False, 0, 0)
 
 
 class Lines(HTMLParser):
-    """The page's lines: text, tags, letters within links, path of open elements, whether set apart."""
+    """The page's lines: text, tags, letters within links, number of the element, its state.
+
+    A state is (set apart, numbers of the outermost form and the outermost suspect element around)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []  # tag, number, set apart
-        self.parents: list[tuple[int, str]] = [(-1, "")]  # of each element
-        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.stack: list[tuple[str, int, tuple[bool, int, int]]] = []  # tag, number, state
+        self.places: dict[str, list[int]] = {}  # of each tag's open elements in the stack
+        self.blocks: list[int] = []  # places of the open blocks
+        # by element: the one around it, tag, last number within, whether in an article or main element
+        self.parent, self.tag, self.last, self.within = [-1], [""], [0], [False]
+        self.lines: list[tuple[str, int, int, int, tuple[bool, int, int]]] = []
         self.text: list[str] = []
-        self.tags = self.linked = self.links = 0
+        self.tags = self.linked = 0
 
     def _where(self):
-        return (self.stack[-1][1], self.stack[-1][2]) if self.stack else (0, False)
+        return self.stack[-1][1:] if self.stack else (0, NOWHERE)
+
+    def _open(self, tag) -> int:
+        """The place of the innermost open element of a tag, -1 if there is none."""
+        held = self.places.get(tag)
+        return held[-1] if held else -1
 
     def _flush(self):
         text = " ".join("".join(self.text).split())
@@ -73,73 +90,88 @@ class Lines(HTMLParser):
         self.text, self.tags, self.linked = [], 0, 0
 
     def _pop(self, at: int):
-        self._flush() if any(t in BLOCK or x != self._where()[1] for t, _, x in self.stack[at:]) else None
-        self.links -= sum(t == "a" for t, _, _ in self.stack[at:])
+        left = self.stack[at - 1][2] if at else NOWHERE
+        if any(t in BLOCK or x != left for t, _, x in self.stack[at:]):
+            self._flush()
+        for t, number, _ in self.stack[at:]:
+            self.last[number] = len(self.tag) - 1
+            self.places[t].pop()
+            if t in BLOCK:
+                self.blocks.pop()
         del self.stack[at:]
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             self._flush()
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] == "p" and tag not in ("html", "body"):
-                    self._pop(i)
-                elif self.stack[i][0] in BLOCK:
-                    break
+            if self.blocks and self.stack[self.blocks[-1]][0] == "p" and tag not in ("html", "body"):
+                self._pop(self.blocks[-1])
             ends, bounds = IMPLIED.get(tag, ((), ()))
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] in ends:
-                    self._pop(i)
-                    break
-                if not ends or self.stack[i][0] in bounds:
-                    break
+            at = max(map(self._open, ends), default=-1)
+            if at > max(map(self._open, bounds), default=-1):
+                self._pop(at)
         self.tags += 1
         if tag == "br":
             self.text.append(" ")
         if tag in VOID:
             return
-        apart = self._where()[1] or self._apart(tag, dict(attrs))
-        if apart != self._where()[1]:
+        number, state = self._where()
+        inside = self.within[number]
+        new = self._state(tag, dict(attrs), state, inside, len(self.tag))
+        if new != state:
             self._flush()
-        self.parents.append((self._where()[0], tag))
-        self.stack.append((tag, len(self.parents) - 1, apart))
-        self.links += tag == "a"
+        self.parent.append(number)
+        self.tag.append(tag)
+        self.last.append(0)
+        self.within.append(inside or tag in ("article", "main"))
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, len(self.tag) - 1, new))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag not in BLOCK:
             self.handle_endtag(tag)
 
-    def _apart(self, tag, attrs) -> bool:
+    def _state(self, tag, attrs, state, inside, number):
+        apart, form, suspect = state
+        if apart:
+            return state
+        if tag == "form":
+            return False, form or number, suspect
         if tag in APART:
-            return True
-        inside = any(t in ("article", "main") for t, _, _ in self.stack)
-        if tag == "header":
-            return not inside
+            return (tag != "header" or not inside), form, suspect
         if tag in ("html", "body", "article", "main") or tag in HEADINGS:
-            return False
+            return state
         style = (attrs.get("style") or "").replace(" ", "").lower()
-        return bool("hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style
-                    or (attrs.get("role") or "").lower() in ROLES
-                    or any(_NAMES.search(attrs.get(a) or "") for a in ("class", "id")))
+        names = [attrs.get(a) or "" for a in ("class", "id")]
+        if ("hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style
+                or (attrs.get("role") or "").lower() in ROLES or any(map(_NAMES.search, names))):
+            return True, form, suspect
+        loose = [n for x in names for n in x.split() if _LOOSE.search(n)]
+        if any(all(part in _PARTS for part in re.split("[-_]", n.lower())) for n in loose) or loose and not inside:
+            return True, form, suspect
+        return False, form, suspect or (number if loose else 0)
 
     def handle_endtag(self, tag):
         if tag == "br":
             self.text.append(" ")
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self._pop(i)
-                return
-        if tag in BLOCK:
+        at = self._open(tag)
+        if at >= 0:
+            self._pop(at)
+        elif tag in BLOCK:
             self._flush()
 
     def handle_data(self, data):
         self.text.append(data)
-        if self.links:
+        if self.places.get("a"):
             self.linked += len(data)
 
     def close(self):
         super().close()
         self._flush()
+        for number in (0, *(n for _, n, _ in self.stack)):
+            self.last[number] = len(self.tag) - 1
 
 
 def smoothed(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -168,37 +200,44 @@ def main_text(html: str) -> str:
     parser = Lines()
     parser.feed(html)
     parser.close()
-    lines, parents = parser.lines, parser.parents
-    free = [i for i, x in enumerate(lines) if not x[4]]
+    lines, parent, tag, end = parser.lines, parser.parent, parser.tag, parser.last
+    letters: dict[int, int] = {}
+    for text, _, _, _, (apart, form, _) in lines:
+        if not apart:
+            letters[form] = letters.get(form, 0) + len(text)
+    total = sum(letters.values())
+    out = {form for form, n in letters.items() if form and n < FORM_SHARE * total}  # forms that are set apart
+    free = [i for i, x in enumerate(lines) if not x[4][0] and x[4][1] not in out]
     if not free:
         return ""
-    ratios = np.array([0.0 if x[4] else len(x[0]) / max(1, x[1]) for x in lines])
+    ratios = np.zeros(len(lines))
+    ratios[free] = [len(lines[i][0]) / max(1, lines[i][1]) for i in free]
     smooth = np.log1p(smoothed(ratios))
     content = smooth >= threshold(smooth[free])
-
-    def path(at: int) -> list[int]:
-        """The element and those around it, innermost first."""
-        out = []
-        while at >= 0:
-            out.append(at)
-            at = parents[at][0]
-        return out
-
-    paths = {at: path(at) for at in {lines[i][3] for i in free}}
-    shared = set.intersection(*[set(paths[lines[i][3]]) for i in free if content[i]])
-    # elements come before those in them, so the lowest of a path has the largest number
-    region = max((at for at in shared if parents[at][1] in REGIONS), default=0)
-    around = path(region)
-    for kind in ("main", "article"):
-        outer = [at for at in around if parents[at][1] == kind]
-        if outer:
-            region = outer[-1]
-            break
+    held = [lines[i][3] for i in free if content[i]]
+    # the lowest element around all is that around the first and the last
+    region, last = min(held), max(held)
+    while end[region] < last or tag[region] not in REGIONS and region:
+        region = parent[region]
+    around, outer = region, {}
+    while around >= 0:
+        outer[tag[around]] = around
+        around = parent[around]
+    region = outer.get("main", outer.get("article", region))
+
+    main: dict[int, list[int]] = {}  # of each suspect element: letters, those above the threshold, those in links
+    for i in free:
+        held = main.setdefault(lines[i][4][2], [0, 0, 0])
+        held[0] += len(lines[i][0])
+        held[1] += len(lines[i][0]) * int(content[i])
+        held[2] += lines[i][2]
 
     def counts(i: int) -> bool:
-        held = paths[lines[i][3]]
-        return region in held and (content[i] or any(parents[at][1] in ("article", "main") for at in held)
-                                   or lines[i][2] <= LINK_SHARE * len(lines[i][0]))
+        text, _, linked, at, (_, _, suspect) = lines[i]
+        n, above, links = main[suspect]
+        if suspect and (2 * above < n or links > LINK_SHARE * n):
+            return False
+        return region <= at <= end[region] and bool(content[i] or parser.within[at] or linked <= LINK_SHARE * len(text))
 
     return "\n".join(lines[i][0] for i in free if counts(i))
 
