@@ -1,7 +1,7 @@
 """Personal data to format-preserving Feistel pseudonyms.
 
 One pattern finds candidates; each is validated by its kind: payment card numbers
-(13 to 19 digits, Luhn), phone numbers (10 national digits), social security
+(13 to 19 digits, together, in fours or 4-6-5, Luhn), phone numbers (10 national digits), social security
 numbers (area, group and serial in use), IPv4 addresses (octets below 256), dates
 (days of the calendar). A valid value is permuted, under a key, within the values
 of its format by an alternating Feistel network: two numbers take turns in being
@@ -9,10 +9,14 @@ moved by a keyed hash of the other, so every step can be undone, and equal value
 have equal pseudonyms in all documents, however they are punctuated. A card's check
 digit is made anew; a date stays within the 400 years of the calendar's cycle that it is in (counted from 1970), and an address, a phone number's
 country code and all punctuation keep their form. Local parts of mail addresses and
-secrets have no numeric format; they become keyed hashes of the same alphabet.
+secrets (after a key word, or known by their first letters) have no numeric format; they become keyed
+hashes. IPv6 addresses, bank account numbers and phone numbers of other than ten national digits are not looked for.
+
+Every part of the pattern begins at the edge of its run of characters and doesn't step back into what it
+has passed, so a text takes time in proportion to its length, whatever it holds.
 
 Only Spark's own functions are used. Defined results: null and empty texts give ""
-and nothing found; a candidate that fails its validation stays; repeated rows get
+and nothing found; a text of any length is searched whole; a candidate that fails its validation stays; repeated rows get
 equal results; an empty table gives no rows; every further column passes through.
 """
 
@@ -27,15 +31,21 @@ ROUNDS = 8
 #: For tests and the registered query; a deployment gives its own.
 KEY = "a-key-for-tests-only"
 
-_CARD = r"(?<![\d.+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,3})?)(?![\d-])"
+_CARD = r"(?<![\d.+-])(?:\d{13,19}|\d{4}[ -]\d{6}[ -]\d{5}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,3})?)(?![\d-])"
 _PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}(?![\d-])"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"
 _DATE = r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-])"
-_MAIL = r"[\p{L}\p{N}._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-_SECRET = r"(?i:token|secret|password|api[_-]?key)\s*[=:]\s*[\"']?[A-Za-z0-9_-]{16,}[\"']?"
+#: A domain has labels of 63 characters and 127 of them at most.
+_MAIL = (r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]{1,63}"
+         r"(?:\.[A-Za-z0-9-]{1,63}){0,125}\.[A-Za-z]{2,63}")
+_KEY_WORD = r"(?i:token|secret|password|api[_-]?key)\s*+[=:]\s*+[\"']?"
+_SECRET = _KEY_WORD + r"[A-Za-z0-9_./+~=-]{16,}+[\"']?"
+#: Forms that tell themselves, by their first letters.
+_BARE = (r"(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,255}+|xox[abprs]-[A-Za-z0-9-]{10,255}+)"
+         r"(?![A-Za-z0-9_])")
 #: Earlier kinds win where two match at the same place.
-PATTERN = "|".join([_SECRET, _MAIL, _SSN, _CARD, _PHONE, _IP, _DATE])
+PATTERN = "|".join([_SECRET, _BARE, _MAIL, _SSN, _CARD, _PHONE, _IP, _DATE])
 
 
 def _moved(value: Column, mod: Column, *parts) -> Column:
@@ -169,24 +179,22 @@ def _mail(m: Column, key: str) -> Column:
 
 
 def _secret(m: Column, key: str) -> Column:
-    """The secret itself is the last run of its alphabet; it gets as many hex digits."""
-    value = F.regexp_extract(m, r"([A-Za-z0-9_-]+)[\"']?$", 1)
-    return _let(value, lambda v: F.concat(
-        F.regexp_extract(m, r"^(.*?)[A-Za-z0-9_-]+[\"']?$", 1),
-        F.left(F.repeat(_hashed(v, key, "secret"), F.ceil(F.length(v) / 64).cast("int")), F.length(v)),
-        F.regexp_extract(m, r"([\"']?)$", 1)))
+    """What follows the key word, or the first letters, becomes as many hex digits; a quote or a full stop after it stays."""
+    part = lambda i: F.regexp_extract(m, "^(" + _KEY_WORD + r"|AKIA|gh[pousr]_|xox[abprs]-)(.*?)(\.?[\"']?)$", i)
+    return _let(part(2), lambda v: F.concat(
+        part(1), F.left(F.repeat(_hashed(v, key, "secret"), F.ceil(F.length(v) / 64).cast("int")), F.length(v)), part(3)))
 
 
 def kind_of(m: Column) -> Column:
     """The kind of a candidate that passes its validation, else null."""
     digits = F.regexp_replace(m, r"\D", "")
     area = F.left(m, F.lit(3))
-    return (F.when(m.rlike("^" + _SECRET + "$"), "secret")
+    return (F.when(m.rlike("^(?:" + _SECRET + "|" + _BARE + ")$"), "secret")
             .when(m.contains("@"), "mail")
             .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"),
                   F.when((area != "000") & (area != "666") & (area < "900") & (F.substring(m, 5, 2) != "00")
                          & (F.right(m, F.lit(4)) != "0000"), "ssn"))
-            .when(m.rlike(r"^\d{13,19}$|^\d{4}(?:[ -]\d{4}){2}"), F.when(luhn_sum(digits, False) % 10 == 0, "card"))
+            .when(m.rlike(r"^\d{13,19}$|^\d{4}(?:[ -]\d{4}){2}|^\d{4}[ -]\d{6}[ -]"), F.when(luhn_sum(digits, False) % 10 == 0, "card"))
             .when(m.rlike(r"^\d+(?:\.\d+){3}$"), F.when(~F.exists(F.split(m, r"\."), lambda x: x.cast("int") > 255), "ip"))
             .when(m.rlike(r"^\d{4}-\d\d-\d\d$|^\d\d/\d\d/\d{4}$|^\d\d\.\d\d\.\d{4}$"), F.when(_day(m).isNotNull(), "date"))
             .when(F.length(digits).between(10, 13), "phone"))
