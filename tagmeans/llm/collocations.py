@@ -43,7 +43,7 @@ KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 #: The share of all words at which a prefix's stripe is dealt to several bundles, and these (the empty prefix: all).
 HOT, SHARDS = 0.002, 32
 #: Bundles of stripes for each shuffle partition.
-BUNDLES = 4
+BUNDLES = 2
 #: Copies of the count of a one-word part.
 COPIES = 32
 #: Text that is counted at once.
