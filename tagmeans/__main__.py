@@ -2,7 +2,8 @@
 
     python -m tagmeans PATH [--spread 50000] [--kernels 45] [--eta 20]
                             [--max-iterations 120] [--langs A,B,...]
-                            [--sample FRACTION] [--lenient] [--master URL]
+                            [--sample FRACTION] [--lenient] [--id-type int|bigint]
+                            [--master URL]
 
 Under spark-submit the session settings (master, checkpoint folder, ...)
 come from the submit command; ``--master`` is for a quick local run.
@@ -36,6 +37,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--seed", type=int, default=42, help="seed of the seed-point draw")
     ap.add_argument("--sample", type=float, help="Poisson down-sample of scored questions")
     ap.add_argument("--lenient", action="store_true", help="drop malformed lines")
+    ap.add_argument("--id-type", choices=("int", "bigint"), default="int",
+                    help="type of posting ids: 32 bits, or 64 bits")
     ap.add_argument("--drop-unknown", action="store_true", help="drop unknown tags")
     ap.add_argument("--master", help="Spark master for a local run, e.g. local[*]")
     args = ap.parse_args(argv)
@@ -52,7 +55,7 @@ def main(argv: list[str] | None = None) -> None:
                            max_iterations=args.max_iterations, seed=args.seed,
                            on_unknown="drop" if args.drop_unknown else "error", **kw)
     run = run_lines(read_lines(spark, args.path), config, strict=not args.lenient,
-                    sample_fraction=args.sample)
+                    sample_fraction=args.sample, id_type=args.id_type)
     print(f"k-means: {run.result.updates} updates, converged={run.result.converged}")
     print_report(run.stats())
 

@@ -76,16 +76,17 @@ def parse_postings(lines: DataFrame, strict: bool = True, id_type: str = "int")
             F.lit("malformed posting line: "), F.coalesce(v, F.lit("<null>")))).cast("boolean"))
     a = F.col("a")
 
-    def num(k: int) -> Column:
-        return F.nullif(F.get(a, k), F.lit("")).try_cast(_type_of(k, id_type))
-
-    record = F.struct(
-        num(0).alias("posting_type"), num(1).alias("id"), num(2).alias("accepted_answer"),
-        num(3).alias("parent_id"), num(4).alias("score"),
-        F.when(F.size(a) >= 6, F.get(a, 5)).alias("tags"))
-    # inline: a caller's filter is not pushed below it, so fields are parsed once
-    return (lines.where(ok).select(_fields(v).alias("a"))
-            .select(F.inline(F.array(record))))
+    def num(k: int, field: Column) -> Column:
+        return F.nullif(field, F.lit("")).try_cast(_type_of(k, id_type))
+
+    # Callers filter by type and parent, so these are read without splitting the line (a valid
+    # line has its first five fields whatever is trimmed); Catalyst prunes what a caller doesn't read.
+    kind = num(0, F.substring_index(v, ",", 1))
+    parent = num(3, F.substring_index(F.substring_index(v, ",", 4), ",", -1))
+    return (lines.where(ok).select(kind.alias("posting_type"), parent.alias("parent_id"), _fields(v).alias("a"))
+            .select("posting_type", num(1, F.get(a, 1)).alias("id"), num(2, F.get(a, 2)).alias("accepted_answer"),
+                    "parent_id", num(4, F.get(a, 4)).alias("score"),
+                    F.when(F.size(a) >= 6, F.get(a, 5)).alias("tags")))
 
 
 def questions(postings: DataFrame) -> DataFrame:

@@ -15,11 +15,12 @@ question holding a third of all answers costs one partial row per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ClusterConfig
 from ..functions.expressions import lang_index
+from ..plans.checkpoint import cut_lineage
 from ..schema import POSTING_COLUMNS
 from .vectors import language_points
 
@@ -48,16 +49,60 @@ def _is_a() -> F.Column:
     return F.col("posting_type") == 2
 
 
-def qa_pairs(qs: DataFrame, ans: DataFrame) -> DataFrame:
+#: An id that holds this share of all questions or answers is hot: there are at most 2 / HOT_SHARE of them.
+HOT_SHARE = 0.001
+#: Parts that the rows of a hot id are dealt to.
+SALTS = 32
+
+
+def splits_skew(spark: SparkSession) -> bool:
+    """Whether the session splits skewed join partitions by itself."""
+    on = lambda name: spark.conf.get(f"spark.sql.adaptive.{name}", "true").lower() == "true"
+    return on("enabled") and on("skewJoin.enabled")
+
+
+def qa_pairs(qs: DataFrame, ans: DataFrame, salted: bool | None = None) -> DataFrame:
     """J1: inner equi-join ``question.id = answer.parent_id``, one row per pair.
 
     Output: ``qid int, question struct<posting>, answer struct<posting>``.
     Unanswered questions and orphan answers vanish; duplicate question ids
     multiply. Catalyst/AQE pick the join strategy and split a skewed key.
+
+    ``salted`` deals the rows of hot ids to ``SALTS`` parts on the side where they are hot and
+    copies the other side's rows to each part; by default it is done where the session doesn't split
+    skewed partitions itself. It costs one more read of both sides, to count them by id.
     """
     q = qs.select(F.col("id").alias("qid"), _posting_struct().alias("question"))
     a = ans.select(F.col("parent_id").alias("qid"), _posting_struct().alias("answer"))
-    return q.join(a, "qid", "inner")
+    if salted is None:
+        salted = not splits_skew(q.sparkSession)
+    if not salted:
+        return q.join(a, "qid", "inner")
+    hot = _hot_ids(q, a)
+    q = _salted(q, "question", hot, "q_parts", "a_parts", "q_part", "a_part")
+    a = _salted(a, "answer", hot, "a_parts", "q_parts", "a_part", "q_part")
+    return q.join(a, ["qid", "q_part", "a_part"], "inner").select("qid", "question", "answer")
+
+
+def _hot_ids(q: DataFrame, a: DataFrame) -> DataFrame:
+    """``qid, q_parts, a_parts`` of the ids that are hot on either side."""
+    both = (q.select("qid", F.lit(1).alias("nq"), F.lit(0).alias("na"))
+            .unionByName(a.select("qid", F.lit(0).alias("nq"), F.lit(1).alias("na"))))
+    counts = cut_lineage(both.where("qid is not null").groupBy("qid").agg(F.sum("nq").alias("nq"), F.sum("na").alias("na"))
+                         .where("nq > 0 and na > 0"))  # ids without a partner make no pairs
+    n = counts.agg(F.coalesce(F.sum("nq"), F.lit(0)).alias("q"), F.coalesce(F.sum("na"), F.lit(0)).alias("a")).first()
+    parts = lambda c, total: F.when(F.col(c) > max(SALTS, HOT_SHARE * total), SALTS).otherwise(1)
+    return (counts.select("qid", parts("nq", n.q).alias("q_parts"), parts("na", n.a).alias("a_parts"))
+            .where("q_parts > 1 or a_parts > 1"))
+
+
+def _salted(df: DataFrame, record: str, hot: DataFrame, own: str, other: str, part: str, copy: str) -> DataFrame:
+    """``df`` with its own part of a hot id, by hash of the record, and a copy for each part of the other side."""
+    parts = lambda c: F.coalesce(F.col(c), F.lit(1))
+    return (df.join(F.broadcast(hot), "qid", "left")  # 2 / HOT_SHARE rows at most
+            .withColumn(part, F.pmod(F.xxhash64(record), parts(own)))
+            .withColumn(copy, F.explode(F.sequence(F.lit(0).cast("long"), parts(other).cast("long") - 1)))
+            .drop(own, other))
 
 
 def grouped_postings(postings: DataFrame, strict: bool = True, langs=None) -> DataFrame:

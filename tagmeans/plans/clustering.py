@@ -123,6 +123,6 @@ def run_postings(postings: DataFrame, config: ClusterConfig, strict: bool = True
 
 
 def run_lines(lines: DataFrame, config: ClusterConfig, strict: bool = True,
-              sample_fraction: float | None = None) -> ClusterRun:
-    """The reference's main: text lines in, cluster run out."""
-    return run_postings(parse_postings(lines, strict=strict), config, strict, sample_fraction)
+              sample_fraction: float | None = None, id_type: str = "int") -> ClusterRun:
+    """The reference's main: text lines in, cluster run out. ``id_type='bigint'`` reads ids of 64 bits."""
+    return run_postings(parse_postings(lines, strict=strict, id_type=id_type), config, strict, sample_fraction)

@@ -28,7 +28,7 @@ from ..schema import POSTING_COLUMNS
 from ..sources.star import STAR_TAGS, star_config, star_lines, star_postings, table
 from ..sources.text import read_lines
 from .checkpoint import cut_lineage, delete_copy, ensure_checkpoint_dir, write_copy
-from .clustering import cluster_vectors, score
+from .clustering import cluster_vectors, score, vectors_from_postings
 
 # Settings of the registered queries.
 CFG = star_config()                                   # spread 50000, k 45, eta 20, seed 42
@@ -156,6 +156,22 @@ def q_qa_pairs(spark, sf_dir):
         F.col("answer.id").alias("answer_id"), F.col("answer.score").alias("answer_score"))
 
 
+def _hot_answers(spark, sf_dir) -> DataFrame:
+    """The postings with every third answer moved to the first question."""
+    p = _postings(spark, sf_dir)
+    first = p.where("posting_type = 1").agg(F.min("id")).first()[0]
+    moved = (F.col("posting_type") == 2) & (F.col("id") % 3 == 0)
+    return p.withColumn("parent_id", F.when(moved, F.lit(first)).otherwise(F.col("parent_id")))
+
+
+def q_qa_pairs_hot(spark, sf_dir):
+    """J1 with a third of the answers under one id, dealt by salts."""
+    p = _hot_answers(spark, sf_dir)
+    return qa_pairs(questions(p), answers(p), salted=True).select(
+        "qid", F.col("question.tags").alias("tags"),
+        F.col("answer.id").alias("answer_id"), F.col("answer.score").alias("answer_score"))
+
+
 def q_grouped_postings(spark, sf_dir):
     return grouped_postings(_postings(spark, sf_dir)).select(
         "qid", F.col("question.tags").alias("tags"), "n_pairs", "score_sum",
@@ -273,6 +289,12 @@ def q_cluster_results_mixed(spark, sf_dir):
     return _run(_vectors(spark, sf_dir, CFG_MIXED), CFG_MIXED, lambda r: r.results())
 
 
+def q_cluster_results_sampled(spark, sf_dir):
+    """The whole pipeline over a Poisson sample of the scored questions (K3)."""
+    sample = vectors_from_postings(_postings(spark, sf_dir), CFG, sample_fraction=K3_FRACTION)
+    return _run(sample, CFG, lambda r: r.results())
+
+
 def q_cluster_report(spark, sf_dir):
     return _run(_vectors(spark, sf_dir, CFG), CFG, lambda r: r.report())
 
@@ -287,6 +309,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "questions": q_questions,
     "answers": q_answers,
     "qa_pairs": q_qa_pairs,
+    "qa_pairs_hot": q_qa_pairs_hot,
     "grouped_postings": q_grouped_postings,
     "scored_postings": q_scored_postings,
     "sampled_scored": q_sampled_scored,
@@ -308,6 +331,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cluster_results": q_cluster_results,
     "cluster_results_lines": q_cluster_results_lines,
     "cluster_results_mixed": q_cluster_results_mixed,
+    "cluster_results_sampled": q_cluster_results_sampled,
     "cluster_report": q_cluster_report,
 }
 
@@ -338,11 +362,11 @@ sc AS (
   GROUP BY q.posting_type, q.id, q.accepted_answer, q.parent_id, q.score, q.tags)"""
 
 
-def _vec_sql(cfg: ClusterConfig) -> str:
+def _vec_sql(cfg: ClusterConfig, scored: str = "sc") -> str:
     idx = f"list_position({_sql_list(cfg.langs)}, tags) - 1"
     where = "WHERE lang_idx IS NOT NULL" if cfg.on_unknown == "drop" else ""
     return f"""
-vi AS (SELECT id, CAST({idx} AS BIGINT) AS lang_idx, high_score FROM sc),
+vi AS (SELECT id, CAST({idx} AS BIGINT) AS lang_idx, high_score FROM {scored}),
 vec AS (SELECT id, lang_idx * {cfg.lang_spread} AS x, high_score FROM vi {where}),
 wp AS (SELECT CAST(x AS BIGINT) AS x, CAST(high_score AS BIGINT) AS y, CAST(count(*) AS BIGINT) AS n
        FROM vec GROUP BY x, high_score)"""
@@ -487,11 +511,19 @@ FROM du JOIN a ON du.id = a.parent_id WHERE lang >= 0 GROUP BY du.id, lang"""
     o["duplicate_questions_unfused"] = o["duplicate_questions"]
     number = "CAST('0x' || substr(md5('0|' || CAST(id AS VARCHAR)), 1, 13) AS BIGINT)"
     times = " + ".join(f"CAST(h >= {t} AS INTEGER)" for t in poisson_thresholds(K3_FRACTION))
+    sampled = f"""
+sampled AS (SELECT id, tags, high_score FROM (
+  SELECT id, tags, high_score, unnest(range({times})) FROM (SELECT *, {number} AS h FROM sc)))"""
+    o["cluster_results_sampled"] = _with(_POSTINGS_SQL, sampled, _vec_sql(CFG, "sampled"), _seeds_sql(CFG), _kmeans_sql(
+        CFG, CFG.max_iterations), _results_sql(CFG)) + " SELECT lang_label, lang_percent, cluster_size, median_score FROM res"
     o["sampled_scored"] = f"""{post}
 SELECT id, tags, high_score FROM (
   SELECT id, tags, high_score, unnest(range({times})) FROM (SELECT *, {number} AS h FROM sc))"""
     o["questions"] = f"{post} SELECT {cols} FROM q"
     o["answers"] = f"{post} SELECT {cols} FROM a"
+    o["qa_pairs_hot"] = f"""{post},
+hot AS (SELECT id, score, CASE WHEN id % 3 = 0 THEN (SELECT min(id) FROM q) ELSE parent_id END AS parent_id FROM a)
+SELECT q.id AS qid, q.tags, hot.id AS answer_id, hot.score AS answer_score FROM q JOIN hot ON q.id = hot.parent_id"""
     o["qa_pairs"] = (f"{post} SELECT q.id AS qid, q.tags, a.id AS answer_id, a.score AS answer_score "
                      f"FROM q JOIN a ON q.id = a.parent_id")
     o["grouped_postings"] = (

@@ -23,3 +23,14 @@ def test_cli_prints_report(spark, capsys):
     assert "Resulting clusters:" in out
     rows = [ln for ln in out.splitlines() if "%)" in ln]
     assert rows and sum(int(ln.split()[-1]) for ln in rows) == 12
+
+
+def test_cli_reads_ids_of_64_bits(spark, capsys, tmp_path):
+    big = 5_000_000_000
+    lines = [f"1,{big + q},,,0,{'AB'[q % 2]}" for q in range(12)]
+    lines += [f"2,{2 * big + q},,{big + q},{q}" for q in range(12)]
+    path = tmp_path / "postings.csv"
+    path.write_text("\n".join(lines) + "\n")
+    main([str(path), "--langs", "A,B", "--kernels", "4", "--id-type", "bigint"])
+    rows = [ln for ln in capsys.readouterr().out.splitlines() if "%)" in ln]
+    assert sum(int(ln.split()[-1]) for ln in rows) == 12

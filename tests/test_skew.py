@@ -101,3 +101,34 @@ def test_grouping_also_reduces_before_shuffle(spark):
     plan = plan_text(grouped_postings(p))
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.index("partial_max") > plan.index("Exchange hashpartitioning")
+
+
+def test_salted_pairs(spark):
+    """Ids hot on the question side, on the answer side and on both: all pairs once, and no
+    partition of the join holds much more than the others, with AQE off."""
+    from tagmeans import answers, qa_pairs, questions
+
+    rows = [(1, 1, None, None, k, "Java") for k in range(60)] + [(1, 2, None, None, 0, "PHP")]
+    rows += [(1, 3, None, None, k, "PHP") for k in range(400)] + [(1, q, None, None, 0, "Java") for q in range(4, 400)]
+    rows += [(2, 10_000 + k, None, (1, 2, 2, 4 + k % 390)[k % 4], k, None) for k in range(4000)]
+    rows += [(2, 1, None, 3, 7, None), (2, 2, None, 9_999, 7, None)]
+    p = spark.createDataFrame(rows, POSTING).repartition(4)
+    qs, ans = defaultdict(list), defaultdict(list)
+    for r in rows:
+        (qs[r[1]] if r[0] == 1 else ans[r[3]]).append(r)
+    want = sorted(repr((k, q, a)) for k in qs for q in qs[k] for a in ans[k])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = qa_pairs(questions(p), answers(p, strict=False))
+        assert "a_part" in plan_text(pairs)
+        got = [(r.qid, tuple(r.question), tuple(r.answer)) for r in pairs.collect()]
+        sizes = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(repr, got)) == want
+    # 60,000 of some 64,000 pairs are of one id
+    assert len(sizes) == 8 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+    plain = qa_pairs(questions(p), answers(p, strict=False), salted=False)
+    assert sorted(map(repr, [(r.qid, tuple(r.question), tuple(r.answer)) for r in plain.collect()])) == want

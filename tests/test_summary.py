@@ -2,6 +2,7 @@ import pytest
 
 from tagmeans import ClusterConfig, cluster_results, cluster_stats, report_lines
 from tagmeans.config import DEFAULT_LANGS
+from tagmeans.sources.sinks import REPORT_HEADER
 
 
 def test_recorded_matlab_cluster(points_df):
@@ -42,9 +43,7 @@ def test_report_lines(points_df):
     stats = cluster_stats(pts, [(600000, 7), (25000, 1)], ClusterConfig())
     lines = [r.line for r in report_lines(stats).orderBy("pos").collect()]
     assert lines == [
-        "Resulting clusters:",
-        "  Score  Dominant language (%percent)  Questions",
-        "================================================",
+        *REPORT_HEADER,
         "      1  Java              (66.7 %)            3",
         "      7  MATLAB            (100.0%)            4",
     ]
