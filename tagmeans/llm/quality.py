@@ -8,7 +8,8 @@ probability.
 
 The network is trained on the driver on at most ``SAMPLE`` labelled rows with
 texts of at most ``SAMPLE_CHARS`` characters (at most some 80 MB), picked by hash
-of the id. Scores come from whole texts, whatever their length.
+of the id. Scores come from whole texts, whatever their length: long ones are gone through in
+overlapping pieces, with the largest answers so far, in the memory of one piece.
 
 Defined results: null and empty texts are scored as one chunk of padding;
 repeated rows get equal scores; without usable labels every score is 0.5, with
@@ -29,6 +30,8 @@ LAG, GRAM = 32, 4
 SAMPLE, SAMPLE_CHARS, EPOCHS, BATCH = 2400, 20_000, 6, 32
 #: Characters that are scored together (their channels stay in the processor's cache).
 CHARS_AT_ONCE = 1 << 16
+#: Bytes beyond which a text is scored in pieces, and bytes of a piece (whole steps).
+LONG = 1 << 20
 #: A document is predicted to be good from this score on.
 CUT = 0.3
 PAD = 256
@@ -48,6 +51,11 @@ def as_bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     out = np.full(first[-1] * STRIDE, PAD, np.int16)
     for r, at in zip(raw, first * STRIDE):
         out[at:at + len(r)] = np.frombuffer(r, np.uint8)
+    return out, recurring(out), first
+
+
+def recurring(out: np.ndarray) -> np.ndarray:
+    """Whether each byte's last ``GRAM`` bytes stood before within ``LAG`` bytes."""
     low = np.append(out.astype(np.uint8), np.zeros(GRAM, np.uint8))
     gram = np.ndarray(len(out), "<u4", low, strides=(1,)).copy()
     same, block = np.zeros(len(out), bool), 1 << 15
@@ -57,7 +65,7 @@ def as_bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             now = gram[b:a + block]
             same[b:a + block] |= now == gram[b - lag:b - lag + len(now)]
     same &= out != PAD
-    return out, same, first
+    return same
 
 
 class Network:
@@ -78,15 +86,35 @@ class Network:
         """Answers of all filters by step, without those that cover padding between texts."""
         out, same, first = data
         x = self._channels(out, same)
+        answers = self._steps(x)
+        for i in range(WIDTH // STRIDE):
+            answers[first[1:] - 1 - i] = -np.inf
+        return x, answers
+
+    def _steps(self, x):
+        """Answers of all filters by step; none where a filter would pass the end."""
         parts = x.reshape(-1, STRIDE * CHANNELS)
         k, n = WIDTH // STRIDE, len(parts)
         each = parts @ np.concatenate(list(self.w["filter"].reshape(k, -1, FILTERS)), axis=1)
         answers = np.full((n, FILTERS), -np.inf, np.float32)
         answers[:n - k + 1] = self.w["bias"] + sum(
             each[i:n - k + 1 + i, i * FILTERS:(i + 1) * FILTERS] for i in range(k))
-        for i in range(k):
-            answers[first[1:] - 1 - i] = -np.inf
-        return x, answers
+        return answers
+
+    def _largest(self, raw: bytes) -> np.ndarray:
+        """The largest answer of each filter in a long text, piece by piece. A piece has ``LAG`` bytes
+        before it and a filter's width and more after it, so its answers are those of the whole text."""
+        top = np.full(FILTERS, -np.inf, np.float32)
+        steps = max(-(-len(raw) // STRIDE), WIDTH // STRIDE)
+        for step in range(0, steps, LONG // STRIDE):
+            n = min(LONG // STRIDE, steps - step)
+            a, b = step * STRIDE - LAG, (step + n + 1) * STRIDE + WIDTH
+            out = np.full(b - a, PAD, np.int16)
+            part = raw[max(a, 0):b]
+            out[max(-a, 0):max(-a, 0) + len(part)] = np.frombuffer(part, np.uint8)
+            answers = self._steps(self._channels(out, recurring(out)))[LAG // STRIDE:LAG // STRIDE + n]
+            top = np.maximum(top, answers.max(axis=0))
+        return top
 
     def _channels(self, out, same):
         """The input channels of each byte: its embedding and whether it recurs."""
@@ -101,14 +129,21 @@ class Network:
 
     def score(self, texts: list[str]) -> np.ndarray:
         """Probability of label 1 of each text."""
-        held = np.cumsum([len(t) for t in texts]) // CHARS_AT_ONCE
-        cuts = np.r_[0, np.flatnonzero(np.diff(held)) + 1, len(texts)]
+        size = np.array([len(t) for t in texts])
+        held = np.cumsum(size) // CHARS_AT_ONCE
+        alone = size > LONG
+        new = (np.diff(held) > 0) | alone[1:] | alone[:-1]
+        cuts = np.r_[0, np.flatnonzero(new) + 1, len(texts)]
         return np.concatenate([self._score(texts[a:b]) for a, b in zip(cuts[:-1], cuts[1:])])
 
     def _score(self, texts: list[str]) -> np.ndarray:
-        data = as_bytes(texts)
-        _, answers = self._answers(data)
-        pooled = np.maximum(np.maximum.reduceat(answers, data[2][:-1], axis=0), 0)
+        if len(texts) == 1 and len(texts[0]) > LONG:
+            largest = self._largest(texts[0].encode("utf-8", "replace"))[None]
+        else:
+            data = as_bytes(texts)
+            _, answers = self._answers(data)
+            largest = np.maximum.reduceat(answers, data[2][:-1], axis=0)
+        pooled = np.maximum(largest, 0)
         return 1 / (1 + np.exp(-np.clip(self._top(pooled)[1].astype(np.float64), -30, 30)))
 
     def slopes(self, data, y):
