@@ -46,13 +46,16 @@ FEATURES, SEEN_IN, EPOCHS = 1 << 18, 3, 20
 #: Steps at most, and the optimality gap to reach: the projected gradient's mean over all tokens, as a share
 #: of a rate of 1. ``DAMP`` (a share of the mean token) keeps steps finite where targets can't be met.
 STEPS, GAP, DAMP = 200, 1e-7, 1e-9
+#: Where the distance to the targets stays above ``NEAR`` (no rates near 1 meet them), a domain's miss is weighed
+#: against moving rates: a miss of ``FAR`` of its tokens is worth as much as moving its documents' rates by 1.
+NEAR, FAR = 0.01, 0.01
 #: Parts of a step that are tried at once.
 PARTS = (1.0, 0.5, 0.2, 0.05, 0.01)
 #: Words whose features a task remembers.
 MEMO = 300_000
 #: Target shares of the domains quality-toxic: nearly all of the mix is good and not toxic.
 TARGETS = {"1-0": 0.97, "0-0": 0.02, "1-1": 0.008, "0-1": 0.002}
-#: Without target shares: how often a domain's own tokens are to stand in the mix, 1 if not here.
+#: Without target shares: how often a domain's documents are to stand in the mix, 1 if not here.
 TIMES = {"1-1": 0.0, "0-1": 0.0}
 #: Key of the hash that rounds rates.
 ROUNDING = "mix"
@@ -203,9 +206,12 @@ class Rates:
         return float(np.abs(np.array(self.totals) - t).sum() / max(np.abs(t).sum(), 1.0))
 
 
-def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS) -> Rates:
+def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, damp=None) -> Rates:
     """The rates whose expected tokens of each domain come nearest to the targets.
 
+    ``damp`` (a number for each domain; default nearly none) weighs the squares of misses, divided by it,
+    against the squares of moving rates from 1, by token.
+
     ``members`` has ``n`` and ``posterior``. The gradient of a document's rate is its
     ``n * posterior`` times the totals' distances. A step is that gradient over ``n``, through
     the inverse Gram matrix of the documents with rates above 0; several parts of it are tried in one
@@ -232,21 +238,21 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS) -> R
             yield np.array(row[a:a + k]), gram, row[a + size - 1]
 
     tokens = float(members.agg(F.sum("n")).first()[0] or 0) or 1.0
-    damp = DAMP * tokens
+    damp = np.full(k, DAMP * tokens) if damp is None else np.asarray(damp, float)
     sum_ = np.zeros(k)
     totals, gram, square = next(tried([sum_]))
     for passes in range(1, steps + 1):
         # the dual of the nearest rates: its gradient is the distance to the targets
         slope = totals - target - damp * sum_
-        change = np.linalg.solve(gram + (damp + 1e-12 * tokens) * np.eye(k), slope)
+        change = np.linalg.solve(gram + np.diag(damp + 1e-12 * tokens), slope)
         # what a whole step would still move a rate by, over all tokens
         gap = float(np.sqrt(max(0.0, change @ gram @ change) / tokens)) if np.abs(change).max() > 0 else 0.0
         if gap < GAP:
             break
-        objective = square / 2 + target @ sum_ + damp * sum_ @ sum_ / 2
+        objective = square / 2 + target @ sum_ + damp @ sum_ ** 2 / 2
         trials = [sum_ + part * change for part in PARTS]
         results = list(tried(trials))
-        values = [sq / 2 + target @ s + damp * s @ s / 2 for s, (_, _, sq) in zip(trials, results)]
+        values = [sq / 2 + target @ s + damp @ s ** 2 / 2 for s, (_, _, sq) in zip(trials, results)]
         best = int(np.argmin(values))
         if values[best] > objective - 1e-15 * abs(objective):
             break  # no part of the step is better: rounding is all that is left
@@ -260,22 +266,26 @@ def plan(members: DataFrame, domains: list[str], targets: dict[str, float] | Non
     ``targets`` gives the share of each domain in the mix; domains without one get
     none. The mix has so many tokens that the domain with the largest share keeps
     those it has, so its documents keep rates near 1; a domain that is asked for more
-    than it has gets rates above 1. Without ``targets`` every domain keeps its tokens
-    ``TIMES`` as often: clean documents at rate 1, toxic ones at 0."""
+    than it has gets rates above 1. Without ``targets`` each document adds to its domains'
+    targets its tokens as often as ``TIMES`` says, by its posterior: clean documents stand once, toxic ones not."""
     slim = keep(members.groupBy("posterior").agg(F.sum("n").alias("n")).where("n > 0"))
-    own = slim.agg(*[F.sum(F.col("n") * F.element_at("posterior", i + 1)) for i in range(len(domains))]).first()
-    own = np.array([x or 0.0 for x in own])
+    p = [F.element_at("posterior", i + 1) for i in range(len(domains))]
+    times = sum((x * F.lit(TIMES.get(d, 1.0)) for x, d in zip(p, domains)), F.lit(0.0))
+    sums = slim.agg(*[F.sum(F.col("n") * x) for x in p], *[F.sum(F.col("n") * times * x) for x in p]).first()
+    own, kept = np.array([x or 0.0 for x in sums]).reshape(2, -1)
     if targets is None:
-        wanted = own * [TIMES.get(d, 1.0) for d in domains]
+        wanted = kept
     else:
         shares = np.array([targets.get(d, 0.0) for d in domains])
         shares = shares / shares.sum() if shares.sum() else np.full(len(shares), 1 / len(shares))
         lead = int(shares.argmax())
         wanted = shares * own[lead] / shares[lead]
     fit = fit_rates(slim, wanted.tolist())
+    if fit.distance > NEAR:
+        fit = fit_rates(slim, wanted.tolist(), damp=FAR * np.maximum(own, 1.0))
+        warnings.warn(f"no rates near 1 meet the targets: distance {fit.distance:.2g}", stacklevel=2)
     if not fit.converged:
-        warnings.warn(f"rates have not converged after {fit.steps} passes: gap {fit.gap:.2g}, distance to the targets "
-                      f"{fit.distance:.2g}", stacklevel=2)
+        warnings.warn(f"rates have not converged after {fit.steps} passes: gap {fit.gap:.2g}", stacklevel=2)
     return F.when(F.col("n") > 0, rate_column(fit.step)).otherwise(1.0), fit
 
 

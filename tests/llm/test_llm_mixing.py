@@ -43,3 +43,25 @@ def test_query_and_mix_round_alike(spark):
     out, _ = mixing.mix(table(spark, sf, "documents"), table(spark, sf, "labels"), mixing.TARGETS)
     assert got == {r.i: (r.rate, r.copies) for r in out.select(F.col("row.doc_id").alias("i"), "rate", "copies").collect()}
     assert abs(sum(c for _, c in got.values()) / sum(x for x, _ in got.values()) - 1) < 0.05
+
+
+def test_targets_that_no_rates_meet(spark):
+    """Documents that are all half of each domain: rates stay near the whole, and the fit says so."""
+    df = spark.createDataFrame([(i, 100, [0.5, 0.5]) for i in range(50)], "doc_id long, n long, posterior array<double>")
+    with pytest.warns(UserWarning, match="no rates near 1 meet the targets"):
+        rate, fit = mixing.plan(df, ["0", "1"], {"0": 0.9, "1": 0.1})
+    assert fit.converged and fit.distance > 0.3
+    rates = [r.rate for r in df.select(rate.alias("rate")).collect()]
+    # the least squares of misses: totals halfway between the targets
+    assert max(rates) - min(rates) < 1e-9 and abs(rates[0] - 0.556) < 0.02
+
+
+def test_clean_documents_stay(spark):
+    """Without targets: sure clean documents stand once, toxic ones go, doubtful ones by their posterior."""
+    r = np.random.default_rng(1)
+    toxic = np.r_[np.full(900, 1e-4), np.full(80, 1 - 1e-4), np.linspace(0, 1, 20)]
+    df = spark.createDataFrame([(i, int(r.integers(10, 900)), [float(0.1 * (1 - t)), float(0.1 * t), float(0.9 * (1 - t)), float(0.9 * t)])
+                                for i, t in enumerate(toxic)], "doc_id long, n long, posterior array<double>")
+    rate, fit = mixing.plan(df, DOMAINS)
+    rates = np.array([x.rate for x in df.select("doc_id", rate.alias("rate")).orderBy("doc_id").collect()])
+    assert fit.converged and fit.distance < 1e-3 and np.abs(rates - (1 - toxic)).max() < 0.01
