@@ -12,8 +12,12 @@ inner product is the smallest angle. How many candidates are enough is fitted: o
 rows, the longest prefix is sought that still finds ``RECALL`` of them.
 
 An array is dealt by its strings' first bits, and a large part further by hash, so
-no task holds more than some ``PART`` rows; each query visits the parts of its
-prefix. A query whose first bits have too few candidates is compared with all rows.
+no task holds more than some ``PART`` rows. Only ids and strings go to the trees' parts: there a
+query learns how many candidates each prefix has and, once all trees have agreed on its length,
+at which homes they are. A vector's home is its part of the first tree; each vector is sent
+there once, each query to the homes of its candidates, where every candidate meets it once,
+whichever trees name it. A query whose first bits have too few candidates is compared with all rows.
+Vectors travel in the numbers they are given in (4 or 8 bytes).
 
 Defined results: vectors that are null, zero or hold null or non-finite numbers,
 and those of another dimension than most, take no part, nor do null ids; rows that
@@ -29,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import keep, table
 
@@ -39,8 +44,9 @@ NEAREST, EVERY = 20, 20
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """(id, v) of the vectors that take part, ``v`` as array<double>."""
-    v = F.col(embedding).cast("array<double>")
+    """(id, v) of the vectors that take part, ``v`` as array<float> or array<double>."""
+    kind = vectors.schema[embedding].dataType.elementType
+    v = F.col(embedding) if isinstance(kind, T.FloatType) else F.col(embedding).cast("array<double>")
     good = (vectors.select(F.col(vec_id).cast("long").alias("id"), v.alias("v")).where("id is not null and v is not null")
             .where(~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
             .where(F.exists("v", lambda x: x != 0)).distinct())
@@ -62,17 +68,17 @@ class Forest:
         return (signs << np.arange(self.bits)[::-1]).sum(axis=2)
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), "<f8").reshape(len(column), -1)
+def _matrix(column, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1).astype("<f8")
 
 
-def _hashed(distinct: DataFrame, forest: Forest, query: bool) -> DataFrame:
+def _hashed(distinct: DataFrame, forest: Forest, query: bool, kind: str) -> DataFrame:
     """(id, vector binary, codes array<int>)."""
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                v = np.array(batch.column(1).to_pylist(), "<f8")
-                codes = forest.codes(v, query).astype(np.int32)
+                v = np.array(batch.column(1).to_pylist(), kind)
+                codes = forest.codes(v.astype("<f8"), query).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([x.tobytes() for x in v], pa.binary()),
                      pa.array(codes.tolist(), pa.list_(pa.int32()))], names=["id", "vector", "codes"])
@@ -80,10 +86,10 @@ def _hashed(distinct: DataFrame, forest: Forest, query: bool) -> DataFrame:
     return distinct.select("id", "v").mapInArrow(run, "id long, vector binary, codes array<int>")
 
 
-def _fit(points: DataFrame, queries: DataFrame, forest: Forest, nearest: int) -> tuple[int, float]:
+def _fit(points: DataFrame, queries: DataFrame, forest: Forest, nearest: int, kind: str) -> tuple[int, float]:
     """(prefix length, candidates in all trees) that find ``RECALL`` of a sample's neighbours."""
     sample = queries.orderBy(F.xxhash64("id")).limit(SAMPLE).collect()
-    q, q_codes = _matrix([r.vector for r in sample]), np.array([r.codes for r in sample])
+    q, q_codes = _matrix([r.vector for r in sample], kind), np.array([r.codes for r in sample])
     ids = np.array([r.id for r in sample])
     trees, bits = forest.trees, forest.bits
 
@@ -97,7 +103,7 @@ def _fit(points: DataFrame, queries: DataFrame, forest: Forest, nearest: int) ->
         for batch in batches:
             if not batch.num_rows:
                 continue
-            v, codes = _matrix(batch.column(1).to_pylist()), np.array(batch.column(2).to_pylist())
+            v, codes = _matrix(batch.column(1).to_pylist(), kind), np.array(batch.column(2).to_pylist())
             scores = q @ v.T
             own = batch.column(0).to_numpy()
             for i in range(len(q)):
@@ -132,25 +138,27 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
 
     ``queries`` is a condition on ``id``; without it all rows are queries."""
     rows = keep(usable(vectors, vec_id, embedding))
-    one = rows.select(F.max(F.size("v")).alias("d"),
-                      F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("m")).first()
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    one = rows.select(F.max(F.size("v")).alias("d"), F.max(F.sqrt(square)).alias("m")).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if one.d is None:
         return rows.sparkSession.createDataFrame([], schema)
     forest = Forest(one.d, one.m)
+    kind = "<f4" if rows.schema["v"].dataType.elementType == T.FloatType() else "<f8"
     # equal vectors are one point; of its ids no more can be among the nearest than these
-    nth = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    named = keep(rows.withColumn("nth", nth).where(F.col("nth") <= nearest + 1)
-                 .withColumn("point", F.min("id").over(Window.partitionBy("v"))))
-    asked = rows if queries is None else rows.where(queries)
-    q_ids = keep(asked.join(named.where("nth = 1").select("v", "point"), "v").select("id", "point"))
-    points = keep(_hashed(named.where("nth = 1"), forest, False))
+    alike = Window.partitionBy("v")
+    named = (rows.withColumn("nth", F.row_number().over(alike.orderBy("id"))).withColumn("point", F.min("id").over(alike))
+             .select("id", "point", "nth", F.when(F.col("nth") == 1, F.col("v")).alias("v")))
+    named = keep(named.withColumn("asked", F.lit(True) if queries is None else queries))
+    q_ids = named.where("asked").select("id", "point")
+    points = keep(_hashed(named.where("nth = 1"), forest, False, kind))
     wanted = named.where("nth = 1").join(q_ids.select("point").distinct(), "point", "left_semi")
-    asking = keep(_hashed(wanted, forest, True))
+    asking = keep(_hashed(wanted, forest, True, kind))
+    named = named.where(F.col("nth") <= nearest + 1)
     if asking.isEmpty():
         return rows.sparkSession.createDataFrame([], schema)
 
-    level, mean = _fit(points, asking, forest, nearest)
+    level, mean = _fit(points, asking, forest, nearest, kind)
     enough = max(SLACK * mean, 4 * nearest * forest.trees)
     first = max(0, min(level - 1, 12))  # bits that deal an array to parts
     trees, bits = forest.trees, forest.bits
@@ -196,35 +204,60 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
                                             lambda i: i.isNotNull())) + first, F.lit(-1))
     levels = keep(asking.join(sums, "id", "left").withColumn("level", F.coalesce(long_, F.lit(-1)).cast("int"))
                   .drop("n"))
-    near = sent(strings(levels.where("level >= 0"), "id", "vector", "level"))
-    # the first tree's parts by first bits: 2 ** first at most
+    # the first tree's parts are the vectors' homes
+    home = lambda seg, n: F.shiftleft(seg.cast("long"), 32) + n
+    first_tree = F.broadcast(parts.where("tree = 0").select("seg", "parts"))
+    homed = (points.withColumn("seg", F.shiftright(F.element_at("codes", 1), bits - first)).join(first_tree, "seg")
+             .withColumn("home", home(F.col("seg"), F.pmod(F.xxhash64("id", F.lit(0)), F.col("parts"))))
+             .select("id", "vector", "codes", "home"))
+
+    def visit(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"id": [], "home": []})]
+        if len(left) and len(right):
+            order = np.argsort(left["code"].to_numpy(), kind="stable")
+            codes, homes = left["code"].to_numpy(np.int64)[order], left["home"].to_numpy()[order]
+            a, b = ranges(codes, right["code"].to_numpy(np.int64), right["level"].to_numpy(np.int64))
+            ids = right["id"].to_numpy()
+            by = np.argsort(homes, kind="stable")
+            own, begin = np.unique(homes[by], return_index=True)
+            for h, at in zip(own, np.split(by, begin[1:])):
+                met = np.searchsorted(at, a) < np.searchsorted(at, b)
+                out.append(pd.DataFrame({"id": ids[met], "home": h}))
+        return pd.concat(out).astype({"id": "int64", "home": "int64"})
+
+    near = (dealt(strings(homed, "id", "home")).select("home", "code", *keys).groupBy(*keys)
+            .cogroup(sent(strings(levels.where("level >= 0"), "id", "level")).select("id", "code", "level", *keys).groupBy(*keys))
+            .applyInPandas(visit, "id long, home long").distinct())
+    # without enough candidates: all homes, 2 ** first and what large ones are parted to
     whole = F.array(*[F.struct(F.lit(r.seg).alias("seg"), F.lit(r.parts).alias("parts"))
                       for r in parts.where("tree = 0").collect()])
-    far = (levels.where("level < 0").select("id", "vector", "level", F.lit(0).alias("tree"), F.lit(0).alias("code"),
-                                            F.inline(whole))
-           .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    far = (levels.where("level < 0").select("id", F.inline(whole)).select("id", "seg", F.explode(
+        F.sequence(F.lit(0), F.col("parts") - 1)).alias("nth")).select("id", home(F.col("seg"), F.col("nth")).alias("home")))
+    visits = near.unionByName(far).join(levels.select("id", "vector", "codes", "level"), "id")
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"id": [], "point": [], "score": []})]
         if len(left) and len(right):
-            left = left.sort_values("code", kind="stable")
-            codes, v, own = left["code"].to_numpy(np.int64), _matrix(left["vector"]), left["id"].to_numpy()
-            for x, group in right.groupby("level"):
-                q = _matrix(group["vector"])
-                a, b = (ranges(codes, group["code"].to_numpy(np.int64), int(x)) if x >= 0
-                        else (np.zeros(len(q), int), np.full(len(q), len(v))))
-                for i, name in enumerate(group["id"]):
-                    if b[i] > a[i]:
-                        score = v[a[i]:b[i]] @ q[i]
-                        best = np.lexsort((own[a[i]:b[i]], -score))[:nearest + 1]
-                        out.append(pd.DataFrame({"id": name, "point": own[a[i]:b[i]][best], "score": score[best]}))
+            v, own, codes = _matrix(left["vector"], kind), left["id"].to_numpy(), np.array(left["codes"].tolist(), np.int64)
+            order = np.argsort(codes, axis=0, kind="stable")
+            q, q_codes = _matrix(right["vector"], kind), np.array(right["codes"].tolist(), np.int64)
+            x = right["level"].to_numpy(np.int64)
+            begin, end = (np.array(z) for z in zip(*[
+                ranges(codes[order[:, t], t], q_codes[:, t], np.maximum(x, 0)) for t in range(trees)]))
+            for i, name in enumerate(right["id"]):
+                met = np.ones(len(v), bool)
+                if x[i] >= 0:
+                    met[:] = False
+                    for t in range(trees):
+                        met[order[begin[t, i]:end[t, i], t]] = True
+                at = np.flatnonzero(met)
+                score = v[at] @ q[i]
+                best = np.lexsort((own[at], -score))[:nearest + 1]
+                out.append(pd.DataFrame({"id": name, "point": own[at][best], "score": score[best]}))
         return pd.concat(out).astype({"id": "int64", "point": "int64", "score": "float64"})
 
-    columns = ["id", "vector", "code", "level", *keys]
-    found = (dealt(strings(points, "id", "vector")).select("id", "vector", "code", *keys).groupBy(*keys)
-             .cogroup(near.select(*columns).union(far.select(*columns)).groupBy(*keys))
-             .applyInPandas(compare, "id long, point long, score double")
-             .groupBy("id", "point").agg(F.max("score").alias("score")))
+    found = (homed.groupBy("home").cogroup(visits.select("home", "id", "vector", "codes", "level").groupBy("home"))
+             .applyInPandas(compare, "id long, point long, score double"))
     best = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "point"))
     few = keep(found.withColumn("nth", best).where(F.col("nth") <= nearest + 1).drop("nth"))
     out = (q_ids.select(F.col("id").alias("query_id"), F.col("point").alias("id"))
