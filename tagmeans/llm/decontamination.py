@@ -9,7 +9,8 @@ prefix block pick the bucket of patterns to compare word by word.
 Defined results: null and empty texts have no words and no hit; an item with
 no word gives no window; repeated items and documents each count on their own
 (hit items are distinct ids); a null item id takes part in the hits but is not
-named; an empty benchmark hits nothing; every further column passes through.
+named; an empty benchmark hits nothing; a text of any length is searched whole; an empty
+table gives no rows; every further column passes through.
 """
 
 from __future__ import annotations

@@ -21,8 +21,8 @@ its id and text: the expected number is the rate itself, below and above 1.
 
 Defined results: null and empty texts have no token, the posterior of a text
 without words and rate 1; repeated rows get equal rates and copies; without labels
-there is one domain ("") and every rate moves alike; an empty table gives no rows; every
-further column passes through.
+there is one domain ("") and every rate moves alike; a text of any length is read whole; an empty
+table gives no rows; every further column passes through.
 """
 
 from __future__ import annotations

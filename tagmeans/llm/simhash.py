@@ -13,8 +13,8 @@ dealing leaves at most 256 possible members.
 
 Defined results: null and empty texts have fingerprint 0 and are linked like any
 other; repeated rows have equal fingerprints, so share a component; a null id
-takes part, but no component is named by it unless all of it is null; an empty
-table gives no rows; every further column passes through.
+takes part, but no component is named by it unless all of it is null; a text of any
+length is fingerprinted whole; an empty table gives no rows; every further column passes through.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ its own states, so all segments of a block are decoded side by side.
 
 Defined results: a null or empty text is one end id; documents stand in ascending
 (id, ids) order, a null id first; repeated rows are written as often as they
-stand in the table; an empty table gives an empty folder.
+stand in the table; a text of any length is encoded whole (its ids must fit one row); further
+columns are not written; an empty table gives an empty folder.
 """
 
 from __future__ import annotations
