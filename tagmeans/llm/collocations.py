@@ -47,7 +47,7 @@ BUNDLES = 2
 #: Copies of the count of a one-word part.
 COPIES = 32
 #: Text that is counted at once.
-CHARS = 12 << 20
+CHARS = 8 << 20
 
 #: ``prefixes``: one a line; ``next``: its words, one stripe a line; ``n``: the words' counts.
 _STRIPES = "bundle int, lang string, prefixes string, next string, n array<int>"
