@@ -1,6 +1,7 @@
 """The toxicity classifier: held-out labels, plain convolution, and its defined results."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -113,3 +114,38 @@ def test_defined_results(spark):
         assert len({x.score for x in out if x.text == "again"}) == 1
     assert toxicity.train(docs, labels).score([""]).tolist() == [0.0]
     assert toxicity.with_toxicity(docs.limit(0), toxicity.train(docs.limit(0), labels)).count() == 0
+
+
+def test_every_labelled_row_teaches(spark):
+    """Toxic texts that are all above 10,000 characters, dealt to shards that take several rounds; every
+    labelled row that isn't held out is learned from, once and whole."""
+    r = random.Random(2)
+    words = ["the", "a", "cat", "dog", "of", "house"]
+    texts = {i: " ".join(r.choice(words) for _ in range(3000 if i % 5 == 0 else 20)) + (" idiot" if i % 5 == 0 else "")
+             for i in range(400)}
+    docs = spark.createDataFrame([*texts.items(), (3, "zzz"), (5, None), (None, "idiot")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)] + [(4, None), (10, 0), (999, 1)], "doc_id long, toxic int")
+    rows = toxicity.labelled(docs, labels, "doc_id", "text", "toxic", 50).collect()
+    learned = [i for i in range(300) if zlib.crc32(str(i).encode()) % 4 != 2]
+    texts[5] = "" if 5 in learned else texts[5]
+    assert sorted((x.y, x.t) for x in rows) == sorted((int(i % 5 == 0), texts[i]) for i in learned)
+    assert len({x.shard for x in rows}) > 2 and len({x.apart for x in rows}) == 2
+    for shard in (50, toxicity.SHARD):
+        model = toxicity.train(docs, labels, shard=shard)
+        out = toxicity.with_toxicity(docs.where("doc_id is not null and text is not null"), model).select("row.*", "score").collect()
+        assert np.mean([(x.score >= 0.3) == ("idiot" in x.text) for x in out]) > 0.98
+
+
+def test_long_texts_give_their_slopes(monkeypatch):
+    r = np.random.default_rng(6)
+    model = toxicity.Network()
+    model.table = r.normal(0, 1, model.table.shape).astype(np.float32)
+    model.table[0] = 0
+    t, y = toxicity.Texts([" ".join(f"w{i * 7 % 31}" for i in range(50)), "a b", "c"]), np.array([1, 0, 1], np.float32)
+    g, back = model._slopes(t.codes, t.first, t.rows, y)
+    monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", 7)
+    h, again = model._slopes(t.codes, t.first, t.rows, y)
+    assert np.allclose(back, again, atol=1e-5) and all(np.allclose(g[k], h[k], atol=1e-5) for k in g)
+    # every row of a batch is gone over in each pass
+    words = np.array([3, 9, 2, 2, 4])
+    assert [x.tolist() for x in toxicity._parts(np.array([4, 1, 2, 3, 0]), words)] == [[4], [1], [2, 3, 0]]
