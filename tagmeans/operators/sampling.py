@@ -112,8 +112,9 @@ def sample_rows(df: DataFrame, fraction: float = 0.001, seed: int = 0,
     number = F.conv(F.substring(_draw_key(seed, *key), 1, _SAMPLE_BITS // 4), 16, 10).cast("long")
     if not with_replacement:
         return df.where(number < F.lit(math.ceil(fraction * (1 << _SAMPLE_BITS))))
-    marks = F.array(*[F.lit(t).cast("long") for t in poisson_thresholds(fraction)])
-    times = F.size(F.filter(marks, lambda t: number >= t))
-    drawn = df.select(*[F.col(f"`{c}`") for c in df.columns], times.alias("_times")).where("_times > 0")
-    return drawn.select(*[F.col(f"`{c}`") for c in df.columns],
-                        F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_nth")).drop("_nth")
+    # Drawn by the generator, without a filter: Catalyst would push that below an aggregate by ``key``, to each
+    # of its input rows, and there repeat what makes the key for every threshold.
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    keyed = df.select(*cols, number.alias("_draw"))
+    times = sum((F.when(F.col("_draw") >= F.lit(t).cast("long"), 1).otherwise(0) for t in poisson_thresholds(fraction)), F.lit(0))
+    return keyed.select(*cols, F.explode(F.array_repeat(F.lit(1), times)).alias("_nth")).drop("_nth")

@@ -78,3 +78,19 @@ def test_stratified_draw_is_whole_on_its_own(spark):
     assert sample_stratified(v, cfg).count() == 9
     with pytest.raises(ValueError, match="fewer than 3"):
         draw_centers(vectors(spark, [400, 2, 30]), cfg)
+
+
+def test_sample_is_drawn_above_the_aggregate(spark):
+    """A sample by the aggregate's key is drawn once for each of its rows, not for each posting under it."""
+    from pyspark.sql import functions as F
+
+    from tagmeans import sample_rows
+    from test_skew import plan_text
+
+    df = spark.range(300).select((F.col("id") % 100).alias("id"), F.lit(1).alias("v")).groupBy("id").agg(F.sum("v").alias("v"))
+    drawn = sample_rows(df, 0.5, seed=3)
+    plan = plan_text(drawn)
+    assert "Filter" not in plan and "md5" not in plan[plan.index("Exchange"):]
+    some = {r.id: r["count"] for r in drawn.groupBy("id").count().collect()}
+    assert 20 < len(some) < 60 and max(some.values()) > 1
+    assert drawn.columns == ["id", "v"] and {r.v for r in drawn.collect()} == {3}
