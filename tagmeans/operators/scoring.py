@@ -88,12 +88,15 @@ def _hot_ids(q: DataFrame, a: DataFrame) -> DataFrame:
     """``qid, q_parts, a_parts`` of the ids that are hot on either side."""
     both = (q.select("qid", F.lit(1).alias("nq"), F.lit(0).alias("na"))
             .unionByName(a.select("qid", F.lit(0).alias("nq"), F.lit(1).alias("na"))))
-    counts = cut_lineage(both.where("qid is not null").groupBy("qid").agg(F.sum("nq").alias("nq"), F.sum("na").alias("na"))
-                         .where("nq > 0 and na > 0"))  # ids without a partner make no pairs
+    counts = (both.where("qid is not null").groupBy("qid").agg(F.sum("nq").alias("nq"), F.sum("na").alias("na"))
+              .where("nq > 0 and na > 0"))  # ids without a partner make no pairs
+    # ids of few rows are added up to one row (null), which only the totals need
+    many = F.when(F.greatest("nq", "na") > SALTS, F.col("qid"))
+    counts = cut_lineage(counts.groupBy(many.alias("qid")).agg(F.sum("nq").alias("nq"), F.sum("na").alias("na")))
     n = counts.agg(F.coalesce(F.sum("nq"), F.lit(0)).alias("q"), F.coalesce(F.sum("na"), F.lit(0)).alias("a")).first()
     parts = lambda c, total: F.when(F.col(c) > max(SALTS, HOT_SHARE * total), SALTS).otherwise(1)
     return (counts.select("qid", parts("nq", n.q).alias("q_parts"), parts("na", n.a).alias("a_parts"))
-            .where("q_parts > 1 or a_parts > 1"))
+            .where("qid is not null and (q_parts > 1 or a_parts > 1)"))
 
 
 def _salted(df: DataFrame, record: str, hot: DataFrame, own: str, other: str, part: str, copy: str) -> DataFrame:

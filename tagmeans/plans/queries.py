@@ -157,8 +157,9 @@ def q_qa_pairs(spark, sf_dir):
 
 
 def _hot_answers(spark, sf_dir) -> DataFrame:
-    """The postings with every third answer moved to the first question."""
-    p = _postings(spark, sf_dir)
+    """The postings with every third answer moved to the first question. They are parsed
+    once and read from a copy: five passes follow, whose filters would repeat the parsing."""
+    p = cut_lineage(_postings(spark, sf_dir))
     first = p.where("posting_type = 1").agg(F.min("id")).first()[0]
     moved = (F.col("posting_type") == 2) & (F.col("id") % 3 == 0)
     return p.withColumn("parent_id", F.when(moved, F.lit(first)).otherwise(F.col("parent_id")))

@@ -132,3 +132,19 @@ def test_salted_pairs(spark):
     assert len(sizes) == 8 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
     plain = qa_pairs(questions(p), answers(p, strict=False), salted=False)
     assert sorted(map(repr, [(r.qid, tuple(r.question), tuple(r.answer)) for r in plain.collect()])) == want
+
+
+def test_hot_ids_are_counted_in_few_rows(spark):
+    """Only ids of many rows are kept one by one; the others add up to one row."""
+    from tagmeans.operators import scoring
+
+    q = spark.range(1, 5001).select(F.col("id").alias("qid"), F.lit("q").alias("question"))
+    a = spark.range(6000).select(F.when(F.col("id") < 2000, 7).otherwise(F.col("id") - 1500).alias("qid"), F.lit("a").alias("answer"))
+    kept, cut = [], scoring.cut_lineage
+    scoring.cut_lineage = lambda df: kept.append(cut(df)) or kept[-1]
+    try:
+        hot = scoring._hot_ids(q, a).collect()
+    finally:
+        scoring.cut_lineage = cut
+    assert [tuple(r) for r in hot] == [(7, 1, scoring.SALTS)]
+    assert kept[0].count() == 2 and kept[0].agg(F.sum("na")).first()[0] == 6000
