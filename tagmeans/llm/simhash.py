@@ -34,6 +34,8 @@ SHINGLE, MAX_BITS, SEED, BITS = 3, 2, 42, 64
 #: Members of a group that one index holds.
 LEAF = 2048
 FAN = 8
+#: Pairs of a query and a node that an index compares at once.
+AT_ONCE = 1 << 18
 ALL_ONES = np.uint64(2**64 - 1)
 
 
@@ -53,13 +55,14 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``row`` (all columns of ``docs``) and ``print`` (the fingerprint as a signed long)."""
+def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = SHINGLE,
+                     columns: list[str] | None = None) -> DataFrame:
+    """``row`` (all columns of ``docs``, or ``columns``) and ``print`` (the fingerprint as a signed long)."""
     def make():
         return lambda texts: [np.array([fingerprint(t, shingle) for t in texts], np.uint64)
                               .view(np.int64).tolist()]
 
-    return add_from_text(docs, text, "print long", make)
+    return add_from_text(docs, text, "print long", make, columns)
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -101,20 +104,30 @@ class GrayIndex:
             children = np.r_[begin, len(place)]
         self.roots = owner
 
-    def pairs(self, max_bits: int, block: int = 4096):
-        """Index pairs (into the arrays given) of a group's members within ``max_bits`` bits."""
+    def pairs(self, max_bits: int, most: int = AT_ONCE):
+        """Index pairs (into the arrays given) of a group's members within ``max_bits`` bits.
+
+        Depth first: at most ``most`` pairs of a query and a node are compared at once, so a group
+        whose members are all alike takes no more memory than one that has strangers only."""
         prints = self.levels[0][0]
         root_of = np.searchsorted(self.roots, self.owner)
-        for a in range(0, len(prints), block):
-            q = np.arange(a, min(a + block, len(prints)))
+        step = max(1, most // FAN)
+        for a in range(0, len(prints), step):
+            q = np.arange(a, min(a + step, len(prints)))
             node = root_of[q]
-            pattern, mask, children = self.levels[-1]
-            bits = np.bitwise_count((prints[q] ^ pattern[node]) & mask[node])
-            for level in range(len(self.levels) - 1, -1, -1):
+            pattern, mask, _ = self.levels[-1]
+            todo = [(len(self.levels) - 1, q, node, np.bitwise_count((prints[q] ^ pattern[node]) & mask[node]))]
+            while todo:
+                level, q, node, bits = todo.pop()
                 near = bits <= max_bits
                 q, node, bits = q[near], node[near], bits[near]
                 if level == 0:
-                    break
+                    yield self.order[q], self.order[node]
+                    continue
+                if len(q) > step:
+                    todo += [(level, q[i:i + step], node[i:i + step], bits[i:i + step])
+                             for i in range(0, len(q), step)]
+                    continue
                 pattern, mask, _ = self.levels[level - 1]
                 above, first = self.levels[level][1], self.levels[level][2]
                 n = first[node + 1] - first[node]
@@ -125,8 +138,7 @@ class GrayIndex:
                     later = at > q
                     q, bits, up, at = q[later], bits[later], up[later], at[later]
                 bits = bits + np.bitwise_count((prints[q] ^ pattern[at]) & mask[at] & ~above[up])
-                node = at
-            yield self.order[q], self.order[node]
+                todo.append((level - 1, q, at, bits))
 
 
 def _forest(groups: np.ndarray, prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -254,7 +266,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``row`` (all columns of ``docs``), ``print`` long, ``root`` long (the least
     fingerprint of the component) and ``component_id`` (its least id)."""
     printed = with_fingerprint(docs, text, shingle)
-    ids = keep(with_fingerprint(docs.select(doc_id, text), text, shingle)
+    ids = keep(with_fingerprint(docs.select(doc_id, text), text, shingle, [doc_id])
                .select(F.col(f"row.`{doc_id}`").alias("id"), "print")
                .groupBy("print").agg(F.min("id").alias("id")))
     named = _named(ids, max_bits, leaf)
@@ -293,10 +305,10 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
 
 
 def query(spark, sf_dir):
-    """Contract digest over all documents. The texts are read once: what follows
-    works on ids and fingerprints."""
+    """Contract digest over all documents. The texts are read once and don't come back from
+    the Python workers: what follows works on ids and fingerprints."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    printed = keep(with_fingerprint(docs).select(F.col("row.doc_id").alias("doc_id"), "print"))
+    printed = keep(with_fingerprint(docs, columns=["doc_id"]).select(F.col("row.doc_id").alias("doc_id"), "print"))
     named = _named(printed.groupBy("print").agg(F.min("doc_id").alias("id")), MAX_BITS, LEAF)
     return printed.join(named, "print").select(
         "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")

@@ -103,6 +103,35 @@ def test_simhash_hot_groups(spark, leaf):
     assert named == want
 
 
+def test_simhash_index_of_a_dense_group_in_bounded_memory():
+    """A group whose members are all near each other: every pair once, a few MB at a time."""
+    import tracemalloc
+    from itertools import combinations
+
+    near = [0, *(1 << i for i in range(64)), *(1 << i | 1 << j for i, j in combinations(range(64), 2))][:simhash.LEAF]
+    p = np.array(near, np.uint64) ^ np.uint64(0x0123456789ABCDEF)
+    p = np.concatenate([p, p])
+    groups = np.repeat([0, 1], len(near))
+    index, seen = simhash.GrayIndex(groups, p), 0
+    tracemalloc.start()
+    for x, y in index.pairs(4):
+        assert (groups[x] == groups[y]).all()
+        seen += len(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == len(near) * (len(near) - 1)  # two groups of all pairs
+    assert peak < 60e6
+
+
+def test_simhash_texts_stay_in_their_task(spark, documents):
+    """Only the columns asked for come back from the Python workers."""
+    df = spark.createDataFrame(documents, "doc_id long, text string")
+    slim = simhash.with_fingerprint(df, columns=["doc_id"])
+    assert slim.select("row.*").columns == ["doc_id"]
+    whole = simhash.with_fingerprint(df).select("row.doc_id", "print")
+    assert sorted(slim.select("row.doc_id", "print").collect()) == sorted(whole.collect())
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 4999)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}
