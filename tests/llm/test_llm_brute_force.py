@@ -224,6 +224,37 @@ def test_pieces_equal_the_library():
             e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_pieces_remember_many_words():
+    """Words met three large slices ago don't go to the library again."""
+    import pyarrow as pa
+
+    p, seen = token_output.Pieces(token_output.default_path()), []
+    ids = p._ids
+    p._ids = lambda texts: seen.append(sum(map(len, texts))) or ids(texts)
+    texts = [pa.array([" ".join(f"x{i:x}" for i in range(a, a + 210_000))]) for a in (0, 210_000, 420_000)]
+    first = p.encode(texts[0])[0]
+    for t in texts[1:]:
+        p.encode(t)
+    seen.clear()
+    assert (p.encode(texts[0])[0] == first).all() and sum(seen) < 100
+
+
+def test_pieces_that_are_forgotten(monkeypatch):
+    """A memory of a few words and tails, for texts of words with punctuation, line ends and runs of spaces."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_output, "REMEMBERED", 64)
+    path = token_output.default_path()
+    t, p, r = Tokenizer.from_file(path), token_output.Pieces(path), random.Random(6)
+    words = ["al", "Be", "\u00e9t\u00e9", "\u01b0.", "x2", "don't", "ok,***", "end.\nNew&&&", "a|b|", "<|endoftext|>", "a<|endoftext|>.", "", "\n", "\u00a0q"]
+    for _ in range(6):
+        texts = [" ".join(r.choice(words) + r.choice(["", "", str(r.randint(0, 99)), "!?", ","]) for _ in range(r.randint(0, 9)))
+                 for _ in range(200)] + [None]
+        assert [x.tolist() for x in p.encode(pa.array(texts))] == [
+            t.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
 def test_pseudonyms_are_permutations(spark):
     df = spark.range(1000).select(F.format_string("%03d", "id").alias("d"))
     got = {r.d: r.p for r in df.select("d", pii.permuted_digits(F.col("d"), "k", "t").alias("p")).collect()}
