@@ -85,3 +85,13 @@ def test_against_sql_on_near_notices(spark, tmp_path):
     want = res.fetchall()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
     assert len({x[6] for x in want}) > 15
+
+
+def test_only_texts_with_whole_words_are_looked_at_closer(spark):
+    texts = ["submit dispdxed recodes by-laws", "Unlicensed (mitigated) ", "(SPDX) ", "x Apache; license, VERSION--2.", "a spdxé b",
+             "", " .", None, "K spKdx", "one\x00two\x7f"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = (licenses._parted(df, "text", ["spdx", "code", "mit"], licenses.PHRASES)
+           .orderBy("row.doc_id").select("n_words", "low").collect())
+    assert [r.low for r in got] == [None, None, "(spdx) ", "x apache; license, version--2.", *[None] * 6]
+    assert [r.n_words for r in got] == [5, 2, 1, 5, 3, 0, 0, 0, 2, 2]
