@@ -239,6 +239,19 @@ def test_pieces_remember_many_words():
     assert (p.encode(texts[0])[0] == first).all() and sum(seen) < 100
 
 
+def test_pieces_go_to_the_library_in_short_texts():
+    """New words go there a hundred at a time, and equal punctuation of many words once."""
+    import pyarrow as pa
+
+    p, seen = token_output.Pieces(token_output.default_path()), []
+    ids, whole = p._ids, p._whole
+    p._ids = lambda texts: seen.extend(texts) or ids(texts)
+    p._whole = lambda pieces, memory: seen.extend(x for x in pieces if memory is p.tails) or whole(pieces, memory)
+    text = " ".join(f"x{i:x}y" + ("?!", ",\n-", "")[i % 3] for i in range(5_000))
+    assert p.encode(pa.array([text]))[0].tolist() == p.encoder.encode(text, add_special_tokens=False).ids
+    assert max(len(t.split(" ")) for t in seen) <= 101 and seen.count("?!") <= 2
+
+
 def test_pieces_that_are_forgotten(monkeypatch):
     """A memory of a few words and tails, for texts of words with punctuation, line ends and runs of spaces."""
     import pyarrow as pa
